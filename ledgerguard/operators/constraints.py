@@ -24,49 +24,53 @@ def _row_hits(df: DataFrame, rules: TableRules, sample: str) -> DataFrame:
     return hits.select("hit.rule", "hit.sample", F.lit(1).cast("bigint").alias("n"))
 
 
-def _repeats(df: DataFrame, column: str) -> DataFrame:
-    """Rows beyond the first of each key."""
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("string").alias("sample"))
-        .agg((F.count(F.lit(1)) - 1).alias("n"))
-        .where(F.col("n") > 0)
-        .select(F.lit(f"unique:{column}").alias("rule"), "sample", "n")
-    )
-
+def _key_hits(df: DataFrame, rules: TableRules, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """UNIQUE and FOREIGN KEY of one table in one scan.
 
-def _orphans(df: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Counted per value first, so each key meets the parent once."""
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+    Each row gives one (rule, value) per key column. Values are counted before anything
+    is joined, so a hot key collapses on the map side and meets its parent once. All
+    parents form one side of one anti join, tagged by table.
+    """
+    cells = [(f"unique:{c}", c, "") for c in rules.unique]
+    cells += [(f"foreign_key:{c}", c, f"{parent}.{key}")
+              for c, (parent, key) in _checked_parents(df, rules, parents).items()]
+    values = (
+        df.select(F.explode(F.array(*[
+            F.struct(F.lit(r).alias("rule"), F.lit(p).alias("parent"), F.col(c).cast("string").alias("sample"))
+            for r, c, p in cells])).alias("cell"))
+        .select("cell.*")
+        .where(F.col("sample").isNotNull())
+        .groupBy("rule", "parent", "sample")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return counts.join(parent.select(F.col(key).alias("value")), "value", "left_anti").select(
-        F.lit(f"foreign_key:{column}").alias("rule"), F.col("value").cast("string").alias("sample"), "n")
+    repeats = values.where((F.col("parent") == "") & (F.col("n") > 1)).select(
+        "rule", "sample", (F.col("n") - 1).alias("n"))
+    known = None
+    for parent, key in sorted(set(_checked_parents(df, rules, parents).values())):
+        part = parents[parent].select(
+            F.lit(f"{parent}.{key}").alias("parent"), F.col(key).cast("string").alias("sample"))
+        known = part if known is None else known.unionByName(part)
+    if known is None:
+        return repeats
+    orphans = values.where(F.col("parent") != "").join(known, ["parent", "sample"], "left_anti")
+    return repeats.unionByName(orphans.select("rule", "sample", "n"))
+
+
+def _checked_parents(df, rules: TableRules, parents) -> dict[str, tuple[str, str]]:
+    return {c: p for c, p in rules.parents.items() if c in df.columns and p[0] in parents}
+
+
+def _cast_columns(raw: DataFrame, types: Mapping[str, str]) -> list[str]:
+    return [c for c, t in types.items() if t not in ("string", "boolean") and c in raw.columns]
 
 
 def cast_hits(raw: DataFrame, types: Mapping[str, str], sample: str = "id") -> DataFrame:
     """Text cells of staging that do not convert to their core type."""
-    tests = [
-        (f"cast:{c}", cast_failed(c, t), F.col(sample))
-        for c, t in types.items() if t != "string" and t != "boolean" and c in raw.columns
-    ]
+    tests = [(f"cast:{c}", cast_failed(c, types[c]), F.col(sample)) for c in _cast_columns(raw, types)]
     hits = raw.select(F.explode(broken(tests)).alias("hit"))
     return hits.select("hit.rule", "hit.sample", F.lit(1).cast("bigint").alias("n"))
 
 
-def rule_names(table: str, rules: TableRules, with_casts: bool, columns) -> list[str]:
-    names = [f"not_null:{c}" for c in rules.required if c in columns]
-    names += [f"check:{n}" for n in rules.checks]
-    names += [f"unique:{c}" for c in rules.unique]
-    names += [f"foreign_key:{c}" for c in rules.parents if c in columns]
-    if with_casts:
-        names += [f"cast:{c}" for c, t in CORE_TYPES[table].items()
-                  if t not in ("string", "boolean") and c in columns]
-    return names
-
-
 def table_report(
     table: str, df: DataFrame, parents: Mapping[str, DataFrame], raw: DataFrame | None = None,
     rules: TableRules | None = None, sample: str = "id",
@@ -74,23 +78,19 @@ def table_report(
     """DF[table, constraint, violations, samples] of one table, kept constraints included.
 
     ``parents`` maps table names to typed frames; foreign keys to a parent that is not
-    given are left out. ``raw`` adds the cast failures of its staging table.
+    given are left out. ``raw`` adds the cast failures of its staging table. The table is
+    read twice, so give a stored one rather than a long plan.
     """
     rules = rules or CONSTRAINTS[table]
-    hits = _row_hits(df, rules, sample)
-    for column in rules.unique:
-        hits = hits.unionByName(_repeats(df, column))
-    skipped = set()
-    for column, (parent, key) in rules.parents.items():
-        if parent in parents and column in df.columns:
-            hits = hits.unionByName(_orphans(df, column, parents[parent], key))
-        else:
-            skipped.add(f"foreign_key:{column}")
+    types = CORE_TYPES.get(table, {})
+    hits = _row_hits(df, rules, sample).unionByName(_key_hits(df, rules, parents))
+    names = [f"not_null:{c}" for c in rules.required if c in df.columns]
+    names += [f"check:{n}" for n in rules.checks]
+    names += [f"unique:{c}" for c in rules.unique]
+    names += [f"foreign_key:{c}" for c in _checked_parents(df, rules, parents)]
     if raw is not None:
-        hits = hits.unionByName(cast_hits(raw, CORE_TYPES[table]))
-    columns = set(df.columns) & set(raw.columns) if raw is not None else set(df.columns)
-    names = [n for n in rule_names(table, rules, raw is not None, columns | set(rules.unique))
-             if n not in skipped]
+        hits = hits.unionByName(cast_hits(raw, types))
+        names += [f"cast:{c}" for c in _cast_columns(raw, types)]
     report = tally(hits, ["rule"], "sample", "n", sole_rows(names, df.sparkSession))
     return report.select(
         F.lit(table).alias("table"), F.col("rule").alias("constraint"),

@@ -36,7 +36,6 @@ def decisions(
     """
     narrow = tx.select(*NEEDED)
     probe = KeyProbe(narrow, "idempotency_key", *PARENT_KEYS)
-
     flagged = lookup_join(
         narrow, conflict_keys(narrow), "idempotency_key", "conflict_key", "left", probe)
     account_ids = known_accounts(accounts, core_accounts)

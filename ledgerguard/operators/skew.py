@@ -21,21 +21,25 @@ def _bytes(text: str) -> int:
     return int(digits) * 1024 ** (" kmgtp".index(unit) if unit else 0)
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's own estimate, the one its broadcast decision uses."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables that a plan reads, as Catalyst knows them without a job. It
+    needs no optimiser run, and no join in the plan can inflate it."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
+    """The side stems from less data than Spark's broadcast limit. No hint follows from
+    this: Catalyst and AQE still decide by the size that they see."""
     limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-    return limit > 0 and planned_bytes(df) <= limit
+    return limit > 0 and input_bytes(df) <= limit
 
 
 def skew_matters(df: DataFrame) -> bool:
-    """False while the whole frame is smaller than one partition that Spark calls skewed."""
+    """False while all input is smaller than one partition that Spark calls skewed."""
     limit = _bytes(df.sparkSession.conf.get(
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB"))
-    return planned_bytes(df) > limit
+    return input_bytes(df) > limit
 
 
 def heavy_keys(df: DataFrame, *columns: str) -> dict[str, list[str]]:
@@ -62,10 +66,7 @@ class KeyProbe:
 
     def __init__(self, df: DataFrame, *columns: str):
         self.df, self.columns, self._found = df, columns, None
-
-    @property
-    def worthwhile(self) -> bool:
-        return skew_matters(self.df)
+        self.worthwhile = skew_matters(df)
 
     def __getitem__(self, column: str) -> list[str]:
         if self._found is None:
@@ -83,7 +84,7 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join rows to a keyed side, safe against hot and missing keys.
 
-    * The right side is within Spark's broadcast limit, or the rows are few: a plain
+    * The rows are few, or the right side is within Spark's broadcast limit: a plain
       join, whose strategy Catalyst and AQE choose by size.
     * Otherwise: rows of a hot key are cut into SPREAD slices and only the hot keys of
       the right side are repeated for them (at most HOT_KEYS x SPREAD extra rows for a
@@ -95,7 +96,7 @@ def lookup_join(
     """
     probe = probe or KeyProbe(left, left_key)
     lkey, rkey = F.col(left_key), F.col(right_key)
-    if fits_broadcast(right) or not probe.worthwhile:
+    if not probe.worthwhile or fits_broadcast(right):
         return left.join(right, lkey == rkey, how)
 
     hot = probe[left_key]

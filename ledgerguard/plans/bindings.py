@@ -6,7 +6,7 @@ have core columns. The oracle states the same rules in SQL (``plans/oracle.py``)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import core
 
@@ -15,186 +15,149 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def _s(c: Column | int | str) -> Column:
-    return (c if isinstance(c, Column) else F.lit(c)).cast("string")
-
-
-def _money(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(14,2)")
-
-
-def _pad(c: Column, width: int) -> Column:
-    return F.lpad(_s(c), width, "0")
-
-
-def _type(priority: str = "o_orderpriority") -> Column:
-    first = F.substring(priority, 1, 1)
-    return (
-        F.when(first == "1", "PAY").when(first == "2", "TRF").when(first == "3", "WIT")
-        .when(first == "4", "BIL").otherwise("DEP")
-    )
+TYPE = """case substring(o_orderpriority, 1, 1)
+    when '1' then 'PAY' when '2' then 'TRF' when '3' then 'WIT' when '4' then 'BIL' else 'DEP' end"""
 
 
 # -- staging ------------------------------------------------------------------------------
 
 def staged_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    price = _money("o_totalprice")
-    day = _s(F.col("o_orderdate").cast("date"))
-    clock = F.concat(_pad(k % 24, 2), F.lit(":00:00"))
-    blank = F.lit("")
-    amount = F.when(k % 97 == 0, F.concat(F.lit("-"), _s(price))).otherwise(_s(price))
-    status = (
-        F.when(F.col("o_orderstatus") == "O", "SUCCESS")
-        .when(F.col("o_orderstatus") == "F", "FAILED").otherwise("PENDING")
-    )
-    after = (
-        F.when(k % 89 == 0, "-1.00")
-        .when(F.col("o_orderstatus") == "O", _s(F.lit(600000).cast("decimal(14,2)") - price))
-        .when(k % 53 == 0, "599999.00")
-        .otherwise("600000.00")
-    )
-    return table(spark, sf, "orders").select(
-        _s(k).alias("id"),
-        F.concat(F.lit("TX"), _s(F.when(k % 500 == 3, k - 1).otherwise(k))).alias("reference"),
-        F.concat(F.lit("k"), _s(F.when(k % 10 == 1, k - 1).otherwise(k))).alias("idempotency_key"),
-        _type().alias("transaction_type"),
-        amount.alias("amount"),
-        F.when(k % 20 == 0, blank).when(k % 701 == 7, "-1.00")
-        .otherwise(F.concat(_s(k % 5), F.lit(".00"))).alias("fee"),
-        amount.alias("total_amount"),
-        F.when(k % 20 == 0, blank).when(k % 703 == 9, "EUR").otherwise("MRU").alias("currency"),
-        F.when(k % 37 == 0, blank).when(k % 31 == 0, _s(F.col("o_custkey") + 100000000))
-        .otherwise(_s(F.col("o_custkey"))).alias("source_account_id"),
-        F.when(k % 41 == 0, blank).otherwise(_s(F.col("o_custkey"))).alias("destination_account_id"),
-        F.when(k % 43 == 0, blank).otherwise(_s(k % 7)).alias("merchant_id"),
-        F.when(k % 601 == 5, "abc").when(k % 4 != 0, blank).otherwise(_s(k % 10)).alias("agency_id"),
-        status.alias("status"),
-        F.when((F.col("o_orderstatus") == "F") & (k % 2 == 0), "INSUFFICIENT_FUNDS")
-        .otherwise(blank).alias("failure_reason"),
-        F.lit("600000.00").alias("balance_before"),
-        after.alias("balance_after"),
-        F.concat(F.lit("N"), _s(k % 5)).alias("node_id"),
-        F.concat(F.lit("N"), _s((k * 3) % 5)).alias("processing_node"),
-        _s(k).alias("sequence_number"),
-        F.when(k % 2 == 0, "APP").otherwise("USSD").alias("channel"),
-        day.alias("transaction_date"),
-        clock.alias("transaction_time"),
-        F.concat(day, F.lit("T"), clock, F.lit(".000Z")).alias("created_at"),
-        F.when(k % 3 == 1, blank).when(k % 101 == 0, F.concat(day, F.lit("T00:00:00.000Z")))
-        .otherwise(F.concat(day, F.lit("T23:59:59.000Z"))).alias("completed_at"),
+    rows = table(spark, sf, "orders").selectExpr(
+        "*", "o_orderkey as k", "string(o_orderkey) as key", "string(o_custkey) as cust",
+        "cast(o_totalprice as decimal(14,2)) as price", "string(date(o_orderdate)) as day",
+        "concat(lpad(string(o_orderkey % 24), 2, '0'), ':00:00') as clock")
+    return rows.selectExpr(
+        "key as id",
+        "concat('TX', if(k % 500 = 3, string(k - 1), key)) as reference",
+        "concat('k', if(k % 10 = 1, string(k - 1), key)) as idempotency_key",
+        f"{TYPE} as transaction_type",
+        "concat(if(k % 97 = 0, '-', ''), string(price)) as amount",
+        "if(k % 20 = 0, '', if(k % 701 = 7, '-1.00', concat(string(k % 5), '.00'))) as fee",
+        "concat(if(k % 97 = 0, '-', ''), string(price)) as total_amount",
+        "if(k % 20 = 0, '', if(k % 703 = 9, 'EUR', 'MRU')) as currency",
+        "if(k % 37 = 0, '', if(k % 31 = 0, string(o_custkey + 100000000), cust)) as source_account_id",
+        "if(k % 41 = 0, '', cust) as destination_account_id",
+        "if(k % 43 = 0, '', string(k % 7)) as merchant_id",
+        "if(k % 601 = 5, 'abc', if(k % 4 <> 0, '', string(k % 10))) as agency_id",
+        "case o_orderstatus when 'O' then 'SUCCESS' when 'F' then 'FAILED' else 'PENDING' end as status",
+        "if(o_orderstatus = 'F' and k % 2 = 0, 'INSUFFICIENT_FUNDS', '') as failure_reason",
+        "'600000.00' as balance_before",
+        """case when k % 89 = 0 then '-1.00' when o_orderstatus = 'O' then string(600000 - price)
+           when k % 53 = 0 then '599999.00' else '600000.00' end as balance_after""",
+        "concat('N', string(k % 5)) as node_id",
+        "concat('N', string(k * 3 % 5)) as processing_node",
+        "key as sequence_number",
+        "if(k % 2 = 0, 'APP', 'USSD') as channel",
+        "day as transaction_date",
+        "clock as transaction_time",
+        "concat(day, 'T', clock, '.000Z') as created_at",
+        """case when k % 3 = 1 then '' when k % 101 = 0 then concat(day, 'T00:00:00.000Z')
+           else concat(day, 'T23:59:59.000Z') end as completed_at""",
     )
 
 
 def staged_users(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf, "customer").select(
-        _s(k).alias("id"),
-        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("XX"), _pad(k, 8))).otherwise(_pad(k, 10)).alias("nni"),
-        F.concat(F.lit("+222"), _pad(F.when(k % 25 == 1, k - 1).otherwise(k), 8)).alias("phone"),
-        F.col("c_name").alias("full_name"),
-        F.when(k % 2 == 0, "F").otherwise("M").alias("gender"),
-        F.concat(F.lit("1990-01-"), _pad(k % 28 + 1, 2)).alias("birth_date"),
-        F.when(k % 5 < 3, "").otherwise(F.concat(F.lit("u"), _s(k), F.lit("@example.org"))).alias("email"),
-        _s(F.col("c_nationkey")).alias("wilaya_id"),
-        F.when(k % 30 == 2, "elsewhere").otherwise(F.concat(F.lit("NATION_"), _s(F.col("c_nationkey")))).alias("wilaya_name"),
-        F.when(k % 10 == 9, "BLOCKED").otherwise("ACTIVE").alias("status"),
-        F.lit("2020-02-01").alias("registration_date"),
-        F.lit("2020-02-01T08:00:00.000Z").alias("created_at"),
-        F.lit("").alias("updated_at"),
+    rows = table(spark, sf, "customer").selectExpr("*", "c_custkey as k", "string(c_custkey) as key")
+    return rows.selectExpr(
+        "key as id",
+        "if(c_acctbal < 0, concat('XX', lpad(key, 8, '0')), lpad(key, 10, '0')) as nni",
+        "concat('+222', lpad(if(k % 25 = 1, string(k - 1), key), 8, '0')) as phone",
+        "c_name as full_name",
+        "if(k % 2 = 0, 'F', 'M') as gender",
+        "concat('1990-01-', lpad(string(k % 28 + 1), 2, '0')) as birth_date",
+        "if(k % 5 < 3, '', concat('u', key, '@example.org')) as email",
+        "string(c_nationkey) as wilaya_id",
+        "if(k % 30 = 2, 'elsewhere', concat('NATION_', string(c_nationkey))) as wilaya_name",
+        "if(k % 10 = 9, 'BLOCKED', 'ACTIVE') as status",
+        "'2020-02-01' as registration_date",
+        "'2020-02-01T08:00:00.000Z' as created_at",
+        "'' as updated_at",
     )
 
 
 def staged_accounts(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("c_custkey")
-    balance = _money("c_acctbal")
-    return table(spark, sf, "customer").select(
-        _s(k).alias("id"),
-        _s(k).alias("user_id"),
-        F.concat(F.lit("ACC"), _pad(k, 9)).alias("account_number"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "CORPORATE").otherwise("WALLET").alias("account_type"),
-        F.when(k % 9 == 0, "").otherwise("MRU").alias("currency"),
-        _s(balance).alias("balance"),
-        _s(balance + (k % 7 * 1000).cast("decimal(14,2)")).alias("available_balance"),
-        F.lit("50000.00").alias("daily_limit"),
-        F.lit("500000.00").alias("monthly_limit"),
-        F.when(k % 4 == 3, "FROZEN").otherwise("ACTIVE").alias("status"),
-        F.when(k % 3 == 0, "true").when(k % 3 == 1, "false").otherwise("yes").alias("is_primary"),
-        F.concat(F.lit("2020-01-"), _pad(k % 28 + 1, 2)).alias("opened_date"),
-        F.lit("").alias("last_activity"),
-        F.lit("2020-01-01T00:00:00.000Z").alias("created_at"),
-        F.lit("").alias("updated_at"),
+    rows = table(spark, sf, "customer").selectExpr(
+        "*", "c_custkey as k", "string(c_custkey) as key", "cast(c_acctbal as decimal(14,2)) as money")
+    return rows.selectExpr(
+        "key as id",
+        "key as user_id",
+        "concat('ACC', lpad(key, 9, '0')) as account_number",
+        "if(c_mktsegment = 'BUILDING', 'CORPORATE', 'WALLET') as account_type",
+        "if(k % 9 = 0, '', 'MRU') as currency",
+        "string(money) as balance",
+        "string(cast(money + k % 7 * 1000 as decimal(14,2))) as available_balance",
+        "'50000.00' as daily_limit",
+        "'500000.00' as monthly_limit",
+        "if(k % 4 = 3, 'FROZEN', 'ACTIVE') as status",
+        "case k % 3 when 0 then 'true' when 1 then 'false' else 'yes' end as is_primary",
+        "concat('2020-01-', lpad(string(k % 28 + 1), 2, '0')) as opened_date",
+        "'' as last_activity",
+        "'2020-01-01T00:00:00.000Z' as created_at",
+        "'' as updated_at",
     )
 
 
 def staged_merchants(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("p_partkey")
-    return table(spark, sf, "part").select(
-        _s(k).alias("id"),
-        F.when(k % 50 == 13, "").otherwise(F.concat(F.lit("MRC"), _pad(k, 9))).alias("code"),
-        F.when(k % 2 == 0, F.concat(F.lit("undefined "), F.col("p_name"))).otherwise(F.col("p_name")).alias("name"),
-        F.col("p_type").alias("category_code"),
-        _s(F.col("p_size") % 25).alias("wilaya_id"),
-        F.when(k % 11 == 0, "INACTIVE").otherwise("ACTIVE").alias("status"),
-        F.lit("2021-06-06T15:25:48.000Z").alias("created_at"),
+    rows = table(spark, sf, "part").selectExpr("*", "p_partkey as k", "string(p_partkey) as key")
+    return rows.selectExpr(
+        "key as id",
+        "if(k % 50 = 13, '', concat('MRC', lpad(key, 9, '0'))) as code",
+        "concat(if(k % 2 = 0, 'undefined ', ''), p_name) as name",
+        "p_type as category_code",
+        "string(p_size % 25) as wilaya_id",
+        "if(k % 11 = 0, 'INACTIVE', 'ACTIVE') as status",
+        "'2021-06-06T15:25:48.000Z' as created_at",
     )
 
 
 def staged_agencies(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    return table(spark, sf, "supplier").select(
-        _s(k).alias("id"),
-        F.when(k % 20 == 13, "").otherwise(F.concat(F.lit("AG"), _pad(k, 6))).alias("code"),
-        F.col("s_name").alias("name"),
-        _s(F.col("s_nationkey")).alias("wilaya_id"),
-        F.when(k % 9 == 0, "").otherwise(_s(_money("s_acctbal"))).alias("float_balance"),
-        F.when(k % 3 == 0, "BRONZE").when(k % 3 == 1, "SILVER").otherwise("GOLD").alias("tier"),
-        F.concat(F.lit("LIC-"), _pad(k, 6)).alias("license_number"),
-        F.lit("ACTIVE").alias("status"),
-        F.lit("2020-06-24T08:28:57.000Z").alias("created_at"),
+    rows = table(spark, sf, "supplier").selectExpr("*", "s_suppkey as k", "string(s_suppkey) as key")
+    return rows.selectExpr(
+        "key as id",
+        "if(k % 20 = 13, '', concat('AG', lpad(key, 6, '0'))) as code",
+        "s_name as name",
+        "string(s_nationkey) as wilaya_id",
+        "if(k % 9 = 0, '', string(cast(s_acctbal as decimal(14,2)))) as float_balance",
+        "case k % 3 when 0 then 'BRONZE' when 1 then 'SILVER' else 'GOLD' end as tier",
+        "concat('LIC-', lpad(key, 6, '0')) as license_number",
+        "'ACTIVE' as status",
+        "'2020-06-24T08:28:57.000Z' as created_at",
     )
 
 
 def staged_wilayas(spark: SparkSession, sf: str) -> DataFrame:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        _s(F.col("n_nationkey")).alias("id"),
-        F.concat(F.lit("W"), _pad(F.col("n_nationkey"), 2)).alias("code"),
-        F.col("n_name").alias("name"),
-        F.col("r_name").alias("capital"),
-        F.lit("").alias("latitude"),
-        F.lit("").alias("longitude"),
-        _s(F.col("n_nationkey") * 1000).alias("population"),
-        F.lit("0.5").alias("economic_weight"),
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "string(n_nationkey) as id",
+        "concat('W', lpad(string(n_nationkey), 2, '0')) as code",
+        "n_name as name",
+        "r_name as capital",
+        "'' as latitude",
+        "'' as longitude",
+        "string(n_nationkey * 1000) as population",
+        "'0.5' as economic_weight",
     )
 
 
 def staged_tx_types(spark: SparkSession, sf: str) -> DataFrame:
-    code = F.col("code")
-    return (
-        table(spark, sf, "orders").groupBy(_type().alias("code"))
-        .agg(F.min("o_orderkey").alias("first"))
-        .select(
-            _s(F.col("first")).alias("id"), "code", F.lower(code).alias("label"), F.lit("").alias("description"),
-            F.when(code == "TRF", "true").otherwise("false").alias("requires_destination"),
-            F.when(code == "PAY", "true").otherwise("false").alias("requires_merchant"),
-            F.when(code.isin("DEP", "WIT"), "true").otherwise("false").alias("requires_agency"),
-            F.when(code == "DEP", "true").otherwise("").alias("is_credit"),
-        )
+    codes = table(spark, sf, "orders").groupBy(F.expr(TYPE).alias("code")).agg(
+        F.min("o_orderkey").alias("first"))
+    return codes.selectExpr(
+        "string(first) as id", "code", "lower(code) as label", "'' as description",
+        "string(code = 'TRF') as requires_destination",
+        "string(code = 'PAY') as requires_merchant",
+        "string(code in ('DEP', 'WIT')) as requires_agency",
+        "if(code = 'DEP', 'true', '') as is_credit",
     )
 
 
 def staged_categories(spark: SparkSession, sf: str) -> DataFrame:
-    price = _money("p_retailprice")
-    return (
-        table(spark, sf, "part").groupBy(F.col("p_type").alias("code"))
-        .agg(F.min("p_partkey").alias("first"), F.min(price).alias("lo"), F.max(price).alias("hi"))
-        .select(
-            _s(F.col("first")).alias("id"), "code",
-            F.concat(F.lit("0"), _s(F.col("first") + 500)).alias("mcc"),
-            F.lower("code").alias("label"), F.lit("").alias("description"),
-            _s(F.col("lo")).alias("avg_min"), _s(F.col("hi")).alias("avg_max"),
-        )
+    price = F.col("p_retailprice").cast("decimal(14,2)")
+    types = table(spark, sf, "part").groupBy(F.col("p_type").alias("code")).agg(
+        F.min("p_partkey").alias("first"), F.min(price).alias("lo"), F.max(price).alias("hi"))
+    return types.selectExpr(
+        "string(first) as id", "code", "concat('0', string(first + 500)) as mcc",
+        "lower(code) as label", "'' as description", "string(lo) as avg_min", "string(hi) as avg_max",
     )
 
 
@@ -237,53 +200,52 @@ def payments(spark: SparkSession, sf: str) -> DataFrame:
 
 def purchases(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as typed purchases at merchants (parts) through agencies (suppliers)."""
-    n = F.col("l_linenumber")
-    amount, fee = _money("l_extendedprice"), _money("l_quantity")
-    opening = F.lit(2000000).cast("decimal(14,2)")
-    off = F.when(n == 7, 5).when(n == 6, 1).otherwise(0).cast("decimal(14,2)")
-    id = F.col("l_orderkey") * 8 + n
-    return table(spark, sf, "lineitem").select(
-        id.alias("id"),
-        F.concat(F.lit("LI"), _s(id)).alias("reference"),
-        F.concat(_s(F.col("l_orderkey")), F.lit("-"), _s(n)).alias("idempotency_key"),
-        F.lit("PAY").alias("transaction_type"),
-        amount.alias("amount"),
-        fee.alias("fee"),
-        F.col("l_partkey").alias("merchant_id"),
-        F.col("l_suppkey").alias("agency_id"),
-        F.when(F.col("l_returnflag") == "A", "SUCCESS").when(F.col("l_returnflag") == "N", "FAILED")
-        .otherwise("PENDING").alias("status"),
-        opening.alias("balance_before"),
-        F.when(F.col("l_returnflag") == "A", opening - amount - fee + off)
-        .when(n == 3, opening - n).otherwise(opening).cast("decimal(14,2)").alias("balance_after"),
-        F.col("l_shipdate").cast("date").alias("transaction_date"),
+    rows = table(spark, sf, "lineitem").selectExpr(
+        "*", "l_orderkey * 8 + l_linenumber as id", "l_linenumber as n",
+        "cast(l_extendedprice as decimal(14,2)) as amount", "cast(l_quantity as decimal(14,2)) as fee",
+        "case l_returnflag when 'A' then 'SUCCESS' when 'N' then 'FAILED' else 'PENDING' end as status",
+        "cast(2000000 as decimal(14,2)) as balance_before")
+    return rows.selectExpr(
+        "id",
+        "concat('LI', string(id)) as reference",
+        "concat(string(l_orderkey), '-', string(n)) as idempotency_key",
+        "'PAY' as transaction_type",
+        "amount",
+        "fee",
+        "l_partkey as merchant_id",
+        "l_suppkey as agency_id",
+        "status",
+        "balance_before",
+        """cast(case when status = 'SUCCESS'
+                then balance_before - amount - fee + case n when 7 then 5 when 6 then 1 else 0 end
+                when n = 3 then balance_before - n else balance_before end as decimal(14,2)) as balance_after""",
+        "date(l_shipdate) as transaction_date",
     )
 
 
 def activity(spark: SparkSession, sf: str) -> DataFrame:
     """Events as typed transactions with a time of day."""
-    return table(spark, sf, "events").select(
-        F.col("event_id").alias("id"),
-        F.concat(_s(F.col("user_id")), F.lit("-"), _s(F.floor(F.col("event_id") / 3))).alias("idempotency_key"),
-        F.col("user_id").alias("source_account_id"),
-        _money("value").alias("amount"),
-        F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"),
-        F.col("ts").alias("created_at"),
-        F.col("ts").cast("date").alias("transaction_date"),
-        F.date_format("ts", "HH:mm:ss").alias("transaction_time"),
+    return table(spark, sf, "events").selectExpr(
+        "event_id as id",
+        "concat(string(user_id), '-', string(event_id div 3)) as idempotency_key",
+        "user_id as source_account_id",
+        "cast(value as decimal(14,2)) as amount",
+        "if(event_type = 'error', 'FAILED', 'SUCCESS') as status",
+        "ts as created_at",
+        "date(ts) as transaction_date",
+        "date_format(ts, 'HH:mm:ss') as transaction_time",
     )
 
 
 def items_as_text(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as staged transactions: the natural repeats of (order, line) are the
     conflicting idempotency keys."""
-    n = F.col("l_linenumber")
-    return table(spark, sf, "lineitem").select(
-        F.concat_ws("-", _s(F.col("l_orderkey")), _s(n), _s(F.col("l_partkey")), _s(F.col("l_suppkey"))).alias("id"),
-        F.concat(F.lit("LI"), _s(F.col("l_orderkey"))).alias("reference"),
-        F.concat(_s(F.col("l_orderkey")), F.lit("-"), _s(n)).alias("idempotency_key"),
-        _s(_money("l_extendedprice")).alias("amount"),
-        F.col("l_returnflag").alias("status"),
-        _s(F.col("l_partkey")).alias("source_account_id"),
-        _s(F.col("l_suppkey")).alias("destination_account_id"),
+    return table(spark, sf, "lineitem").selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as id",
+        "concat('LI', string(l_orderkey)) as reference",
+        "concat_ws('-', l_orderkey, l_linenumber) as idempotency_key",
+        "string(cast(l_extendedprice as decimal(14,2))) as amount",
+        "l_returnflag as status",
+        "string(l_partkey) as source_account_id",
+        "string(l_suppkey) as destination_account_id",
     )

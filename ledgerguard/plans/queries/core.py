@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ...operators import core as op
 from ...operators.constraints import constraint_report, table_report
+from ...session import written
 from .. import bindings as b
 from ..oracle import sql
 from ..registry import query
@@ -131,7 +132,7 @@ TX_RULES = [_count("transactions", f"not_null:{c}", f"{c} IS NULL") for c in REQ
 def c8(spark, sf):
     parents = {"accounts": b.accounts(spark, sf), "merchants": b.merchants(spark, sf),
                "agencies": b.agencies(spark, sf), "tx_types": b.tx_types(spark, sf)}
-    return table_report("transactions", op.core_from_route(routed(spark, sf)), parents)
+    return table_report("transactions", written(op.core_from_route(routed(spark, sf)), "core"), parents)
 
 
 DIMENSION_RULES = [

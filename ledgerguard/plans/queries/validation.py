@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 
 from ...operators import anomalies as an
 from ...operators import core as core_op
+from ...operators import quarantine as op_q
 from ...operators import validation as op
+from ...session import written
 from .. import bindings as b
 from ..oracle import sql
 from ..registry import query
-from .quarantine import anomaly_tables, held, routed
+from .quarantine import anomaly_tables, routed
 from .reporting import MOVED
 
 
@@ -16,6 +18,21 @@ def core_rows(spark, sf):
     return core_op.core_from_route(routed(spark, sf))
 
 
+def issue_tables(spark, sf):
+    """The three issue tables, stored once, as the checks expect them."""
+    tx = b.staged_transactions(spark, sf)
+    anomalies, conflicts = [written(t.drop("raw_payload"), "issues") for t in anomaly_tables(tx)]
+    held = op_q.quarantine(
+        tx, [anomalies, conflicts], b.staged_accounts(spark, sf), b.accounts(spark, sf),
+        b.merchants(spark, sf), b.agencies(spark, sf))
+    return anomalies, conflicts, written(held.drop("raw_payload"), "issues")
+
+
+def stored_core(spark, sf, *issues):
+    """Core transactions from the stored issue tables."""
+    return core_op.core_transactions(b.staged_transactions(spark, sf), *issues)
+
+
 def _counts(pairs, name, rows):
     return "\nUNION ALL\n".join(
         f"SELECT '{label}' AS {name}, COUNT(*) AS {rows} FROM {source}" for label, source in pairs)
@@ -83,11 +100,11 @@ UNION ALL SELECT 'Quarantine', COUNT(*), ROUND(COUNT(*) * 100 / total, 2) FROM h
 UNION ALL SELECT 'CORE (trusted)', COUNT(*), ROUND(COUNT(*) * 100 / total, 2) FROM core, n GROUP BY total
 """))
 def v7(spark, sf):
-    tx = b.staged_transactions(spark, sf)
-    anomalies, conflicts = anomaly_tables(tx)
+    anomalies, conflicts, holds = issue_tables(spark, sf)
     return op.layer_shares({
-        "Raw staging": tx, "Idempotency conflicts": conflicts, "Transaction anomalies": anomalies,
-        "Quarantine": held(spark, sf), "CORE (trusted)": core_rows(spark, sf),
+        "Raw staging": b.staged_transactions(spark, sf), "Idempotency conflicts": conflicts,
+        "Transaction anomalies": anomalies, "Quarantine": holds,
+        "CORE (trusted)": stored_core(spark, sf, anomalies, conflicts, holds),
     }, "Raw staging")
 
 
@@ -97,20 +114,20 @@ SELECT (SELECT COUNT(*) FROM ledger) AS staging_transactions, (SELECT COUNT(*) F
        (SELECT COUNT(*) FROM core) AS core_ready_transactions
 """))
 def v8(spark, sf):
-    tx = b.staged_transactions(spark, sf)
-    anomalies, conflicts = anomaly_tables(tx)
+    anomalies, conflicts, holds = issue_tables(spark, sf)
     return op.global_counts({
-        "staging_transactions": tx, "transaction_anomalies": anomalies, "idempotency_conflicts": conflicts,
-        "quarantine_transactions": held(spark, sf), "core_ready_transactions": core_rows(spark, sf)})
+        "staging_transactions": b.staged_transactions(spark, sf), "transaction_anomalies": anomalies,
+        "idempotency_conflicts": conflicts, "quarantine_transactions": holds,
+        "core_ready_transactions": stored_core(spark, sf, anomalies, conflicts, holds)})
 
 
 @query("v9_issue_counts", sql("""
 SELECT code, COUNT(*) AS total FROM anomalies GROUP BY code UNION ALL SELECT code, COUNT(*) FROM holds GROUP BY code
 """))
 def v9(spark, sf):
-    tx = b.staged_transactions(spark, sf)
-    anomalies = op.issue_counts(an.transaction_anomalies(tx), "anomaly_type")
-    holds = op.issue_counts(held(spark, sf), "reject_reason")
+    anomalies, _, holds = issue_tables(spark, sf)
+    anomalies = op.issue_counts(anomalies, "anomaly_type")
+    holds = op.issue_counts(holds, "reject_reason")
     return anomalies.withColumnRenamed("anomaly_type", "code").unionByName(
         holds.withColumnRenamed("reject_reason", "code"))
 
@@ -121,8 +138,7 @@ UNION ALL SELECT 'conflicts', (SELECT COUNT(*) FROM conflicts c JOIN holds q ON
 UNION ALL SELECT 'both', (SELECT COUNT(*) FROM anomalies a JOIN conflicts c ON a.id = c.id)
 """))
 def v10(spark, sf):
-    anomalies, conflicts = anomaly_tables(b.staged_transactions(spark, sf))
-    holds = held(spark, sf)
+    anomalies, conflicts, holds = issue_tables(spark, sf)
     parts = [("anomalies", anomalies, holds), ("conflicts", conflicts, holds), ("both", anomalies, conflicts)]
     out = None
     for name, left, right in parts:
@@ -137,8 +153,8 @@ FROM anomalies GROUP BY id HAVING COUNT(*) > 1
 UNION ALL SELECT 'quarantine', id, COUNT(*) FROM holds GROUP BY id HAVING COUNT(*) > 1
 """))
 def v11(spark, sf):
-    a = op.repeated_issues(an.transaction_anomalies(b.staged_transactions(spark, sf)))
-    q = op.repeated_issues(held(spark, sf))
+    anomalies, _, holds = issue_tables(spark, sf)
+    a, q = op.repeated_issues(anomalies), op.repeated_issues(holds)
     return a.withColumn("issue_table", F.lit("anomalies")).unionByName(
         q.withColumn("issue_table", F.lit("quarantine")))
 
@@ -184,11 +200,11 @@ UNION ALL SELECT 'missing_destination_account', (SELECT COUNT(*) FROM candidates
 """))
 def v13(spark, sf):
     tx, accounts = b.staged_transactions(spark, sf), b.staged_accounts(spark, sf)
-    holds = held(spark, sf)
+    anomalies, conflicts, holds = issue_tables(spark, sf)
     out = None
     for column, reason in (("source_account_id", "missing_source_account"),
                            ("destination_account_id", "missing_destination_account")):
-        part = op.unquarantined(tx, accounts, column, reason, holds, anomaly_tables(tx), "missing").select(
+        part = op.unquarantined(tx, accounts, column, reason, holds, [anomalies, conflicts], "missing").select(
             F.lit(reason).alias("reason"), "missing")
         out = part if out is None else out.unionByName(part)
     return out
@@ -209,9 +225,9 @@ UNION ALL SELECT 'conflicts', (SELECT COUNT(*) FROM core c JOIN conflicts a ON a
 UNION ALL SELECT 'quarantine', (SELECT COUNT(*) FROM core c JOIN holds a ON a.id = CAST(c.id AS VARCHAR))
 """))
 def v15(spark, sf):
-    anomalies, conflicts = anomaly_tables(b.staged_transactions(spark, sf))
-    return op.core_overlaps(core_rows(spark, sf), {
-        "anomalies": anomalies, "conflicts": conflicts, "quarantine": held(spark, sf)})
+    anomalies, conflicts, holds = issue_tables(spark, sf)
+    core = written(stored_core(spark, sf, anomalies, conflicts, holds).select("id"), "core")
+    return op.core_overlaps(core, {"anomalies": anomalies, "conflicts": conflicts, "quarantine": holds})
 
 
 @query("v16_conservation", sql("""
@@ -219,8 +235,8 @@ SELECT (SELECT COUNT(*) FROM ledger) - (SELECT COUNT(*) FROM (SELECT id FROM ano
         UNION SELECT id FROM holds)) AS expected_core_ready, (SELECT COUNT(*) FROM core) AS actual_core_ready
 """))
 def v16(spark, sf):
-    tx = b.staged_transactions(spark, sf)
-    return op.conservation(tx, core_rows(spark, sf), *anomaly_tables(tx), held(spark, sf))
+    issues = issue_tables(spark, sf)
+    return op.conservation(b.staged_transactions(spark, sf), stored_core(spark, sf, *issues), *issues)
 
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that the operators count on. Sizes are left to the cluster: partition
 # counts come from AQE, which starts high and coalesces to the advisory size.
@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Call sites of Column expressions cost more driver time than building the plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -45,3 +47,11 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="ledgerguard-")
     return f"{shared.rstrip('/')}/ledgerguard/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame stored in the scratch folder and read back: a plan that several queries
+    share runs once, and a lost executor costs a read instead of a recomputation."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.clean import squeeze
 from ..schemas import STAGING, text_schema
@@ -21,6 +21,18 @@ READ_OPTIONS = {
 }
 
 
+POSITION = "source_position"
+
+
+def _position() -> Column:
+    """File, block and row: orders rows as in the file without a global sort."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias(POSITION)
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -33,8 +45,7 @@ def read_raw(
     ``columns`` is a list or the name of a staging table. The schema is declared and
     checked against the header, never inferred, so files split freely over tasks;
     ``multi_line`` allows line breaks inside quotes but reads each file in one task.
-    ``position`` adds ``source_position`` (file, block, row), which orders rows as in
-    the file without a global sort.
+    ``position`` adds the place of the row in its file.
     """
     names = STAGING[columns] if isinstance(columns, str) else list(columns)
     df = (
@@ -42,24 +53,15 @@ def read_raw(
         .options(**READ_OPTIONS, enforceSchema="false", multiLine=str(multi_line).lower())
         .csv(path)
     )
-    out = names
-    if position:
-        df = df.select(
-            "*",
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias("source_position"),
-        )
-        out = [*names, "source_position"]
-    return df.select(*out, F.current_timestamp().alias("loaded_at"))
+    place = [_position()] if position else []
+    return df.select(*names, *place, F.current_timestamp().alias("loaded_at"))
 
 
-def read_lenient(spark: SparkSession, path: str) -> DataFrame:
+def read_lenient(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
     """All columns by header name; cells and header trimmed, short rows padded with
     empty text, surplus cells dropped."""
     df = spark.read.options(**READ_OPTIONS, ignoreLeadingWhiteSpace="true").csv(path)
+    place = [_position()] if position else []
     return df.select(*[
         F.coalesce(squeeze(F.col(f"`{c}`")), F.lit("")).alias(c.strip()) for c in df.columns
-    ])
+    ], *place)

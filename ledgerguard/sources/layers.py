@@ -102,7 +102,7 @@ def issue_rows(
     }[kind]
     code = F.lit(code) if isinstance(code, str) else code
     details = F.lit(details) if isinstance(details, str) else details
-    source = [c for c in df.columns if not c.startswith("_")]
+    source = [c for c in df.columns if not c.startswith("_") and c != "source_position"]
     return df.select(
         F.col("id").alias("staging_transaction_id"),
         F.col("reference").alias("transaction_reference"),

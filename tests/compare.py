@@ -29,8 +29,10 @@ def _cell(v):
     return str(v)
 
 
-def spark_rows(spark, name, sf):
+def spark_rows(spark, name, sf, plans=None):
     df = QUERIES[name](spark, sf)
+    if plans is not None:
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
     order = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
     rows = [tuple(_cell(r[i]) for i in order) for r in df.collect()]
     return sorted(df.columns), rows
@@ -43,9 +45,9 @@ def oracle_rows(con, name):
     return sorted(names), [tuple(_cell(r[i]) for i in order) for r in cur.fetchall()]
 
 
-def differences(spark, con, name, sf):
+def differences(spark, con, name, sf, plans=None):
     """None if both give the same rows, else a short description."""
-    columns, got = spark_rows(spark, name, sf)
+    columns, got = spark_rows(spark, name, sf, plans)
     wanted_columns, wanted = oracle_rows(con, name)
     if columns != wanted_columns:
         return f"columns {columns} != {wanted_columns}"
