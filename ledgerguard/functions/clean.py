@@ -10,16 +10,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 NNI = r"^[0-9]{10}\z"
 PHONE = r"^\+222[0-9]{8}\z"
 DIGITS = r"^[0-9]+\z"
-NUMBER = r"(?i)^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\z"
-SPECIAL_NUMBER = r"(?i)^([+-]?inf(inity)?|nan)\z"
-INTEGER = r"^[+-]?[0-9]+\z"
-ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-ISO_SECONDS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?\z"
-ISO_ZONED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})\z"
-DAY_FIRST = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"
+# The parsing patterns allow white space around the text, so that a cell is trimmed once.
+NUMBER = r"(?iU)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*\z"
+SPECIAL_NUMBER = r"(?iU)^\s*([+-]?inf(inity)?|nan)\s*\z"
+INTEGER = r"(?U)^\s*[+-]?[0-9]+\s*\z"
+ISO_TIME = (
+    r"(?U)^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"( [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?"
+    r"|T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2}))?\s*\z"
+)
+DAY_FIRST = r"(?U)^\s*[0-9]{2}/[0-9]{2}/[0-9]{4}\s*\z"
 STARTS_WITH_DAY = r"^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}"
 CLOCK = r"^([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?\z"
 
+# The characters with Unicode's white space property.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 MONEY = "decimal(14,2)"
 
 
@@ -30,8 +39,11 @@ def _col(c: Column | str) -> Column:
 # -- presence and trimming ---------------------------------------------------------
 
 def squeeze(c: Column | str) -> Column:
-    """Trim Unicode white space (not only blanks) at both ends."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+\z", "")
+    """Trim Unicode white space (not only blanks) at both ends. Text that begins and ends
+    with a visible ASCII character, which is nearly all of it, passes as it is."""
+    c = _col(c)
+    visible = F.ascii(c).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126)
+    return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def present(c: Column | str) -> Column:
@@ -100,28 +112,25 @@ def to_bool(c: Column | str) -> Column:
 def to_number(c: Column | str) -> Column:
     """Text as a double. Guarded, because Spark also takes type suffixes such as ``1.0d``;
     a finite literal beyond the double range counts as malformed."""
-    text = squeeze(c)
-    value = text.try_cast("double")
-    finite = F.when(F.abs(value) != F.lit(float("inf")), value)
-    return F.when(text.rlike(NUMBER), finite).when(text.rlike(SPECIAL_NUMBER), value)
+    c = _col(c)
+    value = squeeze(c).try_cast("double")
+    finite = F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
+    return F.when(c.rlike(NUMBER), finite).when(c.rlike(SPECIAL_NUMBER), value)
 
 
 def to_integer(c: Column | str) -> Column:
-    text = squeeze(c)
-    return F.when(text.rlike(INTEGER), text.try_cast("bigint"))
+    c = _col(c)
+    return F.when(c.rlike(INTEGER), squeeze(c).try_cast("bigint"))
 
 
 def to_time(c: Column | str, day_first: bool = True) -> Column:
     """Text as a timestamp if it has one of the accepted layouts: zoned ISO, day, or
     seconds with an optional fraction; ``day_first`` adds ``dd/MM/yyyy``."""
-    text = squeeze(c)
-    iso = F.when(
-        text.rlike(ISO_DAY) | text.rlike(ISO_SECONDS) | text.rlike(ISO_ZONED),
-        text.try_cast("timestamp"),
-    )
+    c = _col(c)
+    iso = F.when(c.rlike(ISO_TIME), squeeze(c).try_cast("timestamp"))
     if not day_first:
         return iso
-    return iso.when(text.rlike(DAY_FIRST), F.try_to_timestamp(text, F.lit("dd/MM/yyyy")))
+    return iso.when(c.rlike(DAY_FIRST), F.try_to_timestamp(squeeze(c), F.lit("dd/MM/yyyy")))
 
 
 # -- derived values -----------------------------------------------------------------

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clean import NNI, PHONE, squeeze, to_number, to_time
-from .skew import broken, sole_rows, tally
+from .skew import rule_hits, sole_rows, tally
 
 
 @dataclass(frozen=True)
@@ -26,9 +26,7 @@ class Check:
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All checks in one scan: DF[rule, count, samples]; a kept rule reports zero."""
-    hits = df.select(
-        F.explode(broken([(c.rule, c.test, c.sample) for c in checks])).alias("hit")
-    ).select("hit.rule", "hit.sample")
+    hits = rule_hits(df, [(c.rule, c.test, c.sample) for c in checks])
     rules = sole_rows([c.rule for c in checks], df.sparkSession)
     return tally(hits, ["rule"], "sample", rules=rules)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.clean import cast_failed
 from ..schemas import CONSTRAINTS, CORE_TYPES, TableRules
-from .skew import broken, sole_rows, tally
+from .skew import rule_hits, sole_rows, tally
 
 
 class ConstraintError(AssertionError):
@@ -20,8 +20,7 @@ def _row_hits(df: DataFrame, rules: TableRules, sample: str) -> DataFrame:
     show = F.col(sample).cast("string")
     tests = [(f"not_null:{c}", F.col(c).isNull(), show) for c in rules.required if c in df.columns]
     tests += [(f"check:{n}", ~F.expr(e), show) for n, e in rules.checks.items()]
-    hits = df.select(F.explode(broken(tests)).alias("hit"))
-    return hits.select("hit.rule", "hit.sample", F.lit(1).cast("bigint").alias("n"))
+    return rule_hits(df, tests).withColumn("n", F.lit(1).cast("bigint"))
 
 
 def _key_hits(df: DataFrame, rules: TableRules, parents: Mapping[str, DataFrame]) -> DataFrame:
@@ -67,8 +66,7 @@ def _cast_columns(raw: DataFrame, types: Mapping[str, str]) -> list[str]:
 def cast_hits(raw: DataFrame, types: Mapping[str, str], sample: str = "id") -> DataFrame:
     """Text cells of staging that do not convert to their core type."""
     tests = [(f"cast:{c}", cast_failed(c, types[c]), F.col(sample)) for c in _cast_columns(raw, types)]
-    hits = raw.select(F.explode(broken(tests)).alias("hit"))
-    return hits.select("hit.rule", "hit.sample", F.lit(1).cast("bigint").alias("n"))
+    return rule_hits(raw, tests).withColumn("n", F.lit(1).cast("bigint"))
 
 
 def table_report(

@@ -12,7 +12,7 @@ from ..functions.clean import (
 )
 from ..schemas import BAD_PREFIX, CATEGORY_PREFIX, CORE_TYPES, CURRENCY, LOOKUP_TYPES
 from .quarantine import exclude
-from .skew import lookup_join
+from .skew import KeyProbe, lookup_join
 
 
 def first_wins(df: DataFrame, key: str, order: Sequence[Column | str] | None = None) -> DataFrame:
@@ -118,25 +118,39 @@ def cast_transactions(tx: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def core_transactions(
-    tx: DataFrame, *issues: DataFrame, strict: bool = False, drop_repeats: bool = False
+    tx: DataFrame, *issues: DataFrame, strict: bool = False, drop_repeats: bool = False,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """Transactions in no issue table, cast, first row per id.
 
     The issue tables become one distinct set of ids and one anti join. Exact repeats of
     an idempotency key are no conflict and stay, for the constraint report to count;
-    ``drop_repeats`` keeps only the first of them.
+    ``drop_repeats`` keeps only the first of them. ``unique_ids`` says that no id is
+    repeated (see ``has_repeats``) and saves the shuffle of the wide rows.
     """
-    kept = exclude(tx.withColumn("staging_transaction_id", F.col("id")), *issues)
-    return _finish(cast_transactions(kept.drop("staging_transaction_id"), strict), drop_repeats)
+    kept = exclude(tx, *issues, id="id", probe=KeyProbe(tx, "id"))
+    return _finish(cast_transactions(kept, strict), drop_repeats, unique_ids)
 
 
-def core_from_route(routed: DataFrame, strict: bool = False, drop_repeats: bool = False) -> DataFrame:
+def core_from_route(
+    routed: DataFrame, strict: bool = False, drop_repeats: bool = False, unique_ids: bool = False
+) -> DataFrame:
     """The same table from routed rows, without stored issue tables."""
-    return _finish(cast_transactions(routed.where(F.col("route") == "CORE"), strict), drop_repeats)
+    return _finish(
+        cast_transactions(routed.where(F.col("route") == "CORE"), strict), drop_repeats, unique_ids)
+
+
+def has_repeats(tx: DataFrame, key: str = "id") -> bool:
+    """Does a typed key occur twice? Counts the key column alone, which is far less to
+    shuffle than the rows, and stops at the first repeat."""
+    keys = tx.select(clean_cast(key, CORE_TYPES["transactions"][key]).alias("k")).where("k is not null")
+    return not keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
-def _finish(rows: DataFrame, drop_repeats: bool) -> DataFrame:
-    rows = first_wins(rows.where(F.col("id").isNotNull()), "id")
+def _finish(rows: DataFrame, drop_repeats: bool, unique_ids: bool) -> DataFrame:
+    rows = rows.where(F.col("id").isNotNull())
+    if not unique_ids:
+        rows = first_wins(rows, "id")
     if drop_repeats:
         own = F.when(present("idempotency_key"), F.concat(F.lit("k"), F.col("idempotency_key"))).otherwise(
             F.concat(F.lit("i"), F.col("id").cast("string")))

@@ -41,6 +41,12 @@ def inferred_type(value: Column | str) -> Column:
     )
 
 
+def _filled() -> Column:
+    """The value is not empty. Names the count as well, so that Catalyst leaves the filter
+    above the aggregation and the value counts are shuffled once for all their readers."""
+    return F.when(F.col("n") > 0, F.col("value")) != ""
+
+
 def _smallest(counts: DataFrame, keep: int) -> DataFrame:
     """The ``keep`` smallest values per column, as an array bounded by ``keep``."""
     rank = Window.partitionBy("column").orderBy("value")
@@ -65,7 +71,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, examples: int =
         F.coalesce(F.min(value), F.lit("")).alias("min"),
         F.coalesce(F.max(value), F.lit("")).alias("max"),
     )
-    shown = _smallest(counts.where(filled), examples)
+    shown = _smallest(counts.where(_filled()), examples)
     return stats.join(shown, "column", "left").select(
         "column",
         "row_count",
@@ -97,7 +103,7 @@ def duplicates(df: DataFrame, columns: Sequence[str], dataset: str = "", samples
         F.count_if(repeated).alias("duplicate_keys"),
         F.coalesce(F.sum(F.when(repeated, F.col("n"))), zero).alias("duplicate_rows"),
     )
-    shown = _smallest(counts.where(repeated), samples)
+    shown = _smallest(counts.where(_filled() & (F.col("n") > 1)), samples)
     return stats.join(shown, "column", "left").select(
         F.lit(dataset).alias("dataset"),
         "column",

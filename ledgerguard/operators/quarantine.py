@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.clean import DIGITS, blank, empty_to_null
 from ..schemas import QUARANTINE, REQUIRED
 from ..sources.layers import issue_rows, upsert
-from .skew import KeyProbe, lookup_join
+from .skew import KeyProbe, explode_hits, lookup_join
 
 PARENT_KEYS = ("source_account_id", "destination_account_id", "merchant_id", "agency_id")
 
@@ -72,7 +72,7 @@ def unresolved(column: str, name: str) -> Column:
 
 def dangling(column: str, marker: str) -> Column:
     """The reference is a number and no parent row was found; other text is skipped."""
-    return F.coalesce(F.col(column).rlike(DIGITS), F.lit(False)) & F.col(marker).isNull()
+    return F.col(marker).isNull() & F.coalesce(F.col(column).rlike(DIGITS), F.lit(False))
 
 
 def missing_merchant_test() -> Column:
@@ -119,8 +119,11 @@ def missing_core_reference(
     return _issues(_source_columns(flagged.where(broken), tx), "missing_core_reference")
 
 
-def exclude(issues: DataFrame, *earlier: DataFrame) -> DataFrame:
-    """Drop issue rows whose transaction is already in an earlier issue table.
+def exclude(
+    issues: DataFrame, *earlier: DataFrame, id: str = "staging_transaction_id",
+    probe: KeyProbe | None = None,
+) -> DataFrame:
+    """Drop rows whose transaction is already in an earlier issue table.
 
     Ids of all earlier tables form one distinct set and one anti join. Rows without an
     id stay, whatever the earlier tables hold.
@@ -132,7 +135,48 @@ def exclude(issues: DataFrame, *earlier: DataFrame) -> DataFrame:
         ids = part if ids is None else ids.unionByName(part)
     if ids is None:
         return issues
-    return lookup_join(issues, ids.distinct(), "staging_transaction_id", "_seen", "left_anti")
+    return lookup_join(issues, ids.distinct(), id, "_seen", "left_anti", probe)
+
+
+HOLD_COLUMNS = ("id", "transaction_type", *PARENT_KEYS)
+
+
+def with_holds(
+    rows: DataFrame, account_ids: DataFrame, merchant_ids: DataFrame, agency_ids: DataFrame,
+    probe: KeyProbe | None = None,
+) -> DataFrame:
+    """Add one boolean per quarantine reason, priorities aside; four lookups in all.
+
+    An account that is not staged at all is a missing account; that reason comes before
+    the core reference, so one account lookup per side serves both.
+    """
+    df = with_match(rows, "source_account_id", account_ids, "src", False, probe)
+    df = with_match(df, "destination_account_id", account_ids, "dst", False, probe)
+    df = with_match(df, "merchant_id", merchant_ids, "merchant", True, probe)
+    df = with_match(df, "agency_id", agency_ids, "agency", True, probe)
+    kept = [F.col(c) for c in df.columns if not c.startswith(("src_", "dst_", "merchant_hit", "agency_hit"))]
+    return df.select(
+        *kept,
+        unresolved("source_account_id", "src").alias("missing_source_account"),
+        unresolved("destination_account_id", "dst").alias("missing_destination_account"),
+        missing_merchant_test().alias("missing_merchant"),
+        (
+            dangling("source_account_id", "src_core")
+            | dangling("destination_account_id", "dst_core")
+            | dangling("merchant_id", "merchant_hit")
+            | dangling("agency_id", "agency_hit")
+        ).alias("missing_core_reference"),
+    )
+
+
+STAGED_REASONS = ("missing_source_account", "missing_destination_account", "missing_merchant")
+
+
+def any_of(columns: Sequence[str]) -> Column:
+    test = F.lit(False)
+    for c in columns:
+        test = test | F.col(c)
+    return test
 
 
 def quarantine(
@@ -141,16 +185,27 @@ def quarantine(
 ) -> DataFrame:
     """All quarantine rows by priority: none for an anomalous transaction, and no core
     reference row for one that an earlier reason already holds. A transaction may have
-    several rows, one per reason."""
-    staged = exclude(
-        missing_source_account(tx, accounts)
-        .unionByName(missing_destination_account(tx, accounts))
-        .unionByName(missing_merchant(tx)),
-        *anomalies,
+    several rows, one per reason.
+
+    A first pass over the six columns that the rules read finds the ids that are held;
+    the wide rows meet those ids once, and only they take part in the second pass, which
+    names the reasons of each row.
+    """
+    sides = (known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies))
+    probe = KeyProbe(tx, "id", *PARENT_KEYS)
+    narrow = exclude(tx.select(*HOLD_COLUMNS), *anomalies, id="id", probe=probe)
+    held = (
+        with_holds(narrow, *sides, probe)
+        .where(any_of(tuple(QUARANTINE)))
+        .groupBy(F.col("id").alias("_held"))
+        .agg(F.bool_or(any_of(STAGED_REASONS)).alias("_staged"))
     )
-    against_core = exclude(
-        missing_core_reference(tx, core_accounts, merchants, agencies), *anomalies, staged)
-    return staged.unionByName(against_core)
+    rows = lookup_join(tx, held, "id", "_held", "inner", probe).drop("_held")
+    tests = [(r, F.col(r) if r in STAGED_REASONS else F.col(r) & ~F.col("_staged")) for r in QUARANTINE]
+    hits = explode_hits(with_holds(rows, *sides, probe), tests, "_reason")
+    texts = F.create_map(*[F.lit(x) for kv in QUARANTINE.items() for x in kv])
+    return issue_rows(
+        hits.select(*tx.columns, "_reason"), F.col("_reason"), F.element_at(texts, F.col("_reason")), "reject")
 
 
 def reason_catalogue(spark: SparkSession, old: DataFrame | None = None) -> DataFrame:
@@ -172,12 +227,7 @@ def missing_required(tx: DataFrame, tx_types: DataFrame) -> DataFrame:
     flags = tx_types.select(
         F.col("code").alias("_type"), *[f for f, _ in REQUIRED.values()])
     typed = lookup_join(tx, flags, "transaction_type", "_type", "inner")
-    missing = F.filter(
-        F.array(*[
-            F.when(F.col(f) & blank(c), F.lit(reason)) for reason, (f, c) in REQUIRED.items()
-        ]),
-        lambda x: x.isNotNull(),
-    )
-    hits = typed.withColumn("_reason", F.explode(missing)).select(*tx.columns, "_reason")
+    tests = [(reason, F.col(f) & blank(c)) for reason, (f, c) in REQUIRED.items()]
+    hits = explode_hits(typed, tests, "_reason").select(*tx.columns, "_reason")
     details = F.concat(F.lit("The transaction type requires "), F.regexp_replace("_reason", "^missing_", ""))
     return issue_rows(hits, F.col("_reason"), details, "reject")

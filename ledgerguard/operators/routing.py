@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..schemas import ANOMALIES, CONFLICT, QUARANTINE
-from .anomalies import anomaly_tests, conflict_keys, flag
-from .quarantine import (
-    PARENT_KEYS, dangling, known_accounts, known_ids, missing_merchant_test, unresolved, with_match,
-)
-from .skew import KeyProbe, lookup_join
+from .anomalies import anomaly_tests, conflict_keys
+from .quarantine import PARENT_KEYS, STAGED_REASONS, any_of, known_accounts, known_ids, with_holds
+from .skew import KeyProbe, flag, lookup_join
 
 NEEDED = (
     "id", "idempotency_key", "transaction_type", "amount", "status", "source_account_id",
@@ -35,44 +33,23 @@ def decisions(
     is anomalous in one row is anomalous in all of them.
     """
     narrow = tx.select(*NEEDED)
-    probe = KeyProbe(narrow, "idempotency_key", *PARENT_KEYS)
+    probe = KeyProbe(tx, "idempotency_key", *PARENT_KEYS)
     flagged = lookup_join(
         narrow, conflict_keys(narrow), "idempotency_key", "conflict_key", "left", probe)
-    account_ids = known_accounts(accounts, core_accounts)
-    flagged = with_match(flagged, "source_account_id", account_ids, "src", False, probe)
-    flagged = with_match(flagged, "destination_account_id", account_ids, "dst", False, probe)
-    flagged = with_match(flagged, "merchant_id", known_ids(merchants), "merchant", True, probe)
-    flagged = with_match(flagged, "agency_id", known_ids(agencies), "agency", True, probe)
+    flagged = with_holds(
+        flagged, known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies), probe)
 
     tests = {code: flag(test) for code, test in anomaly_tests(text_compare).items()}
     tests[CONFLICT] = F.col("conflict_key").isNotNull()
-    tests["missing_source_account"] = unresolved("source_account_id", "src")
-    tests["missing_destination_account"] = unresolved("destination_account_id", "dst")
-    tests["missing_merchant"] = missing_merchant_test()
-    # An account that is not staged at all is a missing account, and that reason comes first.
-    tests["missing_core_reference"] = (
-        dangling("source_account_id", "src_core")
-        | dangling("destination_account_id", "dst_core")
-        | dangling("merchant_id", "merchant_hit")
-        | dangling("agency_id", "agency_hit")
-    )
-
-    rows = flagged.where(F.col("id").isNotNull()).select("id", *[t.alias(c) for c, t in tests.items()])
-    bad = F.lit(False)
-    for code in tests:
-        bad = bad | F.col(code)
-    by_id = rows.where(bad).groupBy("id").agg(*[F.bool_or(c).alias(c) for c in tests])
-
-    staged = F.col("missing_source_account") | F.col("missing_destination_account") | F.col("missing_merchant")
-    late = F.array_remove(_codes(QUARANTINE_CODES), "missing_core_reference")
-    anomalous = F.lit(False)
-    for code in ANOMALY_CODES:
-        anomalous = anomalous | F.col(code)
+    codes = (*ANOMALY_CODES, *QUARANTINE_CODES)
+    rows = flagged.where(F.col("id").isNotNull()).select(
+        "id", *[t.alias(c) for c, t in tests.items()], *QUARANTINE_CODES)
+    by_id = rows.where(any_of(codes)).groupBy("id").agg(*[F.bool_or(c).alias(c) for c in codes])
     return by_id.select(
         F.col("id").alias("decided_id"),
         _codes(ANOMALY_CODES).alias("anomalies"),
-        F.when(anomalous, F.array().cast("array<string>"))
-        .when(staged, late)
+        F.when(any_of(ANOMALY_CODES), F.array().cast("array<string>"))
+        .when(any_of(STAGED_REASONS), _codes(STAGED_REASONS))
         .otherwise(_codes(QUARANTINE_CODES)).alias("quarantine"),
     )
 

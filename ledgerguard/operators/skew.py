@@ -147,33 +147,63 @@ def tally(
     """
     by = list(by)
     n = F.sum(weight) if weight else F.count(F.lit(1))
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
     groups = hits.groupBy(*by, F.col(sample).cast("string").alias("_sample")).agg(
         n.cast("bigint").alias("_n"))
-    first = Window.partitionBy(*by).orderBy("_sample")
+    # Both branches use the counts and filter nothing that Catalyst could push under
+    # them, so the shuffle of the groups is done once and reused.
+    first = Window.partitionBy(*by).orderBy(F.asc_nulls_last("_sample"))
     samples = (
-        groups.where(F.col("_sample").isNotNull())
-        .withColumn("_rank", F.row_number().over(first))
+        groups.withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") <= keep)
-        .select(*by, F.lit(0).cast("bigint").alias("_n"), "_sample")
+        .select(*by, zero.alias("_n"), F.when(F.col("_n") > 0, F.col("_sample")).alias("_sample"))
     )
-    totals = groups.select(*by, "_n", F.lit(None).cast("string").alias("_sample"))
+    totals = groups.groupBy(*by).agg(F.sum("_n").alias("_n")).select(*by, "_n", none.alias("_sample"))
+    both = totals.unionByName(samples)
     if rules is not None:
-        totals = totals.unionByName(rules.select(
-            *by, F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast("string").alias("_sample")))
-    totals = totals.groupBy(*by).agg(F.sum("_n").alias("_n")).withColumn(
-        "_sample", F.lit(None).cast("string"))
-    return totals.unionByName(samples).groupBy(*by).agg(
+        both = both.unionByName(rules.select(*by, zero.alias("_n"), none.alias("_sample")))
+    return both.groupBy(*by).agg(
         F.sum("_n").alias("count"),
         F.array_sort(F.collect_list("_sample")).alias("samples"),
     )
 
 
-def broken(rules: Sequence[tuple[str, Column, Column]]) -> Column:
-    """The (rule, sample) pairs that a row breaks, for one ``explode`` in one scan.
-    ``rules`` holds (name, test, sample); a test that is NULL counts as kept."""
+def flag(test: Column) -> Column:
+    """A test as a plain boolean; one that is NULL did not fire."""
+    return F.coalesce(test, F.lit(False))
+
+
+def explode_hits(df: DataFrame, tests: Sequence[tuple[str, Column]], name: str) -> DataFrame:
+    """One row per (row, test that fires), with the test's name in a new column.
+
+    Rows without a hit are filtered first. The array holds plain cases and the empty ones
+    are dropped after the explode, so the tests stay in generated code; a higher-order
+    ``filter`` on the array would interpret them for every row.
+    """
+    marks = [f"_hit{i}" for i in range(len(tests))]
+    marked = df.select("*", *[flag(t).alias(m) for m, (_, t) in zip(marks, tests)])
+    some = F.lit(False)
+    for m in marks:
+        some = some | F.col(m)
+    codes = F.array(*[F.when(F.col(m), F.lit(code)) for m, (code, _) in zip(marks, tests)])
+    return (
+        marked.where(some).withColumn(name, F.explode(codes)).where(F.col(name).isNotNull()).drop(*marks)
+    )
+
+
+def rule_hits(df: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -> DataFrame:
+    """DF[rule, sample] of all rules in one scan; ``rules`` holds (name, test, sample)."""
+    marks = [f"_hit{i}" for i in range(len(rules))]
+    shows = [f"_show{i}" for i in range(len(rules))]
+    marked = df.select(
+        *[flag(t).alias(m) for m, (_, t, _) in zip(marks, rules)],
+        *[s.cast("string").alias(n) for n, (_, _, s) in zip(shows, rules)])
+    some = F.lit(False)
+    for m in marks:
+        some = some | F.col(m)
     found = F.array(*[
-        F.when(F.coalesce(test, F.lit(False)),
-               F.struct(F.lit(name).alias("rule"), sample.cast("string").alias("sample")))
-        for name, test, sample in rules
+        F.when(F.col(m), F.struct(F.lit(name).alias("rule"), F.col(n).alias("sample")))
+        for m, n, (name, _, _) in zip(marks, shows, rules)
     ])
-    return F.filter(found, lambda x: x.isNotNull())
+    hits = marked.where(some).select(F.explode(found).alias("hit"))
+    return hits.where(F.col("hit").isNotNull()).select("hit.rule", "hit.sample")

@@ -13,10 +13,9 @@ from pyspark.sql.window import Window
 
 from ..functions.clean import blank, elapsed_seconds, empty_to_null, label_by, present
 from ..schemas import BAD_PREFIX
-from .anomalies import flag
 from .quarantine import known_ids, with_match
 from .reports import duplicate_keys, failed_balance_moves
-from .skew import lookup_join
+from .skew import flag, lookup_join
 
 ID = "staging_transaction_id"
 

@@ -15,7 +15,7 @@ from ..operators.constraints import constraint_report
 from ..operators.validation import layer_shares, table_summary
 from ..schemas import LOOKUP_ROWS, STAGING
 from ..sources.csv import read_raw
-from ..sources.layers import LayerStore
+from ..sources.layers import QUARTER, LayerStore, by_quarter
 
 LOOKUPS = ("wilayas", "tx_types", "categories")
 
@@ -61,9 +61,11 @@ def refresh(
         "quarantine", "quarantine_reasons") else None
     reasons = store.replace(quarantine.reason_catalogue(spark, old), "quarantine", "quarantine_reasons")
 
+    rows = core.core_transactions(
+        tx, flagged, conflicts, held, strict=strict, drop_repeats=drop_repeats,
+        unique_ids=not core.has_repeats(tx))
     transactions = store.replace(
-        core.core_transactions(tx, flagged, conflicts, held, strict=strict, drop_repeats=drop_repeats),
-        "core", "transactions")
+        by_quarter(rows, "transaction_date"), "core", "transactions", partition_by=[QUARTER])
 
     tables = {"users": users, "accounts": accounts, "merchants": merchants, "agencies": agencies,
               "transactions": transactions}

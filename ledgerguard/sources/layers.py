@@ -59,24 +59,26 @@ class LayerStore:
             fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"v={version}"), True)
 
 
-def with_quarter(df: DataFrame, date_col: str) -> DataFrame:
-    """Add the partition column ``tx_quarter``, such as ``2024q1``."""
-    return df.withColumn(
-        "tx_quarter",
-        F.concat(F.year(date_col).cast("string"), F.lit("q"), F.quarter(date_col).cast("string")))
+QUARTER = "tx_quarter"
 
 
-def write_fact(df: DataFrame, path: str, date_col: str, mode: str = "overwrite") -> None:
-    """Write a fact partitioned by quarter.
+def quarter_of(day: Column) -> Column:
+    """``2024q1``; sorts as the quarters do."""
+    return F.concat(F.year(day).cast("string"), F.lit("q"), F.quarter(day).cast("string"))
+
+
+def by_quarter(df: DataFrame, date_col: str) -> DataFrame:
+    """Add the partition column and lay the rows out by it.
 
     The rebalance hint gathers a quarter into few files and, through AQE, splits a
     quarter that is far larger than the rest.
     """
-    (
-        with_quarter(df, date_col)
-        .hint("rebalance", "tx_quarter")
-        .write.mode(mode).partitionBy("tx_quarter").parquet(path)
-    )
+    return df.withColumn(QUARTER, quarter_of(F.col(date_col))).hint("rebalance", QUARTER)
+
+
+def write_fact(df: DataFrame, path: str, date_col: str, mode: str = "overwrite") -> None:
+    """Write a fact partitioned by quarter."""
+    by_quarter(df, date_col).write.mode(mode).partitionBy(QUARTER).parquet(path)
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
-from ..operators.anomalies import PAYLOAD, conflict_keys, flag
-from ..operators.skew import lookup_join
+from ..operators.anomalies import PAYLOAD, conflict_keys
+from ..operators.skew import flag, lookup_join
 
 
 # -- the high-water mark -------------------------------------------------------------------
@@ -65,7 +65,7 @@ def stored(
     """A table written in batches, optionally only the batches before one; empty at first."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     fields = [*schema.fields, T.StructField("batch_id", T.LongType())]
     df = spark.read.schema(T.StructType(fields)).parquet(path)
     if before is not None:
@@ -80,21 +80,26 @@ def first_of_batch(batch: DataFrame, key: str, order) -> DataFrame:
     return batch.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank")
 
 
-def insert_new(path: str, key: str, order, day: str | None = None, horizon_days: int | None = None):
-    """Sink: ON CONFLICT (key) DO NOTHING against all earlier batches.
+def recent(
+    rows: DataFrame, batch: DataFrame, day: str | None, horizon_days: int | None
+) -> DataFrame:
+    """Stored rows no older than ``horizon_days`` before the first day of the batch; all
+    rows without a horizon. Bounds the look-back of a sink on a long history."""
+    if day is None or horizon_days is None:
+        return rows
+    start = batch.agg(F.min(day)).first()[0]
+    if start is None:
+        return rows
+    return rows.where(F.col(day) >= F.date_sub(F.lit(start).cast("date"), horizon_days))
 
-    With ``day`` and ``horizon_days``, only keys stored within that many days before the
-    batch's own first day are compared, so the look-back stays bounded on a long history.
-    """
+
+def insert_new(path: str, key: str, order, day: str | None = None, horizon_days: int | None = None):
+    """Sink: ON CONFLICT (key) DO NOTHING against earlier batches, within a horizon if
+    one is given."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fresh = first_of_batch(batch, key, order)
-        old = stored(spark, path, _schema(batch), before=batch_id)
-        if day is not None and horizon_days is not None:
-            start = batch.agg(F.min(day)).first()[0]
-            if start is not None:
-                old = old.where(F.col(day) >= F.date_sub(F.lit(start).cast("date"), horizon_days))
-        seen = old.select(F.col(key).alias("_seen")).distinct()
+        old = stored(batch.sparkSession, path, _schema(batch), before=batch_id)
+        seen = recent(old, batch, day, horizon_days).select(F.col(key).alias("_seen")).distinct()
         lookup_join(fresh, seen, key, "_seen", "left_anti").write.mode("overwrite").parquet(
             f"{path}/batch_id={batch_id}")
     return write
@@ -111,7 +116,10 @@ def unique_within(df: DataFrame, key: str, at: str, horizon: str = "1 day") -> D
 
 # -- accept or reject ---------------------------------------------------------------------------
 
-def accept_or_reject(tests: dict[str, Column], accepted: str, rejected: str, key: str, order):
+def accept_or_reject(
+    tests: dict[str, Column], accepted: str, rejected: str, key: str, order,
+    day: str | None = None, horizon_days: int | None = None,
+):
     """Sink: rows that break a rule, or repeat a key, go to the reject table with their
     reasons; the others to the accepted one. ``tests`` are true for a broken row.
 
@@ -120,6 +128,7 @@ def accept_or_reject(tests: dict[str, Column], accepted: str, rejected: str, key
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         old = stored(batch.sparkSession, accepted, _schema(batch), before=batch_id)
+        old = recent(old, batch, day, horizon_days)
         seen = old.select(F.col(key).alias("_seen")).distinct().withColumn("_old", F.lit(True))
         broken = F.array_compact(F.array(*[F.when(flag(t), F.lit(n)) for n, t in tests.items()]))
         position = F.struct(*order)
@@ -142,7 +151,8 @@ def accept_or_reject(tests: dict[str, Column], accepted: str, rejected: str, key
 # -- conflicts that arrive late -----------------------------------------------------------------
 
 def correct_conflicts(
-    history: str, retractions: str, key: str = "idempotency_key", payload=PAYLOAD, id: str = "id"
+    history: str, retractions: str, key: str = "idempotency_key", payload=PAYLOAD, id: str = "id",
+    day: str | None = None, horizon_days: int | None = None,
 ):
     """Sink for the batch rule on a stream: all rows of a conflicting key leave core.
 
@@ -153,7 +163,8 @@ def correct_conflicts(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
-        rows = stored(spark, history, _schema(batch), before=batch_id + 1)
+        rows = recent(
+            stored(spark, history, _schema(batch), before=batch_id + 1), batch, day, horizon_days)
         touched = batch.select(F.col(key).alias("_touched")).distinct()
         affected = lookup_join(rows, touched, key, "_touched", "left_semi")
         conflicts = conflict_keys(affected, key, payload)
