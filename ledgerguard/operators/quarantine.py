@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.clean import DIGITS, blank, empty_to_null
 from ..schemas import QUARANTINE, REQUIRED
 from ..sources.layers import issue_rows, upsert
-from .skew import KeyProbe, explode_hits, lookup_join
+from .skew import KeyProbe, any_of, explode_hits, lookup_join
 
 PARENT_KEYS = ("source_account_id", "destination_account_id", "merchant_id", "agency_id")
 
@@ -172,13 +172,6 @@ def with_holds(
 STAGED_REASONS = ("missing_source_account", "missing_destination_account", "missing_merchant")
 
 
-def any_of(columns: Sequence[str]) -> Column:
-    test = F.lit(False)
-    for c in columns:
-        test = test | F.col(c)
-    return test
-
-
 def quarantine(
     tx: DataFrame, anomalies: Sequence[DataFrame], accounts: DataFrame,
     core_accounts: DataFrame, merchants: DataFrame, agencies: DataFrame,

@@ -7,8 +7,8 @@ from pyspark.sql.window import Window
 
 from ..schemas import ANOMALIES, CONFLICT, QUARANTINE
 from .anomalies import anomaly_tests, conflict_keys
-from .quarantine import PARENT_KEYS, STAGED_REASONS, any_of, known_accounts, known_ids, with_holds
-from .skew import KeyProbe, flag, lookup_join
+from .quarantine import PARENT_KEYS, STAGED_REASONS, known_accounts, known_ids, with_holds
+from .skew import KeyProbe, any_of, flag, lookup_join
 
 NEEDED = (
     "id", "idempotency_key", "transaction_type", "amount", "status", "source_account_id",

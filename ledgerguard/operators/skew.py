@@ -173,22 +173,23 @@ def flag(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
+def any_of(columns: Sequence[str]) -> Column:
+    """Is one of several non-NULL booleans true?"""
+    columns = [F.col(c) for c in columns]
+    return F.greatest(*columns) if len(columns) > 1 else columns[0]
+
+
 def explode_hits(df: DataFrame, tests: Sequence[tuple[str, Column]], name: str) -> DataFrame:
     """One row per (row, test that fires), with the test's name in a new column.
 
-    Rows without a hit are filtered first. The array holds plain cases and the empty ones
-    are dropped after the explode, so the tests stay in generated code; a higher-order
-    ``filter`` on the array would interpret them for every row.
+    The tests run in generated code, and rows without a hit are filtered there; only the
+    others reach the array function, which Spark interprets row by row.
     """
     marks = [f"_hit{i}" for i in range(len(tests))]
     marked = df.select("*", *[flag(t).alias(m) for m, (_, t) in zip(marks, tests)])
-    some = F.lit(False)
-    for m in marks:
-        some = some | F.col(m)
     codes = F.array(*[F.when(F.col(m), F.lit(code)) for m, (code, _) in zip(marks, tests)])
-    return (
-        marked.where(some).withColumn(name, F.explode(codes)).where(F.col(name).isNotNull()).drop(*marks)
-    )
+    hits = marked.where(any_of(marks)).withColumn(name, F.explode(F.array_compact(codes)))
+    return hits.drop(*marks)
 
 
 def rule_hits(df: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -> DataFrame:
@@ -198,12 +199,9 @@ def rule_hits(df: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -> Dat
     marked = df.select(
         *[flag(t).alias(m) for m, (_, t, _) in zip(marks, rules)],
         *[s.cast("string").alias(n) for n, (_, _, s) in zip(shows, rules)])
-    some = F.lit(False)
-    for m in marks:
-        some = some | F.col(m)
     found = F.array(*[
         F.when(F.col(m), F.struct(F.lit(name).alias("rule"), F.col(n).alias("sample")))
         for m, n, (name, _, _) in zip(marks, shows, rules)
     ])
-    hits = marked.where(some).select(F.explode(found).alias("hit"))
-    return hits.where(F.col("hit").isNotNull()).select("hit.rule", "hit.sample")
+    hits = marked.where(any_of(marks)).select(F.explode(F.array_compact(found)).alias("hit"))
+    return hits.select("hit.rule", "hit.sample")
