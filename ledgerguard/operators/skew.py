@@ -182,14 +182,14 @@ def any_of(columns: Sequence[str]) -> Column:
 def explode_hits(df: DataFrame, tests: Sequence[tuple[str, Column]], name: str) -> DataFrame:
     """One row per (row, test that fires), with the test's name in a new column.
 
-    The tests run in generated code, and rows without a hit are filtered there; only the
-    others reach the array function, which Spark interprets row by row.
+    The tests are columns of their own, so they run in generated code; the array
+    function, which Spark interprets, sees finished booleans. There is no filter on them
+    in between: Catalyst's constraint inference doubles its work with every such column.
     """
     marks = [f"_hit{i}" for i in range(len(tests))]
     marked = df.select("*", *[flag(t).alias(m) for m, (_, t) in zip(marks, tests)])
     codes = F.array(*[F.when(F.col(m), F.lit(code)) for m, (code, _) in zip(marks, tests)])
-    hits = marked.where(any_of(marks)).withColumn(name, F.explode(F.array_compact(codes)))
-    return hits.drop(*marks)
+    return marked.withColumn(name, F.explode(F.array_compact(codes))).drop(*marks)
 
 
 def rule_hits(df: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -> DataFrame:
@@ -203,5 +203,5 @@ def rule_hits(df: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -> Dat
         F.when(F.col(m), F.struct(F.lit(name).alias("rule"), F.col(n).alias("sample")))
         for m, n, (name, _, _) in zip(marks, shows, rules)
     ])
-    hits = marked.where(any_of(marks)).select(F.explode(F.array_compact(found)).alias("hit"))
+    hits = marked.select(F.explode(F.array_compact(found)).alias("hit"))
     return hits.select("hit.rule", "hit.sample")
