@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..schemas import ANOMALIES, CONFLICT, QUARANTINE
 from .anomalies import anomaly_tests, conflict_keys
 from .quarantine import PARENT_KEYS, STAGED_REASONS, known_accounts, known_ids, with_holds
-from .skew import KeyProbe, any_of, flag, lookup_join
+from .skew import KeyProbe, flag, lookup_join
 
 NEEDED = (
     "id", "idempotency_key", "transaction_type", "amount", "status", "source_account_id",
@@ -18,8 +18,20 @@ ANOMALY_CODES = (*ANOMALIES, CONFLICT)
 QUARANTINE_CODES = tuple(QUARANTINE)
 
 
-def _codes(codes) -> F.Column:
-    return F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in codes]), lambda x: x.isNotNull())
+ALL_CODES = (*ANOMALY_CODES, *QUARANTINE_CODES)
+
+
+def _bit(code: str) -> int:
+    return 1 << ALL_CODES.index(code)
+
+
+def _has(codes) -> Column:
+    """Does the bit set of a transaction hold one of the codes?"""
+    return F.col("bits").bitwiseAND(sum(_bit(c) for c in codes)) != 0
+
+
+def _codes(codes) -> Column:
+    return F.array_compact(F.array(*[F.when(_has([c]), F.lit(c)) for c in codes]))
 
 
 def decisions(
@@ -29,8 +41,8 @@ def decisions(
     """Transactions that do not reach core: DF[decided_id, anomalies, quarantine].
 
     Works on the eleven columns that rules read. Row flags come from row predicates, the
-    conflicting keys and one lookup per parent; they collapse per id, because an id that
-    is anomalous in one row is anomalous in all of them.
+    conflicting keys and one lookup per parent. They travel as one small bit set and
+    collapse per id, because an id that is anomalous in one row is so in all of them.
     """
     narrow = tx.select(*NEEDED)
     probe = KeyProbe(tx, "idempotency_key", *PARENT_KEYS)
@@ -41,15 +53,15 @@ def decisions(
 
     tests = {code: flag(test) for code, test in anomaly_tests(text_compare).items()}
     tests[CONFLICT] = F.col("conflict_key").isNotNull()
-    codes = (*ANOMALY_CODES, *QUARANTINE_CODES)
-    rows = flagged.where(F.col("id").isNotNull()).select(
-        "id", *[t.alias(c) for c, t in tests.items()], *QUARANTINE_CODES)
-    by_id = rows.where(any_of(codes)).groupBy("id").agg(*[F.bool_or(c).alias(c) for c in codes])
+    tests |= {code: F.col(code) for code in QUARANTINE_CODES}
+    bits = sum((F.when(t, _bit(c)).otherwise(0) for c, t in tests.items()), F.lit(0))
+    rows = flagged.where(F.col("id").isNotNull()).select("id", bits.alias("bits")).where("bits <> 0")
+    by_id = rows.groupBy("id").agg(F.bit_or("bits").alias("bits"))
     return by_id.select(
         F.col("id").alias("decided_id"),
         _codes(ANOMALY_CODES).alias("anomalies"),
-        F.when(any_of(ANOMALY_CODES), F.array().cast("array<string>"))
-        .when(any_of(STAGED_REASONS), _codes(STAGED_REASONS))
+        F.when(_has(ANOMALY_CODES), F.array().cast("array<string>"))
+        .when(_has(STAGED_REASONS), _codes(STAGED_REASONS))
         .otherwise(_codes(QUARANTINE_CODES)).alias("quarantine"),
     )
 
