@@ -1,6 +1,5 @@
 """Anomaly detection."""
 
-from pyspark.sql import functions as F
 
 from ...operators import anomalies as op
 from .. import bindings as b

@@ -3,8 +3,6 @@
 from pyspark.sql import functions as F
 
 from ...functions import clean
-from ...operators import core
-from ...operators import profile as profiles
 from ...operators.core import repair_names
 from .. import bindings as b
 from ..oracle import sql

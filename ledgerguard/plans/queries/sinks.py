@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ...operators import anomalies as an
 from ...operators.reports import daily_totals
 from ...session import scratch
 from ...sources.csv import read_lenient, read_raw

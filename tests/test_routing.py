@@ -2,7 +2,6 @@ import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from ledgerguard.operators import anomalies, core, quarantine, routing
 from ledgerguard.operators.constraints import ConstraintError, constraint_report, table_report
