@@ -11,8 +11,7 @@ from ledgerguard.session import written
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BITMAP_BITS = 1 << 22     # size of a member bitmap: 512 KB, whatever the input
 BUCKET_BITS = 32_768      # fixed by bitmap_construct_agg
-ARROW_ROWS = 1_000        # rows in an Arrow batch; keeps batches of long texts small
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 16 << 20    # most bytes in an Arrow batch, unless one row is larger
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def arrow_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that go to Python workers by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Bound the Arrow batches that go to Python workers by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 

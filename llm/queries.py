@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, urls
+from . import exact, substrings, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_url_filter")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(table(spark, sf, "pages"), RULES)
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(table(spark, sf, "documents")))
