@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, substrings, urls
+from . import exact, phrases, substrings, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(table(spark, sf, "documents")))
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.digest(phrases.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
