@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -49,7 +49,7 @@ def cut(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterator[pa.
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         at = 0
         while at < batch.num_rows:
             ends = np.cumsum(lengths[at:])
@@ -78,7 +78,7 @@ def blocks(docs: DataFrame, text: str = "text", most: int = BLOCK_BYTES) -> Data
     def pack(batches):
         part = TaskContext.get().partitionId()
         for seq, batch in enumerate(cut(batches, text, most)):
-            size = int(pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
+            size = int(pc.sum(pc.binary_length(batch.column(text))).as_py() or 0)
             yield pa.RecordBatch.from_pydict({
                 "block": pa.array([(part << 33) + seq], pa.int64()), "docs": pa.array([batch.num_rows], pa.int64()),
                 "bytes": pa.array([size], pa.int64()), "words": pa.array([size // 2 + batch.num_rows], pa.int64()),

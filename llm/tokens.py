@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 4 << 20  # text handled at once; a longer document makes a longer chunk
 
@@ -143,7 +144,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", most: int = CHUNK_BYTES) -
     if not n:
         return
     column = batch.column(text)
-    size = pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    size = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(size)
     at = 0
     while at < n:
