@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, phrases, substrings, urls
+from . import exact, near, phrases, substrings, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.digest(phrases.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
+@query("op5_minhash_near_dedup")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return near.near_groups(table(spark, sf, "documents"), size=2, share=80)
