@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, near, phrases, substrings, urls
+from . import exact, near, packing, phrases, substrings, token_files, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,14 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_minhash_near_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return near.near_groups(table(spark, sf, "documents"), size=2, share=80)
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_token_files")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.read_tokens(
+        token_files.write_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")))
