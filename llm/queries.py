@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, near, packing, phrases, substrings, token_files, urls
+from . import exact, near, packing, phrases, substrings, token_files, toxicity, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_tokens(
         token_files.write_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
