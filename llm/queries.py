@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, near, packing, phrases, substrings, token_files, toxicity, urls
+from . import exact, language, near, packing, phrases, substrings, token_files, toxicity, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,11 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents (doc_id) and pages (page_id); texts are learned from labelled documents."""
+    docs = table(spark, sf, "documents")
+    return language.identify(
+        language.evidence(docs, table(spark, sf, "pages")), language.likelihoods(docs.select("doc_id", "text", "lang")))

@@ -9,6 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .chars import ngrams
 from .common import arrow_batches, same_names, stored
 from .tokens import pieces
 
@@ -22,41 +23,15 @@ SHARDS = 64              # pieces of the count vectors
 SPREAD = 16              # partitions of the training texts, whose number is bounded
 STEPS, RIDGE = 100, 1.0
 
-_FACTOR = np.uint32(0x9E3779B1)
-
-
 def held_out(id: Column) -> Column:
     """Is the row kept from training? One in five, by the id's checksum."""
     return F.pmod(F.crc32(F.coalesce(id.cast("string"), F.lit(""))), F.lit(5)) == 0
 
 
-def ngrams(texts: list[str | None]):
-    """For each n-gram size: (feature of the n-gram at each character, is it inside one
-    text); and where each text begins among the characters. Letters are lower-cased,
-    every text stands between two blanks."""
-    low = [" " + (t or "").lower() + " " for t in texts]
-    first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in low])))
-    chars = np.frombuffer("\n".join([*low, ""]).encode("utf-32-le"), np.uint32)
-    breaks = first[1:] - 1
-    out, h = [], np.zeros(len(chars), np.uint32)
-    crosses = np.zeros(len(chars), dtype=bool)
-    for k in range(max(SIZES)):
-        n = len(chars) - k
-        h[:n] = (h[:n] ^ chars[k:]) * _FACTOR
-        h[:n] ^= h[:n] >> np.uint32(15)
-        h[n:] = 0
-        near = breaks - k
-        crosses[near[near >= 0]] = True
-        crosses[max(n, 0):] = True
-        if k + 1 in SIZES:
-            out.append(((h * np.uint32(0x85EBCA6B) + np.uint32(k)) >> np.uint32(32 - BITS), ~crosses))
-    return out, first[:-1]
-
-
 def present(texts: list[str | None], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, feature) of the distinct features of each text among the ``wanted`` (a flag
     for each feature)."""
-    parts, first = ngrams(texts)
+    parts, first = ngrams(texts, SIZES, BITS)
     keys = []
     for feature, inside in parts:
         at = np.flatnonzero(wanted[feature] & inside)
