@@ -37,6 +37,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return written(df, f"llm-{name}")
 
 
+ROW = "__llm_row"
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The rows stored with a number of their own, so that repeated rows and null or equal
+    ids are told apart."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), f"{name}-rows")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Numbered rows without those whose number is in ``gone`` (one column); the columns
+    come back as they were."""
+    gone = stored(gone.select(F.col(gone.columns[0]).alias("__llm_gone")), "gone")
+    return rows.join(gone, F.col(ROW) == F.col("__llm_gone"), "left_anti").drop(ROW)
+
+
 def same_names(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Only these columns, so that extra columns of a table cannot clash with ours."""
     return df.select(*[F.col(f"`{n}`") for n in names])

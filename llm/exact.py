@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ascii_lower, maybe_member, member_bitmap, stored
+from .common import ROW, ascii_lower, maybe_member, member_bitmap, numbered, stored, without
 
 PREFIX = 256  # characters of the second refinement
 
@@ -63,12 +63,8 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", digest
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text another row with a larger id repeats.
-
-    The rows are stored once with a number of their own, so repeated rows and null ids
-    are told apart and the columns come back as they were."""
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "exact-rows")
-    groups = exact_groups(
-        numbered.select(F.struct("doc_id", "__row").alias("doc_id"), "text"))
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id.__row").alias("__gone"))
-    return numbered.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
+    """``docs`` without the rows whose text another row with a larger doc_id repeats; all
+    their columns as they were."""
+    rows = numbered(docs, "exact")
+    groups = exact_groups(rows.select(F.struct("doc_id", ROW).alias("doc_id"), "text"))
+    return without(rows, groups.where(~F.col("kept")).select(f"doc_id.{ROW}"))

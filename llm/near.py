@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_batches, maybe_member, member_bitmap, same_names, stored
+from .common import ROW, arrow_batches, maybe_member, member_bitmap, numbered, same_names, stored, without
 from .components import components
 from .tokens import mix, pieces, window_hashes, words
 
@@ -295,3 +295,16 @@ def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
     return found.join(stored(named, "names"), (F.col("n") == F.col("_n")) & (F.col("same") == F.col("_same")), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def drop_near(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest
+    doc_id (nulls last; of equal ids any one). All their columns as they were."""
+    rows = numbered(docs, "near")
+    named = near_groups(rows.select(F.col(ROW).alias("doc_id"), "text"), size, share).where("n_shingles > 0")
+    ids = rows.select(F.col(ROW).alias("_row"), F.col("doc_id").alias("_doc"))
+    members = stored(named.select("doc_id", "component_id").join(ids, F.col("doc_id") == F.col("_row")).select(
+        "_row", "component_id", F.struct(F.col("_doc").isNull(), "_doc", "_row").alias("_rank")), "members")
+    first = members.groupBy("component_id").agg(F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    gone = members.join(stored(first, "first"), "component_id").where("_rank._row <> _first._row").select("_row")
+    return without(rows, gone)

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import BLOCK_BYTES, cut, long_ids, rows, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted
-from .common import arrow_batches, same_names, stored
+from .common import ROW, arrow_batches, numbered, same_names, stored, without
 from .substrings import covered
 from .tokens import words
 
@@ -320,3 +320,10 @@ def digest(result: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that hold a window of an item; all their columns as they were."""
+    kept = numbered(docs, "phrases")
+    result = decontaminate(kept.select(F.col(ROW).alias("doc_id"), "text"), benchmark, size)
+    return without(kept, result.where("n_hit > 0").select("doc_id"))
