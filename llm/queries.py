@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, language, near, packing, phrases, substrings, token_files, toxicity, urls
+from . import exact, language, lm, near, packing, phrases, substrings, token_files, toxicity, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return language.identify(
         language.evidence(docs, table(spark, sf, "pages")), language.likelihoods(docs.select("doc_id", "text", "lang")))
+
+
+@query("op1_lm_scoring")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"))
