@@ -34,10 +34,12 @@ SHARDS = 16         # pieces of the weights when they are averaged
 END = np.uint64(0x5BD1E995F00DCAFE)  # stands for the hash of a text's end
 _START = CONTEXT + (1 << 16)         # context before the first word
 
+
 def held_out(id: Column) -> Column:
     """Is the row kept from training? One in five, by the id's checksum; a null id is not."""
     return F.pmod(F.crc32(F.coalesce(id.cast("string"), F.lit(""))), F.lit(5)) == 1
 
+
 @dataclass
 class Tokens:
     """Words and ends of the texts of a block: hash, ending and document of each."""
@@ -47,6 +49,7 @@ class Tokens:
     doc: np.ndarray
     train: np.ndarray  # is its document in the training part?
 
+
 def tokens(block: pa.RecordBatch) -> Tokens:
     w = words(block.column("text"), lower=True)
     docs = np.arange(w.docs)
@@ -65,10 +68,12 @@ def tokens(block: pa.RecordBatch) -> Tokens:
     train = ~block.column("held_out").to_numpy(zero_copy_only=False)
     return Tokens(h, ending, doc, train[doc])
 
+
 def _distinct(t: Tokens):
     """Sorted distinct hashes, where each occurs first, and the number of each token's."""
     return np.unique(t.hash, return_index=True, return_inverse=True)
 
+
 def _send(buckets: int):
     def run(batches):
         for number, data in rows(batches, ("block", "data")):
@@ -87,8 +92,10 @@ def _send(buckets: int):
                     "endings": pa.array([squeeze(ending[part])], pa.binary())})
     return run
 
+
 _STATS = ["total", "types", "ones", "twos"]
 
+
 def _add(key, table):
     """Of one bucket: the count of each hash in the corpus, for every block that asked; sums
     by ending; and its commonest words."""
@@ -118,6 +125,7 @@ def _add(key, table):
         "word": pa.array(none * (n + m) + distinct[most].view(np.int64).tolist(), pa.int64()),
         "count": pa.array(none * (n + m) + total[most].tolist(), pa.int64())})
 
+
 @dataclass
 class Model:
     n: int                  # training tokens
@@ -211,6 +219,7 @@ class Model:
             out[mine] = np.where(count[mine] > 0, p[at, cls[mine]] * inside[mine], (p @ left)[at])
         return np.log10(np.maximum(out, 1e-300))
 
+
 def _start(stats: DataFrame) -> Model:
     """Classes and counts from the sums of all buckets; no weights yet. What comes to the
     driver is a row per ending (65,536 at most) and CONTEXT words."""
@@ -236,6 +245,7 @@ def _start(stats: DataFrame) -> Model:
                  min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5,
                  np.sort(word), np.zeros((1 << ROW_BITS, CLASSES), np.float32), bias)
 
+
 def _round(packed: DataFrame, model: Model, k: int) -> np.ndarray:
     """One round of distributed updates: tasks take gradient steps on their blocks from the
     same weights, and their weights are averaged, weighted by how many blocks they saw."""
@@ -272,8 +282,10 @@ def _round(packed: DataFrame, model: Model, k: int) -> np.ndarray:
         out[s] += np.frombuffer(data, "<f4")
     return out.reshape(model.weights.shape)
 
+
 _OUT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
+
 def _score(buckets: int, sent):
     def run(batches):
         for data, replies in rows(batches, ("data", "replies")):
@@ -297,6 +309,7 @@ def _score(buckets: int, sent):
                 "score": pa.array(np.bincount(t.doc, weights=model.score(t, count), minlength=n), pa.float64())})
     return run
 
+
 def score(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score (log10 probability of the whole text and its end).
