@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.clean import conflict_group_id, present
 from ..schemas import ANOMALIES
 from ..sources.layers import issue_rows, raw_payload
-from .skew import KeyProbe, explode_hits, flag, lookup_join
+from .skew import explode_hits, flag, lookup_join
 
 PAYLOAD = ("amount", "status", "source_account_id", "destination_account_id")
 
@@ -82,11 +82,12 @@ def conflict_keys(tx: DataFrame, key: str = "idempotency_key", payload=PAYLOAD)
 
 
 def conflict_rows(
-    tx: DataFrame, key: str = "idempotency_key", payload=PAYLOAD, probe: KeyProbe | None = None
+    tx: DataFrame, key: str = "idempotency_key", payload=PAYLOAD, keys: DataFrame | None = None
 ) -> DataFrame:
-    """Every source row of every conflicting key, not only the later ones."""
-    return lookup_join(
-        tx, conflict_keys(tx, key, payload), key, "conflict_key", "left_semi", probe)
+    """Every source row of every conflicting key, not only the later ones. ``keys`` are the
+    conflicting ones, if they are known."""
+    keys = conflict_keys(tx, key, payload) if keys is None else keys
+    return lookup_join(tx, keys, key, "conflict_key", "left_semi")
 
 
 def conflict_groups(tx: DataFrame, key: str = "idempotency_key", payload=PAYLOAD) -> DataFrame:
@@ -103,9 +104,9 @@ def conflict_groups(tx: DataFrame, key: str = "idempotency_key", payload=PAYLOAD
     )
 
 
-def idempotency_conflicts(tx: DataFrame) -> DataFrame:
+def idempotency_conflicts(tx: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Issue rows of all members of conflicting groups, with the group id."""
-    rows = conflict_rows(tx)
+    rows = conflict_rows(tx, keys=keys)
     return rows.select(
         conflict_group_id("idempotency_key").alias("conflict_group_id"),
         "idempotency_key",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.clean import DIGITS, blank, empty_to_null
 from ..schemas import QUARANTINE, REQUIRED
 from ..sources.layers import issue_rows, upsert
-from .skew import KeyProbe, any_of, explode_hits, lookup_join
+from .skew import any_of, explode_hits, lookup_join
 
 PARENT_KEYS = ("source_account_id", "destination_account_id", "merchant_id", "agency_id")
 
@@ -35,36 +35,22 @@ def known_accounts(accounts: DataFrame, core_accounts: DataFrame) -> DataFrame:
     Joining the two account tables first saves a join of the transactions per side."""
     staged = known_ids(accounts).withColumn("number", numeric_id("key"))
     core = known_ids(core_accounts).select(F.col("key").alias("core_key"), F.lit(True).alias("core"))
-    return lookup_join(staged, core, "number", "core_key").select("key", "hit", "core")
+    return staged.join(core, F.col("number") == F.col("core_key"), "left").select("key", "hit", "core")
 
 
 def with_match(
     tx: DataFrame, column: str, known: DataFrame, name: str, numeric: bool,
-    probe: KeyProbe | None = None,
 ) -> DataFrame:
     """Look a reference up among known keys and add the markers as ``<name>_<marker>``:
     true where the parent was found, else NULL. Blank references become NULL keys before
     the join, so they never meet in one partition."""
     key = numeric_id(column) if numeric else empty_to_null(column)
     keyed = tx.withColumn(f"{name}_ref", key)
-    if probe is not None:
-        probe = _Renamed(probe, f"{name}_ref", column)
     side = known.select(*[F.col(c).alias(f"{name}_{c}") for c in known.columns])
-    joined = lookup_join(keyed, side, f"{name}_ref", f"{name}_key", "left", probe)
+    joined = lookup_join(keyed, side, f"{name}_ref", f"{name}_key", "left")
     return joined.drop(f"{name}_ref", f"{name}_key")
 
 
-class _Renamed:
-    """A probe of a column seen under the name of its join key."""
-
-    def __init__(self, probe: KeyProbe, name: str, column: str):
-        self._probe, self._name, self._column = probe, name, column
-        self.worthwhile = probe.worthwhile
-
-    def __getitem__(self, name: str) -> list[str]:
-        return self._probe[self._column]
-
-
 def unresolved(column: str, name: str) -> Column:
     """The reference is blank, or no parent row was found."""
     return blank(column) | F.col(f"{name}_hit").isNull()
@@ -112,16 +98,14 @@ def missing_core_reference(
     """A numeric reference whose parent did not reach core; four parents."""
     parents = (accounts, accounts, merchants, agencies)
     flagged, broken = tx, F.lit(False)
-    probe = KeyProbe(tx, *PARENT_KEYS)
     for column, parent in zip(PARENT_KEYS, parents):
-        flagged = with_match(flagged, column, known_ids(parent), f"core_{column}", True, probe)
+        flagged = with_match(flagged, column, known_ids(parent), f"core_{column}", True)
         broken = broken | dangling(column, f"core_{column}_hit")
     return _issues(_source_columns(flagged.where(broken), tx), "missing_core_reference")
 
 
 def exclude(
     issues: DataFrame, *earlier: DataFrame, id: str = "staging_transaction_id",
-    probe: KeyProbe | None = None,
 ) -> DataFrame:
     """Drop rows whose transaction is already in an earlier issue table.
 
@@ -135,7 +119,7 @@ def exclude(
         ids = part if ids is None else ids.unionByName(part)
     if ids is None:
         return issues
-    return lookup_join(issues, ids.distinct(), id, "_seen", "left_anti", probe)
+    return lookup_join(issues, ids.distinct(), id, "_seen", "left_anti")
 
 
 HOLD_COLUMNS = ("id", "transaction_type", *PARENT_KEYS)
@@ -143,17 +127,16 @@ HOLD_COLUMNS = ("id", "transaction_type", *PARENT_KEYS)
 
 def with_holds(
     rows: DataFrame, account_ids: DataFrame, merchant_ids: DataFrame, agency_ids: DataFrame,
-    probe: KeyProbe | None = None,
 ) -> DataFrame:
     """Add one boolean per quarantine reason, priorities aside; four lookups in all.
 
     An account that is not staged at all is a missing account; that reason comes before
     the core reference, so one account lookup per side serves both.
     """
-    df = with_match(rows, "source_account_id", account_ids, "src", False, probe)
-    df = with_match(df, "destination_account_id", account_ids, "dst", False, probe)
-    df = with_match(df, "merchant_id", merchant_ids, "merchant", True, probe)
-    df = with_match(df, "agency_id", agency_ids, "agency", True, probe)
+    df = with_match(rows, "source_account_id", account_ids, "src", False)
+    df = with_match(df, "destination_account_id", account_ids, "dst", False)
+    df = with_match(df, "merchant_id", merchant_ids, "merchant", True)
+    df = with_match(df, "agency_id", agency_ids, "agency", True)
     kept = [F.col(c) for c in df.columns if not c.startswith(("src_", "dst_", "merchant_hit", "agency_hit"))]
     return df.select(
         *kept,
@@ -185,22 +168,36 @@ def quarantine(
     names the reasons of each row.
     """
     sides = (known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies))
-    probe = KeyProbe(tx, "id", *PARENT_KEYS)
-    narrow = exclude(tx.select(*HOLD_COLUMNS), *anomalies, id="id", probe=probe)
+    narrow = exclude(tx.select(*HOLD_COLUMNS), *anomalies, id="id")
     held = (
-        with_holds(narrow, *sides, probe)
+        with_holds(narrow, *sides)
         .where(any_of(tuple(QUARANTINE)))
         .groupBy(F.col("id").alias("_held"))
         .agg(F.bool_or(any_of(STAGED_REASONS)).alias("_staged"))
     )
-    rows = lookup_join(tx, held, "id", "_held", "inner", probe).drop("_held")
+    rows = lookup_join(tx, held, "id", "_held", "inner").drop("_held")
     tests = [(r, F.col(r) if r in STAGED_REASONS else F.col(r) & ~F.col("_staged")) for r in QUARANTINE]
-    hits = explode_hits(with_holds(rows, *sides, probe), tests, "_reason")
+    hits = explode_hits(with_holds(rows, *sides), tests, "_reason")
     texts = F.create_map(*[F.lit(x) for kv in QUARANTINE.items() for x in kv])
     return issue_rows(
         hits.select(*tx.columns, "_reason"), F.col("_reason"), F.element_at(texts, F.col("_reason")), "reject")
 
 
+def quarantine_of(
+    rows: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame, agencies: DataFrame
+) -> DataFrame:
+    """The same issue rows for transactions that were routed to quarantine; ``reasons``
+    says whether a transaction is held for a staged reason already."""
+    sides = (known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies))
+    source = [c for c in rows.columns if c not in ("route", "reasons", "source_position")]
+    staged = F.arrays_overlap("reasons", F.array(*[F.lit(r) for r in STAGED_REASONS]))
+    flagged = with_holds(rows.withColumn("_staged", staged), *sides)
+    tests = [(r, F.col(r) if r in STAGED_REASONS else F.col(r) & ~F.col("_staged")) for r in QUARANTINE]
+    hits = explode_hits(flagged, tests, "_reason")
+    texts = F.create_map(*[F.lit(x) for kv in QUARANTINE.items() for x in kv])
+    return issue_rows(hits.select(*source, "_reason"), F.col("_reason"), F.element_at(texts, F.col("_reason")), "reject")
+
+
 def reason_catalogue(spark: SparkSession, old: DataFrame | None = None) -> DataFrame:
     """The codes that are written, with their texts; existing rows are overwritten."""
     codes = F.array(*[

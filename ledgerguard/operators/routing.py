@@ -7,8 +7,8 @@ from pyspark.sql.window import Window
 
 from ..schemas import ANOMALIES, CONFLICT, QUARANTINE
 from .anomalies import anomaly_tests, conflict_keys
-from .quarantine import PARENT_KEYS, STAGED_REASONS, known_accounts, known_ids, with_holds
-from .skew import KeyProbe, flag, lookup_join
+from .quarantine import STAGED_REASONS, known_accounts, known_ids, with_holds
+from .skew import flag, lookup_join
 
 NEEDED = (
     "id", "idempotency_key", "transaction_type", "amount", "status", "source_account_id",
@@ -36,20 +36,20 @@ def _codes(codes) -> Column:
 
 def decisions(
     tx: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame,
-    agencies: DataFrame, text_compare: bool = False,
+    agencies: DataFrame, text_compare: bool = False, conflicts: DataFrame | None = None,
 ) -> DataFrame:
     """Transactions that do not reach core: DF[decided_id, anomalies, quarantine].
 
     Works on the eleven columns that rules read. Row flags come from row predicates, the
     conflicting keys and one lookup per parent. They travel as one small bit set and
     collapse per id, because an id that is anomalous in one row is so in all of them.
+    ``conflicts`` are the conflicting keys, if they are known.
     """
     narrow = tx.select(*NEEDED)
-    probe = KeyProbe(tx, "idempotency_key", *PARENT_KEYS)
     flagged = lookup_join(
-        narrow, conflict_keys(narrow), "idempotency_key", "conflict_key", "left", probe)
+        narrow, conflict_keys(narrow) if conflicts is None else conflicts, "idempotency_key", "conflict_key", "left")
     flagged = with_holds(
-        flagged, known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies), probe)
+        flagged, known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies))
 
     tests = {code: flag(test) for code, test in anomaly_tests(text_compare).items()}
     tests[CONFLICT] = F.col("conflict_key").isNotNull()
@@ -68,15 +68,16 @@ def decisions(
 
 def route(
     tx: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame,
-    agencies: DataFrame, text_compare: bool = False,
+    agencies: DataFrame, text_compare: bool = False, decided: DataFrame | None = None,
 ) -> DataFrame:
     """Every staged row with its one route and all its reasons.
 
     The decisions hold only ids outside core, so the join back is small whenever most
     rows are good; AQE then broadcasts it instead of shuffling the wide rows.
     """
-    decided = decisions(tx, accounts, core_accounts, merchants, agencies, text_compare)
-    joined = lookup_join(tx, decided, "id", "decided_id", "left", KeyProbe(tx, "id"))
+    if decided is None:
+        decided = decisions(tx, accounts, core_accounts, merchants, agencies, text_compare)
+    joined = lookup_join(tx, decided, "id", "decided_id", "left")
     none = F.array().cast("array<string>")
     anomalies = F.coalesce(F.col("anomalies"), none)
     held = F.coalesce(F.col("quarantine"), none)

@@ -7,19 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
-HOT_KEYS = 128        # most hot keys handled per column; bounds what reaches the driver
-HOT_SHARE = 1 / 1000  # a key with a larger share of the rows is hot
-TRACKED = 10_000      # size of the frequency sketch; its error is far below HOT_SHARE
-SPREAD = 256          # slices that a hot key is cut into
-
-
-def _bytes(text: str) -> int:
-    """Spark size text (``10MB``, ``10485760b``, ``-1``) as bytes."""
-    text = text.strip().lower()
-    digits = text.rstrip("kmgtpbi")
-    unit = text[len(digits):].rstrip("b").rstrip("i")
-    return int(digits) * 1024 ** (" kmgtp".index(unit) if unit else 0)
-
 
 def input_bytes(df: DataFrame) -> int:
     """Size of the tables that a plan reads, as Catalyst knows them without a job. It
@@ -28,103 +15,28 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """The side stems from less data than Spark's broadcast limit. No hint follows from
-    this: Catalyst and AQE still decide by the size that they see."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-    return limit > 0 and input_bytes(df) <= limit
-
+def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left") -> DataFrame:
+    """Equi-join rows to a keyed side: one plan and one answer at every size.
 
-def skew_matters(df: DataFrame) -> bool:
-    """False while all input is smaller than one partition that Spark calls skewed."""
-    limit = _bytes(df.sparkSession.conf.get(
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB"))
-    return input_bytes(df) > limit
-
-
-def heavy_keys(df: DataFrame, *columns: str) -> dict[str, list[str]]:
-    """Keys that own more than HOT_SHARE of the rows, as text, per column.
-
-    One scan of the key columns with a bounded frequency sketch per task: nothing is
-    shuffled by key, and at most HOT_KEYS values per column come to the driver. The
-    list only steers how rows are spread, so an estimate cannot change a result.
-    """
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.expr(f"approx_top_k(cast(`{c}` as string), {HOT_KEYS}, {TRACKED})").alias(c)
-          for c in columns],
-    ).first()
-    floor = max(1, row["rows"] * HOT_SHARE)
-    return {
-        c: [k["item"] for k in (row[c] or []) if k["item"] is not None and k["count"] > floor]
-        for c in columns
-    }
-
-
-class KeyProbe:
-    """Hot keys of several columns of one frame, found by one scan when first asked for."""
-
-    def __init__(self, df: DataFrame, *columns: str):
-        self.df, self.columns, self._found = df, columns, None
-        self.worthwhile = skew_matters(df)
-
-    def __getitem__(self, column: str) -> list[str]:
-        if self._found is None:
-            self._found = heavy_keys(self.df, *self.columns)
-        return self._found[column]
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "left",
-    probe: KeyProbe | None = None,
-) -> DataFrame:
-    """Equi-join rows to a keyed side, safe against hot and missing keys.
-
-    * The rows are few, or the right side is within Spark's broadcast limit: a plain
-      join, whose strategy Catalyst and AQE choose by size.
-    * Otherwise: rows of a hot key are cut into SPREAD slices and only the hot keys of
-      the right side are repeated for them (at most HOT_KEYS x SPREAD extra rows for a
-      unique key). Rows without a key, which never match, are spread over all
-      partitions instead of meeting in one.
+    Keys compare as in any join, after Catalyst's own coercion. Rows without a key, which
+    never match, are spread over all partitions instead of meeting in one. Hot keys are
+    left to AQE, which sees real partition sizes and splits those of the row side; the
+    session switches that on (``session.DEFAULTS``). Nothing runs while the plan is built.
 
     The slice comes from the row and the id of its partition, both of which a retried
     task sees again. Works for inner, left, left_semi and left_anti joins.
     """
-    probe = probe or KeyProbe(left, left_key)
     lkey, rkey = F.col(left_key), F.col(right_key)
-    if not probe.worthwhile or fits_broadcast(right):
-        return left.join(right, lkey == rkey, how)
-
-    hot = probe[left_key]
     atomic = [f.name for f in left.schema.fields
               if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
-    row = F.xxhash64(*atomic) + F.spark_partition_id()
-    salt = F.when(lkey.isNull(), row)
-    replicas = F.array(F.lit(0).cast("bigint"))
-    if hot:
-        salt = salt.when(lkey.cast("string").isin(hot), F.pmod(row, F.lit(SPREAD)))
-        replicas = F.when(
-            rkey.cast("string").isin(hot),
-            F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")),
-        ).otherwise(replicas)
-    salted = left.withColumn("_slice", salt.otherwise(F.lit(0)).cast("bigint"))
-    spread = right.withColumn("_copy", F.explode(replicas))
-    joined = salted.join(
-        spread, (lkey == rkey) & (F.col("_slice") == F.col("_copy")), how)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in atomic]) + F.spark_partition_id()
+    spread = left.withColumn("_slice", F.when(lkey.isNull(), row).otherwise(F.lit(0)).cast("bigint"))
+    # Generated, so that Catalyst keeps it as a join key and doesn't fold it away.
+    side = right.withColumn("_copy", F.explode(F.array(F.lit(0).cast("bigint"))))
+    joined = spread.join(side, (lkey == rkey) & (F.col("_slice") == F.col("_copy")), how)
     return joined.drop("_slice", "_copy")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows + 1`` rows; a larger side
-    comes back as it is, and the join falls to Catalyst."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
-
-
 def sole_rows(rules: Sequence[str], spark: SparkSession, name: str = "rule") -> DataFrame:
     """One row per rule name, so that a rule without a hit still reports zero."""
     return spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in rules])).alias(name))
@@ -140,25 +52,23 @@ def tally(
 ) -> DataFrame:
     """Count hits per group with the ``keep`` smallest distinct samples.
 
-    Hits collapse to (group, sample) before the shuffle, so a hot value costs one row
-    per task. Samples are cut to ``keep`` per group on the map side too (a row_number
-    filter that Spark turns into a group limit), so no array grows with the data.
-    ``rules`` adds groups that have no hit.
+    Counts are partial sums per task. Samples are ranked on the raw hits: Spark turns the
+    filter on ``dense_rank`` into a group limit before the shuffle, so of all violating
+    rows a task sends its smallest few samples per group and nothing else. ``distinct``
+    follows the limit, since a rank may be shared. ``rules`` adds groups without a hit.
     """
     by = list(by)
     n = F.sum(weight) if weight else F.count(F.lit(1))
     zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
-    groups = hits.groupBy(*by, F.col(sample).cast("string").alias("_sample")).agg(
-        n.cast("bigint").alias("_n"))
-    # Both branches use the counts and filter nothing that Catalyst could push under
-    # them, so the shuffle of the groups is done once and reused.
     first = Window.partitionBy(*by).orderBy(F.asc_nulls_last("_sample"))
     samples = (
-        groups.withColumn("_rank", F.row_number().over(first))
+        hits.select(*by, F.col(sample).cast("string").alias("_sample"))
+        .withColumn("_rank", F.dense_rank().over(first))
         .where(F.col("_rank") <= keep)
-        .select(*by, zero.alias("_n"), F.when(F.col("_n") > 0, F.col("_sample")).alias("_sample"))
+        .select(*by, "_sample").distinct()
+        .select(*by, zero.alias("_n"), "_sample")
     )
-    totals = groups.groupBy(*by).agg(F.sum("_n").alias("_n")).select(*by, "_n", none.alias("_sample"))
+    totals = hits.groupBy(*by).agg(n.cast("bigint").alias("_n")).select(*by, "_n", none.alias("_sample"))
     both = totals.unionByName(samples)
     if rules is not None:
         both = both.unionByName(rules.select(*by, zero.alias("_n"), none.alias("_sample")))

@@ -7,14 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that the operators count on. Sizes are left to the cluster: partition
-# counts come from AQE, which starts high and coalesces to the advisory size.
+# Settings that the operators count on. Partition counts come from AQE: it starts with as
+# many as ``size_shuffles`` asks for and merges them to the advisory size.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     # Call sites of Column expressions cost more driver time than building the plans.
@@ -34,19 +35,51 @@ def session(master: str | None = None, app: str = "ledgerguard", **conf) -> Spar
     return builder.getOrCreate()
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path for intermediate tables, under the folder that the cluster shares.
+MOST_PARTITIONS = 100_000  # shuffles with more spend their time on bookkeeping
+
+
+def shuffle_partitions(total_bytes: int, advisory_bytes: int = 64 << 20, least: int = 1) -> int:
+    """Partitions that a shuffle of so much input should start with. AQE merges what turns
+    out smaller, but never splits an ordinary shuffle, so the start must be high enough."""
+    return min(MOST_PARTITIONS, max(least, -(-total_bytes // advisory_bytes)))
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int) -> int:
+    """Let AQE start with as many partitions as the input needs; never fewer than set."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shuffle_partitions(total_bytes, least=least)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without
-    that setting falls back to a temporary folder; on a cluster that would be a path
-    the executors do not see, so it is refused.
+_roots: dict[str, str] = {}
+
+
+def _shared(spark: SparkSession) -> str:
+    """The folder of this application's scratch tables, dropped when it ends.
+
+    It lies in the session's ``spark.checkpoint.dir``. Only a local session without that
+    setting gets a temporary folder, one for the whole session; on a cluster that would be
+    a path the executors do not see, so it is refused.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerguard-")
-    return f"{shared.rstrip('/')}/ledgerguard/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="ledgerguard-")
+        _roots[app] = f"{base.rstrip('/')}/ledgerguard/{app}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(_roots[app])
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return _roots[app]
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table, under the folder that the cluster shares."""
+    return f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -8,12 +8,13 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = session(
         "local[8]", "ledgerguard-tests",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
     )
     s.sparkContext.setLogLevel("FATAL")
     yield s
