@@ -24,11 +24,12 @@ def _row_hits(df: DataFrame, rules: TableRules, sample: str) -> DataFrame:
 
 
 def _key_hits(df: DataFrame, rules: TableRules, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """UNIQUE and FOREIGN KEY of one table in one scan.
+    """UNIQUE and FOREIGN KEY of one table.
 
     Each row gives one (rule, value) per key column. Values are counted before anything
     is joined, so a hot key collapses on the map side and meets its parent once. All
-    parents form one side of one anti join, tagged by table.
+    parents form one side of one anti join, tagged by table. The two kinds of rules read
+    the table by themselves, each with its own columns.
     """
     cells = [(f"unique:{c}", c, "") for c in rules.unique]
     cells += [(f"foreign_key:{c}", c, f"{parent}.{key}")
@@ -77,7 +78,7 @@ def table_report(
 
     ``parents`` maps table names to typed frames; foreign keys to a parent that is not
     given are left out. ``raw`` adds the cast failures of its staging table. The table is
-    read twice, so give a stored one rather than a long plan.
+    read several times, so give a stored one rather than a long plan.
     """
     rules = rules or CONSTRAINTS[table]
     types = CORE_TYPES.get(table, {})
@@ -106,8 +107,13 @@ def constraint_report(
         part = table_report(table, df, parents, (raw or {}).get(table))
         report = part if report is None else report.unionByName(part)
     if strict:
-        first = report.where("violations > 0").limit(1).collect()
-        if first:
-            raise ConstraintError(f"{first[0]['table']}: {first[0]['constraint']} "
-                                  f"violated {first[0]['violations']} times")
+        raise_violations(report)
     return report
+
+
+def raise_violations(report: DataFrame) -> None:
+    """Stop on the first violation of a report, which should be a stored one."""
+    first = report.where("violations > 0").limit(1).collect()
+    if first:
+        raise ConstraintError(f"{first[0]['table']}: {first[0]['constraint']} "
+                              f"violated {first[0]['violations']} times")

@@ -12,7 +12,7 @@ from ..functions.clean import (
 )
 from ..schemas import BAD_PREFIX, CATEGORY_PREFIX, CORE_TYPES, CURRENCY, LOOKUP_TYPES
 from .quarantine import exclude
-from .skew import KeyProbe, lookup_join
+from .skew import lookup_join
 
 
 def first_wins(df: DataFrame, key: str, order: Sequence[Column | str] | None = None) -> DataFrame:
@@ -118,22 +118,22 @@ def cast_transactions(tx: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def core_transactions(
-    tx: DataFrame, *issues: DataFrame, strict: bool = False, drop_repeats: bool = False,
+    tx: DataFrame, *issues: DataFrame, strict: bool = False, drop_repeats: bool = True,
     unique_ids: bool = False,
 ) -> DataFrame:
     """Transactions in no issue table, cast, first row per id.
 
     The issue tables become one distinct set of ids and one anti join. Exact repeats of
-    an idempotency key are no conflict and stay, for the constraint report to count;
-    ``drop_repeats`` keeps only the first of them. ``unique_ids`` says that no id is
+    an idempotency key are no conflict; the first stays, because keys are unique in core,
+    and ``repeated_transactions`` reports the rest. ``drop_repeats=False`` keeps them all. ``unique_ids`` says that no id is
     repeated (see ``has_repeats``) and saves the shuffle of the wide rows.
     """
-    kept = exclude(tx, *issues, id="id", probe=KeyProbe(tx, "id"))
+    kept = exclude(tx, *issues, id="id")
     return _finish(cast_transactions(kept, strict), drop_repeats, unique_ids)
 
 
 def core_from_route(
-    routed: DataFrame, strict: bool = False, drop_repeats: bool = False, unique_ids: bool = False
+    routed: DataFrame, strict: bool = False, drop_repeats: bool = True, unique_ids: bool = False
 ) -> DataFrame:
     """The same table from routed rows, without stored issue tables."""
     return _finish(
@@ -147,15 +147,33 @@ def has_repeats(tx: DataFrame, key: str = "id") -> bool:
     return not keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
+def _own_key(rows: DataFrame) -> Column:
+    """The idempotency key; rows without one stand for themselves."""
+    return F.when(present("idempotency_key"), F.concat(F.lit("k"), F.col("idempotency_key"))).otherwise(
+        F.concat(F.lit("i"), F.col("id").cast("string")))
+
+
+def repeated_transactions(rows: DataFrame) -> DataFrame:
+    """What ``drop_repeats`` leaves out: DF[staging_transaction_id, idempotency_key, first_id].
+
+    ``rows`` are those that reach core, repeats included. The first of a key is found by
+    aggregation, so a hot key costs one row per task."""
+    order = F.struct(*(_position(rows) or ["id"]))
+    keyed = rows.where(F.col("id").isNotNull()).withColumn("_own", _own_key(rows)).withColumn("_order", order)
+    firsts = keyed.groupBy("_own").agg(
+        F.min("_order").alias("_first"), F.min_by("id", "_order").alias("first_id"), F.count(F.lit(1)).alias("_n")
+    ).where("_n > 1")
+    return keyed.join(firsts, "_own").where(F.col("_order") != F.col("_first")).select(
+        F.col("id").cast("string").alias("staging_transaction_id"), "idempotency_key", "first_id")
+
+
 def _finish(rows: DataFrame, drop_repeats: bool, unique_ids: bool) -> DataFrame:
     rows = rows.where(F.col("id").isNotNull())
     if not unique_ids:
-        rows = first_wins(rows, "id")
+        rows = first_wins(rows, "id", _position(rows) or ["created_at", "reference", "idempotency_key", "amount", "status"])
     if drop_repeats:
-        own = F.when(present("idempotency_key"), F.concat(F.lit("k"), F.col("idempotency_key"))).otherwise(
-            F.concat(F.lit("i"), F.col("id").cast("string")))
         order = _position(rows) or ["id"]
-        rows = first_wins(rows.withColumn("_own", own), "_own", order).drop("_own")
+        rows = first_wins(rows.withColumn("_own", _own_key(rows)), "_own", order).drop("_own")
     return rows.drop("source_position")
 
 

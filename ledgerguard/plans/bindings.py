@@ -56,6 +56,15 @@ def staged_transactions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def staged_with_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """The staged transactions, some of them a second time under another id: exact repeats
+    of an idempotency key, which are no conflict."""
+    rows = staged_transactions(spark, sf)
+    again = rows.where("cast(id as bigint) % 50 = 22").withColumn(
+        "id", F.expr("string(cast(id as bigint) + 500000000)"))
+    return rows.unionByName(again)
+
+
 def staged_users(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").selectExpr("*", "c_custkey as k", "string(c_custkey) as key")
     return rows.selectExpr(

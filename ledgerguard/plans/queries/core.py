@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ...operators import core as op
+from ...operators import core as op, quarantine, validation
 from ...operators.constraints import constraint_report, table_report
 from ...session import written
 from .. import bindings as b
@@ -95,6 +95,48 @@ def c7_route(spark, sf):
     return op.core_from_route(routed(spark, sf)).select(*SHOWN)
 
 
+def repeats_ledger(spark, sf):
+    """The ledger with exact repeats, and its issue rows."""
+    tx = b.staged_with_repeats(spark, sf)
+    accounts = b.accounts(spark, sf)
+    dims = (b.staged_accounts(spark, sf), accounts, b.merchants(spark, sf), b.agencies(spark, sf))
+    issues = [*anomaly_tables(tx)]
+    return tx, (*issues, quarantine.quarantine(tx, issues, *dims))
+
+
+@query("c7_core_keeps_first", sql(f"SELECT {CORE_COLUMNS} FROM core"))
+def c7_first(spark, sf):
+    tx, issues = repeats_ledger(spark, sf)
+    return op.core_transactions(tx, *issues).select(*SHOWN)
+
+
+@query("c7_repeats_reported", sql("""
+SELECT CAST(id + 500000000 AS VARCHAR) AS staging_transaction_id, idempotency_key, id AS first_id
+FROM core WHERE id % 50 = 22
+"""))
+def c7_repeats(spark, sf):
+    tx, issues = repeats_ledger(spark, sf)
+    return op.repeated_transactions(op.core_transactions(tx, *issues, drop_repeats=False))
+
+
+@query("v2_core_duplicate_keys_with_repeats", sql("""
+SELECT idempotency_key, 2 AS occurrences FROM core WHERE id % 50 = 22
+"""))
+def v2_repeats(spark, sf):
+    tx, issues = repeats_ledger(spark, sf)
+    return validation.core_duplicate_keys(op.core_transactions(tx, *issues, drop_repeats=False))
+
+
+@query("v16_conservation_with_repeats", sql("""
+SELECT COUNT(*) AS expected_core_ready, COUNT(*) AS actual_core_ready FROM core
+"""))
+def v16_repeats(spark, sf):
+    tx, issues = repeats_ledger(spark, sf)
+    reached = written(op.core_transactions(tx, *issues, drop_repeats=False), "reached")
+    return validation.conservation(
+        tx, op.core_transactions(tx, *issues), *issues, op.repeated_transactions(reached))
+
+
 def _count(table, rule, test, sample="CAST(id AS VARCHAR)", source="core"):
     return (f"SELECT '{table}' AS table, '{rule}' AS constraint, "
             f"(SELECT COUNT(*) FROM {source} WHERE {test}) AS violations, "

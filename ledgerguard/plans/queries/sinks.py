@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ...operators.reports import daily_totals
 from ...session import scratch
-from ...sources.csv import read_lenient, read_raw
+from ...sources.csv import malformed_rows, read_lenient, read_raw
 from ...sources.layers import LayerStore, issue_rows, upsert, write_fact, write_report
 from .. import bindings as b
 from ..oracle import sql
@@ -31,6 +31,21 @@ def s1(spark, sf):
     return raw.withColumn("loaded", F.col("loaded_at").isNotNull()).drop("loaded_at")
 
 
+@query("s1_malformed_rows", sql("""
+SELECT CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN id || ',' || nni || ',' || phone || ',surplus' ELSE id || ',' || nni END AS record
+FROM staged_users WHERE CAST(id AS BIGINT) % 10 IN (3, 4)
+"""))
+def s1_malformed(spark, sf):
+    """Some rows have a cell too many, some one too few."""
+    key = F.col("id").cast("bigint")
+    cells = F.concat_ws(",", "id", "nni", "phone")
+    line = F.when(key % 10 == 4, F.concat(cells, F.lit(",surplus"))).when(
+        key % 10 == 3, F.concat_ws(",", "id", "nni")).otherwise(cells)
+    path = scratch(spark, "users-lines")
+    b.staged_users(spark, sf).select(line.alias("value")).write.text(path)
+    return malformed_rows(spark, path, ["id", "nni", "phone"], header=False).select("record")
+
+
 @query("s2_read_lookups", sql("""
 SELECT CAST(id AS VARCHAR) AS id, code, name, capital, '' AS latitude, CAST(population AS VARCHAR) AS population FROM wilayas
 """))
@@ -64,10 +79,10 @@ def s4(spark, sf):
 @query("s5_issue_rows", sql("""
 SELECT id AS staging_transaction_id, 'flagged' AS anomaly_type, 'why' AS anomaly_details, amount AS payload_amount,
        status AS payload_status, CASE WHEN merchant_id = '' THEN NULL ELSE merchant_id END AS payload_merchant,
-       TRUE AS keeps_null FROM ledger WHERE status = 'FAILED'
+       TRUE AS keeps_null FROM ledger
 """))
 def s5(spark, sf):
-    tx = b.staged_transactions(spark, sf).where("status = 'FAILED'").withColumn(
+    tx = b.staged_transactions(spark, sf).withColumn(
         "merchant_id", F.nullif("merchant_id", F.lit(""))).withColumn("nothing", F.lit(None).cast("string"))
     rows = issue_rows(tx, "flagged", "why")
     return rows.select(
@@ -78,6 +93,21 @@ def s5(spark, sf):
         F.col("raw_payload").contains('"nothing":null').alias("keeps_null"))
 
 
+@query("s4_failed_refresh", "SELECT c_custkey, c_name, 1 AS versions FROM customer")
+def s4_failed(spark, sf):
+    """A run that dies after its first table leaves every table as it was."""
+    store = LayerStore(spark, scratch(spark, "layers"))
+    customers = b.table(spark, sf, "customer").select("c_custkey", "c_name")
+    store.replace(customers, "core", "customers")
+    try:
+        with store.run():
+            store.replace(customers.limit(0), "core", "customers")
+            raise RuntimeError("lost")
+    except RuntimeError:
+        pass
+    return store.read("core", "customers").withColumn("versions", F.lit(store.manifest()["core.customers"]))
+
+
 @query("s6_upsert", """
 SELECT p_partkey AS code, CASE WHEN p_size > 40 THEN 'new ' || p_name ELSE p_brand END AS description FROM part
 """)

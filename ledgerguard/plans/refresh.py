@@ -1,79 +1,123 @@
 """The full refresh: raw files to staging, then anomalies, quarantine, core and reports.
 
 Every step stores its table and the next ones read it back, so a lost executor costs a
-read, a failed step leaves the earlier versions in place, and no plan grows long.
+read and no plan grows long. The tables of a run are committed together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import anomalies, core, quarantine
-from ..operators.constraints import constraint_report
+from ..operators import anomalies, core, quarantine, routing
+from ..operators.constraints import constraint_report, raise_violations
+from ..operators.skew import input_bytes
 from ..operators.validation import layer_shares, table_summary
 from ..schemas import LOOKUP_ROWS, STAGING
-from ..sources.csv import read_raw
+from ..session import size_shuffles
+from ..sources.csv import malformed_rows, read_raw
 from ..sources.layers import QUARTER, LayerStore, by_quarter
 
 LOOKUPS = ("wilayas", "tx_types", "categories")
 
 
-def stage(spark: SparkSession, store: LayerStore, paths: Mapping[str, str], multi_line: bool = False) -> None:
-    """Load the raw files: ``paths`` maps staging table names to CSV paths."""
-    for table, path in paths.items():
-        rows = read_raw(spark, path, table, position=table not in LOOKUPS, multi_line=multi_line)
-        store.replace(rows, "staging", table)
+def stage(spark: SparkSession, store: LayerStore, paths: Mapping[str, str], multi_line: bool = False,
+          strict: bool = False) -> None:
+    """Load the raw files: ``paths`` maps staging table names to CSV paths. Rows with a cell
+    too many or too few go to ``staging.malformed_rows`` as they stand; ``strict`` stops."""
+    with store.run():
+        faults = None
+        for table, path in paths.items():
+            rows = read_raw(spark, path, table, position=table not in LOOKUPS, multi_line=multi_line, strict=strict)
+            store.replace(rows, "staging", table)
+            part = malformed_rows(spark, path, table, multi_line).withColumn("table", F.lit(table))
+            faults = part if faults is None else faults.unionByName(part)
+        if faults is not None:
+            store.replace(faults, "staging", "malformed_rows")
+
+
+def _all(*work):
+    """Results of independent steps, whose jobs share the cluster."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(w) for w in work]]
 
 
 def refresh(
     spark: SparkSession, store: LayerStore, lookup_rows: Mapping[str, int] | None = LOOKUP_ROWS,
-    text_compare: bool = False, strict: bool = False, drop_repeats: bool = False,
+    text_compare: bool = False, strict: bool = False, drop_repeats: bool = True,
 ) -> DataFrame:
     """Rebuild every layer behind staging; gives the row counts of all tables.
 
+    The transactions are read three times: for the conflicting keys, for the narrow
+    decision of every id, and for the wide rows, which are stored with their route. The
+    issue tables and core are written from that table, each from its own part. All tables
+    become visible together when the run ends; a failed run changes nothing.
+
     ``lookup_rows`` are the sizes that the lookups must have, or None. ``strict`` lets a
     malformed cell or a violated constraint stop the run.
     """
     staged = {t: store.read("staging", t) for t in STAGING}
+    size_shuffles(spark, sum(input_bytes(df) for df in staged.values()))
+    with store.run():
+        return _refresh(spark, store, staged, lookup_rows, text_compare, strict, drop_repeats)
+
+
+def _refresh(spark, store, staged, lookup_rows, text_compare, strict, drop_repeats) -> DataFrame:
     tx = staged["transactions"]
 
-    lookups = {}
-    for table in LOOKUPS:
-        lookups[table] = store.replace(core.load_lookup(staged[table], table), "reference", table)
-        if lookup_rows:
-            core.assert_count(lookups[table], lookup_rows[table], f"reference.{table}")
-
-    flagged = store.replace(
-        anomalies.transaction_anomalies(tx, text_compare=text_compare), "anomalies", "transaction_anomalies")
-    conflicts = store.replace(anomalies.idempotency_conflicts(tx), "anomalies", "idempotency_conflicts")
-
-    users = store.replace(core.core_users(staged["users"], strict), "core", "users")
-    accounts = store.replace(core.core_accounts(staged["accounts"], users, strict), "core", "accounts")
-    merchants = store.replace(core.core_merchants(staged["merchants"], strict), "core", "merchants")
-    agencies = store.replace(core.core_agencies(staged["agencies"], strict), "core", "agencies")
-
-    held = store.replace(
-        quarantine.quarantine(tx, [flagged, conflicts], staged["accounts"], accounts, merchants, agencies),
-        "quarantine", "quarantine_transactions")
-    old = store.read("quarantine", "quarantine_reasons") if store.versions(
-        "quarantine", "quarantine_reasons") else None
-    reasons = store.replace(quarantine.reason_catalogue(spark, old), "quarantine", "quarantine_reasons")
-
-    rows = core.core_transactions(
-        tx, flagged, conflicts, held, strict=strict, drop_repeats=drop_repeats,
-        unique_ids=not core.has_repeats(tx))
-    transactions = store.replace(
-        by_quarter(rows, "transaction_date"), "core", "transactions", partition_by=[QUARTER])
+    def load(table):
+        return store.replace(core.load_lookup(staged[table], table), "reference", table)
+
+    def holders():
+        users = store.replace(core.core_users(staged["users"], strict), "core", "users")
+        return users, store.replace(core.core_accounts(staged["accounts"], users, strict), "core", "accounts")
+
+    *loaded, (users, accounts), merchants, agencies, conflicting = _all(
+        *[lambda t=t: load(t) for t in LOOKUPS],
+        holders,
+        lambda: store.replace(core.core_merchants(staged["merchants"], strict), "core", "merchants"),
+        lambda: store.replace(core.core_agencies(staged["agencies"], strict), "core", "agencies"),
+        lambda: store.replace(anomalies.conflict_keys(tx), "routing", "conflict_keys"))
+    lookups = dict(zip(LOOKUPS, loaded))
+    for table in LOOKUPS if lookup_rows else ():
+        core.assert_count(lookups[table], lookup_rows[table], f"reference.{table}")
+
+    dims = (staged["accounts"], accounts, merchants, agencies)
+    decided = store.replace(
+        routing.decisions(tx, *dims, text_compare, conflicting), "routing", "decisions")
+    routed = store.replace(
+        routing.route(tx, *dims, text_compare, decided), "routing", "transactions", partition_by=["route"])
+    part = {r: routed.where(F.col("route") == r).drop("route") for r in ("ANOMALY", "QUARANTINE", "CORE")}
+    # Rows without an id have no route of their own; rules look at them all the same.
+    suspects = routed.where((F.col("route") == "ANOMALY") | F.col("id").isNull()).drop("route", "reasons")
+    rows = core.core_from_route(
+        routed, strict=strict, drop_repeats=drop_repeats, unique_ids=not core.has_repeats(part["CORE"]))
+    everything = core.core_from_route(routed, strict=strict, drop_repeats=False)
+
+    def catalogue():
+        old = store.read("quarantine", "quarantine_reasons") if store.has("quarantine", "quarantine_reasons") else None
+        return store.replace(quarantine.reason_catalogue(spark, old), "quarantine", "quarantine_reasons")
+
+    flagged, conflicts, held, reasons, transactions, _ = _all(
+        lambda: store.replace(
+            anomalies.transaction_anomalies(suspects, text_compare=text_compare), "anomalies", "transaction_anomalies"),
+        lambda: store.replace(
+            anomalies.idempotency_conflicts(suspects, conflicting), "anomalies", "idempotency_conflicts"),
+        lambda: store.replace(
+            quarantine.quarantine_of(part["QUARANTINE"], *dims), "quarantine", "quarantine_transactions"),
+        catalogue,
+        lambda: store.replace(
+            by_quarter(rows, "transaction_date"), "core", "transactions", partition_by=[QUARTER]),
+        lambda: store.replace(core.repeated_transactions(everything), "reports", "repeated_transactions"))
 
     tables = {"users": users, "accounts": accounts, "merchants": merchants, "agencies": agencies,
               "transactions": transactions}
-    raw = {t: staged[t] for t in tables}
-    report = constraint_report(tables, lookups, raw)
-    store.replace(report, "reports", "constraints")
+    report = store.replace(
+        constraint_report(tables, lookups, {t: staged[t] for t in tables}), "reports", "constraints")
     if strict:
-        constraint_report(tables, lookups, raw, strict=True)
+        raise_violations(report)
 
     counted = {
         **{f"staging.{t}": df for t, df in staged.items()},

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import threading
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,53 +14,114 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 class LayerStore:
     """Tables as ``root/layer/table/v=<n>`` Parquet folders on any Hadoop file system.
 
-    A full refresh writes a new version and readers move to it when its commit marker
-    appears, so a failed run leaves the old version readable.
+    What readers see is one manifest, ``root/_runs/<n>.json``: the version of every table.
+    A run writes new versions beside the old ones and its manifest last, in one rename, so
+    readers move to all of its tables at once and a failed run changes nothing for them.
+    No commit marker of a single folder is needed.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._pending: dict[str, int] | None = None
+        self._lock = threading.Lock()
 
-    def _folder(self, layer: str, table: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
+    def _path(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def versions(self, layer: str, table: str, committed: bool = True) -> list[int]:
-        fs, path = self._folder(layer, table)
-        if not fs.exists(path):
-            return []
-        found = []
-        for status in fs.listStatus(path):
-            name = status.getPath().getName()
-            done = not committed or fs.exists(
-                self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-            if name.startswith("v=") and done:
-                found.append(int(name[2:]))
-        return sorted(found)
+    def _names(self, *parts: str) -> list[str]:
+        fs, path = self._path(*parts)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    # -- manifests ----------------------------------------------------------------------
+
+    def runs(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in self._names("_runs") if n.endswith(".json") and n[:-5].isdigit())
+
+    def manifest(self, run: int | None = None) -> dict[str, int]:
+        """Table to version of a run, by default the newest."""
+        runs = self.runs()
+        if not runs:
+            return {}
+        fs, path = self._path("_runs", f"{runs[-1] if run is None else run}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _commit(self, changed: dict[str, int]) -> None:
+        run = max(self.runs(), default=0) + 1
+        fs, draft = self._path("_runs", f"{run}.{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps({**self.manifest(), **changed}, sort_keys=True).encode()))
+        out.close()
+        if not fs.rename(draft, self._path("_runs", f"{run}.json")[1]):
+            raise RuntimeError(f"another run committed as {run}")
+
+    @contextmanager
+    def run(self):
+        """Tables replaced inside become visible to others together, at the end; if the
+        block raises, they never do."""
+        self._pending = {}
+        try:
+            yield self
+            self._commit(self._pending)
+        finally:
+            self._pending = None
+
+    # -- tables -------------------------------------------------------------------------
+
+    def versions(self, layer: str, table: str) -> list[int]:
+        """All versions that were begun, committed or not."""
+        return sorted(int(n[2:]) for n in self._names(layer, table) if n.startswith("v="))
 
     def path(self, layer: str, table: str, version: int) -> str:
         return f"{self.root}/{layer}/{table}/v={version}"
 
+    def has(self, layer: str, table: str) -> bool:
+        return f"{layer}.{table}" in {**self.manifest(), **(self._pending or {})}
+
     def read(self, layer: str, table: str) -> DataFrame:
-        versions = self.versions(layer, table)
-        if not versions:
-            raise FileNotFoundError(f"{layer}.{table} has no committed version")
-        return self.spark.read.parquet(self.path(layer, table, versions[-1]))
+        """The committed table; inside a run, what the run has written."""
+        name = f"{layer}.{table}"
+        version = (self._pending or {}).get(name) or self.manifest().get(name)
+        if version is None:
+            raise FileNotFoundError(f"{name} has no committed version")
+        return self.spark.read.parquet(self.path(layer, table, version))
 
     def replace(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Full refresh: write the next version, then read it back (which cuts lineage)."""
-        version = max(self.versions(layer, table, committed=False), default=0) + 1
+        """Full refresh: write the next version, then read it back (which cuts lineage).
+        Outside a run it is committed by itself."""
+        version = max(self.versions(layer, table), default=0) + 1
         target = self.path(layer, table, version)
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
+        with self._lock:
+            if self._pending is None:
+                self._commit({f"{layer}.{table}": version})
+            else:
+                self._pending[f"{layer}.{table}"] = version
         return self.spark.read.parquet(target)
 
-    def drop_old(self, layer: str, table: str, keep: int = 2) -> None:
-        """Delete committed versions beyond the ``keep`` newest."""
-        fs, path = self._folder(layer, table)
-        for version in self.versions(layer, table)[:-keep]:
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"v={version}"), True)
+    def drop_old(self, keep: int = 2) -> None:
+        """Delete versions that none of the ``keep`` newest runs names, and older manifests.
+        For use between runs."""
+        runs = self.runs()
+        kept: dict[str, set[int]] = {}
+        for run in runs[-keep:]:
+            for name, version in self.manifest(run).items():
+                kept.setdefault(name, set()).add(version)
+        for name in {n for run in runs for n in self.manifest(run)}:
+            layer, table = name.split(".", 1)
+            for version in self.versions(layer, table):
+                if version not in kept.get(name, set()):
+                    fs, path = self._path(layer, table, f"v={version}")
+                    fs.delete(path, True)
+        for run in runs[:-keep]:
+            fs, path = self._path("_runs", f"{run}.json")
+            fs.delete(path, False)
 
 
 QUARTER = "tx_quarter"

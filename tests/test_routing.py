@@ -92,7 +92,7 @@ def test_dimensions(dims):
 
 
 def test_constraints_show_what_routing_does_not(tx, dims):
-    rows = core.core_from_route(run(tx, dims))
+    rows = core.core_from_route(run(tx, dims), drop_repeats=False)
     parents = {k: dims[k] for k in ("accounts", "merchants", "agencies")}
     report = {r["constraint"]: r for r in table_report("transactions", rows, parents, tx).collect()}
     broken = {c: r["violations"] for c, r in report.items() if r["violations"]}

@@ -5,7 +5,7 @@ from ledgerguard import session as sessions
 from ledgerguard.operators import core
 from ledgerguard.plans import refresh as flow
 from ledgerguard.schemas import STAGING
-from ledgerguard.sources.csv import read_lenient, read_raw
+from ledgerguard.sources.csv import malformed_rows, read_lenient, read_raw
 from ledgerguard.sources.layers import LayerStore, issue_rows, upsert, write_fact, write_report
 from tests import ledger as L
 
@@ -67,7 +67,7 @@ def test_a_failed_refresh_leaves_the_old_version(spark, tmp_path):
     store.replace(spark.range(4), "core", "t")
     assert store.read("core", "t").count() == 4
     store.replace(spark.range(6), "core", "t")
-    store.drop_old("core", "t", keep=1)
+    store.drop_old(keep=1)
     assert store.versions("core", "t") == [store.versions("core", "t")[-1]] and store.read("core", "t").count() == 6
 
 
@@ -149,7 +149,7 @@ def test_refresh_from_files(spark, raw_files, tmp_path):
     store = LayerStore(spark, str(tmp_path / "layers"))
     flow.stage(spark, store, raw_files)
     sizes = {"wilayas": 2, "tx_types": 8, "categories": 2}
-    counts = {r["table_name"]: r["row_count"] for r in flow.refresh(spark, store, sizes).collect()}
+    counts = {r["table_name"]: r["row_count"] for r in flow.refresh(spark, store, sizes, drop_repeats=False).collect()}
     routes = [route for _, route, _ in L.CASES.values()]
     reasons = [c for _, route, codes in L.CASES.values() for c in codes if route == "QUARANTINE"]
     conflicts = [c for _, _, codes in L.CASES.values() for c in codes if c == "idempotency_conflict"]
@@ -162,11 +162,46 @@ def test_refresh_from_files(spark, raw_files, tmp_path):
     assert counts["core.users"] == 5 and counts["core.accounts"] == 4
 
     before = sorted(store.read("core", "transactions").collect())
-    flow.refresh(spark, store, sizes)
+    flow.refresh(spark, store, sizes, drop_repeats=False)
     assert sorted(store.read("core", "transactions").collect()) == before
     shares = {r["layer"]: r["rows"] for r in flow.shares(store).collect()}
     assert shares["CORE (trusted)"] == routes.count("CORE")
 
+    # By default the first of exact repeats stays and the others are reported.
+    flow.refresh(spark, store, sizes)
+    keys = [r["idempotency_key"] for r in store.read("core", "transactions").where("idempotency_key <> ''").collect()]
+    repeats = store.read("reports", "repeated_transactions").count()
+    assert len(keys) == len(set(keys)) and repeats == 1
+    assert store.read("core", "transactions").count() == routes.count("CORE") - repeats
+    assert store.read("staging", "malformed_rows").count() == 0
+
+
+def test_a_run_that_dies_leaves_all_layers(spark, raw_files, tmp_path, monkeypatch):
+    store = LayerStore(spark, str(tmp_path / "layers"))
+    flow.stage(spark, store, raw_files)
+    sizes = {"wilayas": 2, "tx_types": 8, "categories": 2}
+    flow.refresh(spark, store, sizes)
+    seen = store.manifest()
+
+    def lost(*_, **__):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(flow, "constraint_report", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        flow.refresh(spark, store, sizes)
+    assert store.manifest() == seen
+    assert store.versions("core", "users")[-1] > seen["core.users"]
+    assert store.read("core", "users").inputFiles()[0].count(f"v={seen['core.users']}/") == 1
+
+
+def test_malformed_rows(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,x\n2\n3,y,z\n4,w\n")
+    path = str(tmp_path / "x.csv")
+    assert sorted(r["record"] for r in malformed_rows(spark, path, ["a", "b"]).collect()) == ["2", "3,y,z"]
+    assert read_raw(spark, path, ["a", "b"]).count() == 4
+    with pytest.raises(Exception):
+        read_raw(spark, path, ["a", "b"], strict=True).collect()
+
 
 def test_refresh_stops_on_a_wrong_lookup(spark, raw_files, tmp_path):
     store = LayerStore(spark, str(tmp_path / "layers"))
