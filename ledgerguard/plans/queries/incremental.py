@@ -47,12 +47,14 @@ def i1_batch(spark, sf):
 
 
 @query("i2_insert_new", sql("""
-SELECT MIN(id) AS id, idempotency_key FROM activity GROUP BY idempotency_key
+SELECT MIN(id) AS id, idempotency_key FROM activity WHERE id % 50 <> 7 GROUP BY idempotency_key
+UNION ALL SELECT unnest([id, id]), CASE WHEN id % 100 = 7 THEN '' END FROM activity WHERE id % 50 = 7
 """))
 def i2(spark, sf):
     path = scratch(spark, "inserted")
-    source = stream(spark, sf).select("id", "idempotency_key")
-    # The same rows again, as a retrying sender would: nothing is added.
+    key = F.when(F.col("id") % 100 == 7, "").when(F.col("id") % 50 != 7, F.col("idempotency_key"))
+    source = stream(spark, sf).select("id", key.alias("idempotency_key"))
+    # The same rows again, as a retrying sender would: nothing is added but rows without a key.
     for run in ("first", "retry"):
         offset = 0 if run == "first" else 1_000
         write = op.insert_new(path, "idempotency_key", ["id"])
@@ -75,7 +77,22 @@ HAVING MAX(created_at) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERV
 """))
 def i2_held(spark, sf):
     path = scratch(spark, "held")
-    source = op.held_until(stream(spark, sf), "idempotency_key", "ts", "1 day", PAYLOAD).drop("first_seen")
+    source = op.held_until(stream(spark, sf), "idempotency_key", "ts", "1 day", PAYLOAD, ["id"]).drop("first_seen", "first_row")
+    op.drain(source, op.append_to(path), f"{path}-checkpoint")
+    return op.stored(spark, path, source.schema)
+
+
+@query("i2_held_rows", sql("""
+SELECT MIN_BY(id, (created_at, id)) AS id, idempotency_key, CAST(MIN_BY(amount, (created_at, id)) AS DOUBLE) AS amount
+FROM activity GROUP BY idempotency_key
+HAVING MAX(created_at) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY
+   AND COUNT(DISTINCT amount) <= 1 AND COUNT(DISTINCT status) <= 1
+"""))
+def i2_held_rows(spark, sf):
+    """Rows that come out of holding, ready for core."""
+    path = scratch(spark, "released")
+    held = op.held_until(stream(spark, sf), "idempotency_key", "ts", "1 day", PAYLOAD, ["id"])
+    source = op.released(held).select("id", "idempotency_key", "amount")
     op.drain(source, op.append_to(path), f"{path}-checkpoint")
     return op.stored(spark, path, source.schema)
 
@@ -138,6 +155,16 @@ def _running(spark, sf, every):
     return spark.read.parquet(path)
 
 
+@query("i4_append_totals", _totals("day").replace("GROUP BY 1", """GROUP BY 1
+HAVING date_trunc('day', MIN(created_at)) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"""))
+def i4_append(spark, sf):
+    """Append mode: a day comes out once, when the watermark has passed it, and leaves the state."""
+    path = scratch(spark, "closed")
+    source = op.running_totals(stream(spark, sf), "ts", F.col("amount"), F.col("status"), "1 day")
+    op.drain(source, op.append_to(path), f"{path}-checkpoint")
+    return op.stored(spark, path, source.schema)
+
+
 @query("i4_running_daily_totals", _totals("day"))
 def i4_daily(spark, sf):
     return _running(spark, sf, "1 day")
@@ -151,11 +178,11 @@ def i4_hourly(spark, sf):
 @query("i5_latest_per_user", """
 SELECT o_custkey, o_orderkey, recency FROM (
   SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS recency
-  FROM orders) r WHERE recency <= 5
+  FROM orders) r WHERE recency <= 50
 """)
 def i5(spark, sf):
     return op.latest_per_user(
-        b.table(spark, sf, "orders"), "o_custkey", "o_orderdate", "o_orderkey", 5
+        b.table(spark, sf, "orders"), "o_custkey", "o_orderdate", "o_orderkey"
     ).select("o_custkey", "o_orderkey", "recency")
 
 

@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
+from ..functions.clean import present
 from ..operators.anomalies import PAYLOAD, conflict_keys
 from ..operators.skew import flag, lookup_join
+from ..session import written
 
 
 # -- the high-water mark -------------------------------------------------------------------
@@ -59,59 +61,86 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+DAY = "_day"
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, day: str | None = None) -> None:
+    """One folder per batch; with ``day``, its rows are also split by day, so that readers
+    with a horizon open the folders of those days only."""
+    out = rows.withColumn(DAY, F.col(day).cast("date")) if day else rows
+    out.write.mode("overwrite").partitionBy(*([DAY] if day else [])).parquet(f"{path}/batch_id={batch_id}")
+
+
 def stored(
-    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None, since=None
 ) -> DataFrame:
-    """A table written in batches, optionally only the batches before one; empty at first."""
+    """A table written in batches, optionally only the batches before one, and only the
+    days from one on; empty at first."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     fields = [*schema.fields, T.StructField("batch_id", T.LongType())]
+    if since is not None:
+        fields.append(T.StructField(DAY, T.DateType()))
     df = spark.read.schema(T.StructType(fields)).parquet(path)
     if before is not None:
         df = df.where(F.col("batch_id") < before)
-    return df.drop("batch_id")
+    if since is not None:
+        df = df.where(F.col(DAY) >= F.lit(since).cast("date"))
+    return df.select(*[f.name for f in schema.fields])
+
+
+def _schema(df: DataFrame) -> T.StructType:
+    return T.StructType(list(df.schema.fields))
+
+
+def horizon_start(batch: DataFrame, day: str | None, horizon_days: int | None):
+    """First day that a sink looks back to, or None for all of history."""
+    if day is None or horizon_days is None:
+        return None
+    return batch.agg(F.date_sub(F.min(F.col(day).cast("date")), horizon_days)).first()[0]
+
+
+def keys_of(batch: DataFrame, key: str, name: str) -> DataFrame:
+    """The distinct keys of a batch, stored, so that Catalyst knows how few they are and
+    meets history with them instead of shuffling history."""
+    return written(batch.where(_keyed(key)).select(F.col(key).alias(name)).distinct(), "keys")
+
+
+def _keyed(key: str) -> Column:
+    return present(F.col(key).cast("string"))
 
 
 # -- never insert twice -----------------------------------------------------------------------
 
 def first_of_batch(batch: DataFrame, key: str, order) -> DataFrame:
+    """The first row of every key. Rows without a key (NULL or blank) are no repeats of one
+    another and all stay."""
     rank = Window.partitionBy(key).orderBy(*order)
-    return batch.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank")
-
-
-def recent(
-    rows: DataFrame, batch: DataFrame, day: str | None, horizon_days: int | None
-) -> DataFrame:
-    """Stored rows no older than ``horizon_days`` before the first day of the batch; all
-    rows without a horizon. Bounds the look-back of a sink on a long history."""
-    if day is None or horizon_days is None:
-        return rows
-    start = batch.agg(F.min(day)).first()[0]
-    if start is None:
-        return rows
-    return rows.where(F.col(day) >= F.date_sub(F.lit(start).cast("date"), horizon_days))
+    firsts = batch.where(_keyed(key)).withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank")
+    return firsts.unionByName(batch.where(~F.coalesce(_keyed(key), F.lit(False))))
 
 
 def insert_new(path: str, key: str, order, day: str | None = None, horizon_days: int | None = None):
-    """Sink: ON CONFLICT (key) DO NOTHING against earlier batches, within a horizon if
-    one is given."""
+    """Sink: ON CONFLICT (key) DO NOTHING against earlier batches, within a horizon if one
+    is given. History is read for the batch's keys only, and with ``day`` and a horizon
+    only in the folders of those days. Rows without a key are always inserted."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_of_batch(batch, key, order)
-        old = stored(batch.sparkSession, path, _schema(batch), before=batch_id)
-        seen = recent(old, batch, day, horizon_days).select(F.col(key).alias("_seen")).distinct()
-        lookup_join(fresh, seen, key, "_seen", "left_anti").write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        old = stored(spark, path, _schema(batch), batch_id, horizon_start(batch, day, horizon_days))
+        keys = keys_of(batch, key, "_key")
+        seen = old.select(F.col(key).alias("_seen")).join(keys, F.col("_seen") == F.col("_key"), "left_semi").distinct()
+        fresh = lookup_join(first_of_batch(batch, key, order), seen, key, "_seen", "left_anti")
+        write_batch(fresh, path, batch_id, day)
     return write
 
 
-def _schema(df: DataFrame) -> T.StructType:
-    return T.StructType(list(df.schema.fields))
-
-
 def unique_within(df: DataFrame, key: str, at: str, horizon: str = "1 day") -> DataFrame:
-    """Stream form: the first row of a key within a horizon, in bounded state."""
-    return df.withWatermark(at, horizon).dropDuplicatesWithinWatermark([key])
+    """Stream form: the first row of a key within a horizon, in bounded state. Rows without
+    a key pass."""
+    timed = df.withWatermark(at, horizon)
+    bare = timed.where(~F.coalesce(_keyed(key), F.lit(False)))
+    return timed.where(_keyed(key)).dropDuplicatesWithinWatermark([key]).unionByName(bare)
 
 
 # -- accept or reject ---------------------------------------------------------------------------
@@ -124,27 +153,27 @@ def accept_or_reject(
     reasons; the others to the accepted one. ``tests`` are true for a broken row.
 
     The first good row of a key wins, found by a pre-aggregated minimum over ``order``
-    (unique per row); a broken row does not take the key.
+    (unique per row); a broken row does not take the key. Rows without a key (NULL or
+    blank) repeat nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        old = stored(batch.sparkSession, accepted, _schema(batch), before=batch_id)
-        old = recent(old, batch, day, horizon_days)
-        seen = old.select(F.col(key).alias("_seen")).distinct().withColumn("_old", F.lit(True))
+        spark = batch.sparkSession
+        old = stored(spark, accepted, _schema(batch), batch_id, horizon_start(batch, day, horizon_days))
+        keys = keys_of(batch, key, "_key")
+        seen = old.select(F.col(key).alias("_seen")).join(
+            keys, F.col("_seen") == F.col("_key"), "left_semi").distinct().withColumn("_old", F.lit(True))
         broken = F.array_compact(F.array(*[F.when(flag(t), F.lit(n)) for n, t in tests.items()]))
         position = F.struct(*order)
         rows = lookup_join(batch.withColumn("_broken", broken), seen, key, "_seen")
         good = (F.size("_broken") == 0) & F.col("_old").isNull()
-        firsts = rows.where(good).groupBy(F.col(key).alias("_key")).agg(F.min(position).alias("_first"))
+        firsts = rows.where(good & _keyed(key)).groupBy(F.col(key).alias("_key")).agg(F.min(position).alias("_first"))
         judged = lookup_join(rows, firsts, key, "_key")
         repeat = F.col("_old").isNotNull() | (good & flag(position != F.col("_first")))
         judged = judged.withColumn("reasons", F.when(
             repeat, F.array_append("_broken", F.lit("duplicate_key"))).otherwise(F.col("_broken")))
-        judged = judged.select(*batch.columns, "reasons").persist()
-        judged.where(F.size("reasons") == 0).drop("reasons").write.mode("overwrite").parquet(
-            f"{accepted}/batch_id={batch_id}")
-        judged.where(F.size("reasons") > 0).write.mode("overwrite").parquet(
-            f"{rejected}/batch_id={batch_id}")
-        judged.unpersist()
+        judged = written(judged.select(*batch.columns, "reasons"), "judged")
+        write_batch(judged.where(F.size("reasons") == 0).drop("reasons"), accepted, batch_id, day)
+        write_batch(judged.where(F.size("reasons") > 0), rejected, batch_id, day)
     return write
 
 
@@ -158,19 +187,17 @@ def correct_conflicts(
 
     Every batch is kept in ``history``. A key of the batch that conflicts, within it or
     with history, retracts all its rows so far, also those accepted earlier; core is
-    history less retractions (``corrected``).
+    history less retractions (``corrected``). History is read once a batch, for the rows
+    of the batch's keys.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
-        rows = recent(
-            stored(spark, history, _schema(batch), before=batch_id + 1), batch, day, horizon_days)
-        touched = batch.select(F.col(key).alias("_touched")).distinct()
-        affected = lookup_join(rows, touched, key, "_touched", "left_semi")
+        write_batch(batch, history, batch_id, day)
+        rows = stored(spark, history, _schema(batch), batch_id + 1, horizon_start(batch, day, horizon_days))
+        touched = keys_of(batch, key, "_touched")
+        affected = written(lookup_join(rows, touched, key, "_touched", "left_semi"), "affected")
         conflicts = conflict_keys(affected, key, payload)
-        lookup_join(affected, conflicts, key, "conflict_key", "left_semi").select(
-            id, key
-        ).write.mode("overwrite").parquet(f"{retractions}/batch_id={batch_id}")
+        write_batch(lookup_join(affected, conflicts, key, "conflict_key", "left_semi").select(id, key), retractions, batch_id)
     return write
 
 
@@ -180,20 +207,30 @@ def corrected(rows: DataFrame, retracted: DataFrame, key: str = "idempotency_key
     return lookup_join(rows, gone, key, "_gone", "left_anti")
 
 
-def held_until(df: DataFrame, key: str, at: str, horizon: str, payload=PAYLOAD) -> DataFrame:
-    """Hold form: a key's rows gather in state until the watermark passes the horizon,
-    then come out once with their count, verdict and first payload."""
+def held_until(df: DataFrame, key: str, at: str, horizon: str, payload=PAYLOAD, order=()) -> DataFrame:
+    """Hold form: a key's rows gather in state until the watermark passes the horizon, then
+    come out once with their count, verdict and first row (by ``at`` and ``order``).
+
+    ``released`` turns those of keys without a conflict back into rows. Rows without a key
+    need no holding and are left to the caller."""
     spans = [f for i, c in enumerate(payload) for f in (F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]
+    first = F.min_by(F.struct(*df.columns), F.struct(at, *order)).alias("first_row")
     grouped = (
         df.withWatermark(at, horizon)
+        .where(_keyed(key))
         .groupBy(F.col(key), F.session_window(at, horizon).alias("held"))
-        .agg(F.count(F.lit(1)).alias("rows"), *spans)
+        .agg(F.count(F.lit(1)).alias("rows"), first, *spans)
     )
     differ = F.lit(False)
     for i in range(len(payload)):
         differ = differ | flag(F.col(f"lo{i}") != F.col(f"hi{i}"))
     return grouped.select(
-        key, F.col("held.start").alias("first_seen"), "rows", differ.alias("conflict"))
+        key, F.col("held.start").alias("first_seen"), "rows", differ.alias("conflict"), "first_row")
+
+
+def released(held: DataFrame) -> DataFrame:
+    """The first rows of held keys without a conflict, as they came."""
+    return held.where(~F.col("conflict")).select("first_row.*")
 
 
 # -- running totals ---------------------------------------------------------------------------------

@@ -28,6 +28,30 @@ def test_insert_new_over_batches_and_retries(spark, batches, tmp_path):
     assert ids(inc.stored(spark, path, first.schema)) == [1, 3, 5]
 
 
+def test_rows_without_a_key_are_kept(spark, batches, tmp_path):
+    path = str(tmp_path / "t")
+    (part,) = batches([(1, None, "5", "S"), (2, None, "6", "S"), (3, "", "1", "S"), (4, "", "1", "S"), (5, "a", "1", "S")])
+    inc.insert_new(path, "key", ["id"])(part, 0)
+    assert ids(inc.stored(spark, path, part.schema)) == [1, 2, 3, 4, 5]
+    rows = spark.sql("select id, if(id < 3, null, 'k') as key, timestamp'2024-01-01 00:00:00' as ts from range(6)")
+    source, out = str(tmp_path / "source"), str(tmp_path / "out")
+    rows.write.parquet(source)
+    unique = inc.unique_within(inc.stream_of(spark, source, rows.schema, "ts"), "key", "ts")
+    inc.drain(unique, inc.append_to(out), str(tmp_path / "c"))
+    assert spark.read.parquet(out).groupBy("key").count().orderBy("key").collect() == [(None, 3), ("k", 1)]
+
+
+def test_a_horizon_opens_few_folders(spark, tmp_path):
+    import datetime as dt
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(i, "a", dt.date(2024, 1, 1 + i)) for i in range(20)], "id bigint, key string, day date")
+    inc.write_batch(rows, path, 0, "day")
+    late = inc.stored(spark, path, rows.schema, since=dt.date(2024, 1, 15))
+    assert late.count() == 6
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_day" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_insert_new_within_a_horizon(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = lambda *r: spark.createDataFrame(r, "id bigint, key string, day date").withColumn("day", F.col("day"))
