@@ -76,7 +76,11 @@ def clean_cast(c: Column | str, dtype: str, strict: bool = False) -> Column:
     """
     text = F.nullif(F.trim(_col(c)), F.lit(""))
     if dtype == "time":
-        return clean_time(c)
+        time = clean_time(c)
+        if not strict:
+            return time
+        bad = F.raise_error(F.concat(F.lit("malformed time: "), text)).cast("string")
+        return F.when(text.isNotNull() & time.isNull(), bad).otherwise(time)
     cast = text.cast(dtype) if strict else text.try_cast(dtype)
     if dtype in ("date", "timestamp", "timestamp_ntz") and not strict:
         cast = F.when(text.rlike(STARTS_WITH_DAY), cast)

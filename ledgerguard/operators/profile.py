@@ -58,6 +58,39 @@ def _smallest(counts: DataFrame, keep: int) -> DataFrame:
     )
 
 
+def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The trimmed text of each column; empty cells are ''."""
+    return df.select(*[
+        F.coalesce(squeeze(F.col(f"`{c}`").cast("string")), F.lit("")).alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def _by_column(row: DataFrame, columns: Sequence[str], *names: str) -> DataFrame:
+    """One wide row (``<name><i>`` for column i) as one row per column."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{n}{i}").alias(n) for n in names])
+                      for i, c in enumerate(columns)])
+    return row.select(F.explode(cells).alias("cell")).select("cell.*")
+
+
+def approximate_profile(df: DataFrame, columns: Sequence[str] | None = None, error: float = 0.05) -> DataFrame:
+    """The profile of wide tables: one scan, one row per task, no value is shuffled.
+
+    ``distinct_count`` is a sketch's estimate with the given relative error; all else but
+    the examples, which are left out, is exact."""
+    columns = list(columns or df.columns)
+    wide = []
+    for i in range(len(columns)):
+        value = F.nullif(F.col(f"c{i}"), F.lit(""))
+        wide += [
+            F.count(F.lit(1)).alias(f"row_count{i}"), F.count_if(value.isNull()).alias(f"empty_count{i}"),
+            F.approx_count_distinct(value, error).alias(f"distinct_count{i}"),
+            inferred_type(f"c{i}").alias(f"inferred_type{i}"),
+            F.coalesce(F.min(value), F.lit("")).alias(f"min{i}"), F.coalesce(F.max(value), F.lit("")).alias(f"max{i}")]
+    stats = _by_column(_cells(df, columns).agg(*wide), columns, "row_count", "empty_count", "distinct_count",
+                       "inferred_type", "min", "max")
+    return stats.withColumn(
+        "empty_pct", F.try_divide(F.col("empty_count").cast("double") * 100, F.col("row_count").cast("double")))
+
+
 def profile(df: DataFrame, columns: Sequence[str] | None = None, examples: int = 5) -> DataFrame:
     """Per column: empties, distinct values, inferred type, least and greatest text, examples."""
     counts = value_counts(df, columns)
@@ -86,9 +119,10 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, examples: int =
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The inferred label per column."""
-    return value_counts(df, columns).groupBy("column").agg(
-        inferred_type("value").alias("inferred_type"))
+    """The inferred label per column: one wide aggregate, so a task sends one row."""
+    columns = list(columns or df.columns)
+    row = _cells(df, columns).agg(*[inferred_type(f"c{i}").alias(f"inferred_type{i}") for i in range(len(columns))])
+    return _by_column(row, columns, "inferred_type")
 
 
 def duplicates(df: DataFrame, columns: Sequence[str], dataset: str = "", samples: int = 10) -> DataFrame:

@@ -49,6 +49,22 @@ def e1(spark, sf):
     return profiles.profile(_profiled(spark, sf))
 
 
+@query("e1_profile_approx", sql(CELLS + f"""
+SELECT col AS column, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE v = '') AS empty_count,
+       CAST(COUNT(*) FILTER (WHERE v = '') AS DOUBLE) * 100 / CAST(COUNT(*) AS DOUBLE) AS empty_pct,
+       TRUE AS near, {TYPE} AS inferred_type,
+       COALESCE(MIN(NULLIF(v, '')), '') AS min, COALESCE(MAX(NULLIF(v, '')), '') AS max
+FROM cells WHERE col <> 'balance' GROUP BY col
+"""))
+def e1_approx(spark, sf):
+    """The estimate of distinct values is compared with the exact count, within four times its error."""
+    text = _profiled(spark, sf)
+    exact = profiles.profile(text).select("column", F.col("distinct_count").alias("_exact"))
+    rough = profiles.approximate_profile(text, error=0.05).join(exact, "column")
+    near = F.abs(F.col("distinct_count") - F.col("_exact")) <= 0.2 * F.col("_exact") + 1
+    return rough.withColumn("near", near).drop("distinct_count", "_exact")
+
+
 @query("e1_profile_events", r"""
 WITH cells AS (
   SELECT 'event_id' AS col, CAST(event_id AS VARCHAR) AS v FROM events

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerguard.functions import clean
@@ -112,3 +113,12 @@ def test_row_rules(frame):
     assert got["status must be one of allowed values"] == ["3:ODD"]
     assert got["a != b"] == ["1"]
     assert got["available_balance <= balance"] == ["1"]
+
+
+def test_strict_time(frame):
+    from ledgerguard.functions.clean import clean_cast
+    good, bad = frame([("08:15",), ("",), (None,)], "t"), frame([("25:99",)], "t")
+    assert [r[0] for r in good.select(clean_cast("t", "time", strict=True)).collect()] == ["08:15:00", None, None]
+    assert bad.select(clean_cast("t", "time")).first()[0] is None
+    with pytest.raises(Exception, match="malformed time"):
+        bad.select(clean_cast("t", "time", strict=True)).collect()
