@@ -33,6 +33,7 @@ from .tokens import pieces
 
 FRAME_BYTES = 256 << 10   # ids of a frame; a longer document is a frame of its own
 FILE_BYTES = 128 << 20    # input of a file, about
+UNKNOWN = 1 << 60         # what Spark says of input that it can't size
 END = 2
 LEVEL = 3
 
@@ -177,7 +178,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, spa
     spark = docs.sparkSession
     arrow_batches(spark)
     folder = folder or scratch(spark, "token-files")
-    n = max(partitions(spark), -(-input_bytes(docs) // FILE_BYTES))
+    size = input_bytes(docs)
+    n = partitions(spark) if size >= UNKNOWN else max(partitions(spark), -(-size // FILE_BYTES))
     ranged = same_names(docs, ("doc_id", "text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
     return stored(ranged.mapInArrow(_write(folder, tokenizer, spaced, end, frame_bytes), _MANIFEST), "manifest")
 
