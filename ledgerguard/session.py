@@ -47,7 +47,8 @@ def shuffle_partitions(total_bytes: int, advisory_bytes: int = 64 << 20, least:
 def size_shuffles(spark: SparkSession, total_bytes: int) -> int:
     """Let AQE start with as many partitions as the input needs; never fewer than set."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = shuffle_partitions(total_bytes, least=least)
+    known = total_bytes < 1 << 60  # Spark gives a huge number for input that it can't size
+    n = shuffle_partitions(total_bytes if known else 0, least=least)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n
 
