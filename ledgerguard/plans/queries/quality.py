@@ -109,11 +109,13 @@ SELECT 'users' AS dataset, col AS column,
        CAST(COALESCE(SUM(n) FILTER (WHERE v = ''), 0) AS BIGINT) AS empty, COUNT(*) FILTER (WHERE v <> '') AS distinct,
        COUNT(*) FILTER (WHERE v <> '' AND n > 1) AS duplicate_keys,
        CAST(COALESCE(SUM(n) FILTER (WHERE v <> '' AND n > 1), 0) AS BIGINT) AS duplicate_rows,
-       COUNT(*) FILTER (WHERE n > 1 OR v = '') = 0 AS strict_unique
+       COUNT(*) FILTER (WHERE n > 1 OR v = '') = 0 AS strict_unique,
+       COALESCE((SELECT string_agg(s.v, '|' ORDER BY s.v) FROM (
+           SELECT v FROM k x WHERE x.col = k.col AND v <> '' AND n > 1 ORDER BY v LIMIT 10) s), '') AS samples
 FROM k GROUP BY col
 """))
 def e3_users(spark, sf):
-    return profiles.duplicates(b.staged_users(spark, sf), ["id", "phone", "email"], "users").drop("samples")
+    return profiles.duplicates(b.staged_users(spark, sf), ["id", "phone", "email"], "users")
 
 
 # -- format checks -----------------------------------------------------------------------------
