@@ -205,11 +205,20 @@ def c8_dimensions(spark, sf):
     return constraint_report(tables, {"wilayas": b.wilayas(spark, sf), "categories": b.categories(spark, sf)})
 
 
-@query("c8_cast_failures", sql(
-    _count("transactions", "cast:agency_id", "agency_id <> '' AND NOT regexp_full_match(agency_id, '[0-9]+')", "id", "ledger")
-    + " UNION ALL " + _count("transactions", "cast:amount", "TRY_CAST(amount AS DOUBLE) IS NULL", "id", "ledger")
-    + " UNION ALL " + _count("transactions", "cast:created_at", "TRY_CAST(replace(replace(created_at, 'T', ' '), 'Z', '') AS TIMESTAMP) IS NULL", "id", "ledger")))
+# What each staged cell must be readable as, in the checking engine's own types.
+READABLE = {
+    **dict.fromkeys(["id", "source_account_id", "destination_account_id", "merchant_id", "agency_id", "sequence_number"], "BIGINT"),
+    **dict.fromkeys(["amount", "fee", "total_amount", "balance_before", "balance_after"], "DECIMAL(14,2)"),
+    "transaction_date": "DATE", "transaction_time": "TIME", "created_at": "TIMESTAMP", "completed_at": "TIMESTAMP"}
+
+
+def _unreadable(column, dtype):
+    return f"trim({column}) <> '' AND TRY_CAST(replace(replace({column}, 'T', ' '), 'Z', '') AS {dtype}) IS NULL"
+
+
+@query("c8_cast_failures", sql("\nUNION ALL\n".join(
+    _count("transactions", f"cast:{c}", _unreadable(c, t), "id", "ledger") for c, t in READABLE.items())))
 def c8_casts(spark, sf):
     raw = b.staged_transactions(spark, sf)
     report = table_report("transactions", op.cast_transactions(raw), {}, raw)
-    return report.where(F.col("constraint").isin("cast:agency_id", "cast:amount", "cast:created_at"))
+    return report.where(F.col("constraint").startswith("cast:"))

@@ -14,14 +14,10 @@ def _text(df):
 
 # -- profiles ----------------------------------------------------------------------------------
 
-CELLS = """
-WITH cells AS (
-  SELECT 'id' AS col, id AS v FROM staged_users UNION ALL SELECT 'nni', nni FROM staged_users
-  UNION ALL SELECT 'phone', phone FROM staged_users UNION ALL SELECT 'email', email FROM staged_users
-  UNION ALL SELECT 'birth_date', birth_date FROM staged_users UNION ALL SELECT 'updated_at', updated_at FROM staged_users
-  UNION ALL SELECT 'balance', balance FROM staged_accounts
-  UNION ALL SELECT 'created_at', created_at FROM staged_users)
-"""
+PROFILED = ["id", "nni", "phone", "full_name", "gender", "birth_date", "email", "wilaya_id", "wilaya_name", "status",
+            "registration_date", "created_at", "updated_at"]
+CELLS = "WITH cells AS (SELECT 'balance' AS col, balance AS v FROM staged_accounts" + "".join(
+    f" UNION ALL SELECT '{c}', {c} FROM staged_users" for c in PROFILED) + ")"
 TYPE = r"""
 CASE WHEN COUNT(*) FILTER (WHERE v <> '') = 0 THEN 'empty'
      WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+')) FILTER (WHERE v <> '') THEN 'integer'
@@ -29,9 +25,6 @@ CASE WHEN COUNT(*) FILTER (WHERE v <> '') = 0 THEN 'empty'
      WHEN bool_and(regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9:.]+Z)?')) FILTER (WHERE v <> '') THEN 'date/datetime'
      ELSE 'string' END
 """
-PROFILED = ["id", "nni", "phone", "email", "birth_date", "updated_at", "created_at"]
-
-
 def _profiled(spark, sf):
     return b.staged_users(spark, sf).select(*PROFILED)
 

@@ -20,6 +20,28 @@ def test_same_rows(spark, con, sf, name):
     assert not [b for b in BANNED if b in plans[0]]
 
 
+KEYED = [n for n in sorted(ORACLE) if n.split("_")[0] in {
+    "a5", "a6", "c2", "c7", "k1", "k2", "k4", "k5", "k8", "k9", "q1", "q4", "q9", "v12", "v13", "v16", "i2", "i3"}]
+
+
+@pytest.mark.parametrize("name", KEYED)
+def test_same_rows_on_large_input(spark, con, sf, name):
+    """Nothing is broadcast and every partition counts as skewed, as on large input."""
+    large = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "0b",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    old = {k: spark.conf.get(k, None) for k in large}
+    try:
+        for k, v in large.items():
+            spark.conf.set(k, v)
+        problem = differences(spark, con, name, sf)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert problem is None, problem
+
+
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLE)
 
