@@ -14,7 +14,6 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -103,9 +102,6 @@ def bucket_bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
 
 
-_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-
-
 def squeeze(values: np.ndarray) -> bytes:
     """64-bit numbers byte plane by byte plane, so that bytes which are all alike cost nothing."""
     planes = np.ascontiguousarray(values.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T)

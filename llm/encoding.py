@@ -6,19 +6,18 @@ import os
 import re
 from array import array
 
-import numpy as np
-
 CACHED_UNITS = 300_000  # most words, as they stand between spaces, that a worker remembers
-CACHED_BODIES = 600_000  # most plain words; both bound a worker's memory to some 150 MB
-BATCH_UNITS = 20_000    # words that are encoded by one call
+CACHED_BODIES = 600_000  # most plain words
+CACHED_MARKS = 10_000    # most runs of marks; all bound a worker's memory to some 150 MB
 
 #: A single space between two characters that are not white space, where both tokenizers
 #: cut whatever comes before and after.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_EDGE = re.compile(r"\s\s|^\s|\s$")
-#: A word of Latin letters, alone or before one mark, and perhaps another one in the next line: pre-tokenizers cut between them, and
-#: normalising such letters is plain lower-casing.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]?)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]?))?")
+#: A word of Latin letters, alone or before marks, and perhaps another one in the next line.
+#: Pre-tokenizers cut between letters, marks and line ends, and normalising such letters is
+#: plain lower-casing. The apostrophe is left out: contractions are cut otherwise.
+_MARKS = r"[!-&(-/:-@\[-`{-~]{0,4}"
+_PLAIN = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ÿ]+)({_MARKS})(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)({_MARKS}))?")
 
 #: Byte-level vocabularies write printable bytes as themselves and the others, in order,
 #: as the characters from U+0100 on.
@@ -26,6 +25,19 @@ _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHER = [b for b in range(256) if b not in _PRINTED]
 _BYTE = {**{b: chr(b) for b in _PRINTED}, **{b: chr(0x100 + i) for i, b in enumerate(_OTHER)}}
 
+
+class _Known(dict):
+    """Remembers what a function gave."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -47,10 +59,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.lead = " " if spaced else ""
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}  # of words as they stand between spaces
-        self.bodies: dict[str, bytes] = {}  # of plain words
-        marks = [*".,!?;:", "\n"]
-        self.marks = dict(zip(marks, self._encode(marks))) | {"": b""}
+        self.known = _Known(self._unit)    # of words as they stand between spaces
+        self.bodies = _Known(self._body)   # of plain words, with their space if it belongs to them
+        self.marks = _Known(self._whole)   # of marks and line ends
+        self.marks[""] = self.marks[None] = b""
 
     @classmethod
     def of(cls, path: str, spaced: bool) -> Encoder:
@@ -59,59 +71,39 @@ class Encoder:
             _encoders[path, spaced] = cls(path, spaced)
         return _encoders[path, spaced]
 
-    def _encode(self, units: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(units), BATCH_UNITS):
-            part = units[at:at + BATCH_UNITS]
-            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, dtype="<u4")
-            ends = np.searchsorted(np.array(got.word_ids, dtype=np.int64), np.arange(1, len(part) + 1)) * 4
-            data, begin = ids.tobytes(), 0
-            for end in ends.tolist():
-                out.append(data[begin:end])
-                begin = end
-        return out
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _body(self, text: str) -> bytes:
-        """Ids of a plain word, with its space if that belongs to it."""
-        found = self.bodies.get(text)
-        if found is None:
-            letters = text if self.lead else text.lower()
-            letters = letters if letters.isalpha() and letters.isascii() else "".join(map(_BYTE.__getitem__, letters.encode()))
-            found = self.bodies[text] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-        return found
-
-    def _learn(self, units: set[str]) -> None:
-        hard = []
-        for u in units:
-            plain = _PLAIN.fullmatch(u)
-            if plain:
-                word, mark, line, second, last = plain.groups()
-                self.known[u] = self._body(self.lead + word) + self.marks[mark] + (
-                    self.marks[line] + self._body(second) + self.marks[last] if line else b"")
-            else:
-                hard.append(u)
-        self.known.update(zip(hard, self._encode([self.lead + u for u in hard])))
+        letters = text if self.lead else text.lower()
+        if self.lead or not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_BYTE)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        if unit.isascii() and unit.isalpha():
+            return self.bodies[self.lead + unit]
+        plain = _PLAIN.fullmatch(unit)
+        if not plain:
+            return self._whole(self.lead + unit)
+        word, mark, line, second, last = plain.groups()
+        out = self.bodies[self.lead + word] + self.marks[mark]
+        return out + self.marks[line] + self.bodies[second] + self.marks[last] if line else out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [self._split(t or "") for t in texts]
-        if len(self.known) > CACHED_UNITS:
-            self.known.clear()
-        if len(self.bodies) > CACHED_BODIES:
-            self.bodies.clear()
-        wanted = set()
-        for p in parts:
-            wanted.update(p[1:])
-        wanted.difference_update(self.known)
-        self._learn(wanted)
-        heads = self._encode([p[0] for p in parts]) if parts else []
-        get = self.known.__getitem__
-        return [h + b"".join(map(get, p[1:])) for h, p in zip(heads, parts)]
+        for cache, most in ((self.known, CACHED_UNITS), (self.bodies, CACHED_BODIES), (self.marks, CACHED_MARKS)):
+            if len(cache) > most:
+                cache.clear()
+        self.marks[""] = self.marks[None] = b""
+        get, out = self.known.__getitem__, []
+        for text in texts:
+            first, *rest = self._split(text or "")
+            out.append(self._whole(first) + b"".join(map(get, rest)))
+        return out
 
     @staticmethod
     def _split(text: str) -> list[str]:
-        return _CUT.split(text) if _EDGE.search(text) else text.split(" ")
-
-
-def ids(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype="<u4")
+        # As many words as single blanks and line ends, and one: there is no other white space.
+        if len(text.split()) == text.count(" ") + text.count("\n") + 1:
+            return text.split(" ")
+        return _CUT.split(text)
