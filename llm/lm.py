@@ -9,6 +9,7 @@ discounted is left to the unknown word.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -93,37 +94,66 @@ def _send(buckets: int):
     return run
 
 
-_STATS = ["total", "types", "ones", "twos"]
+@dataclass
+class Sums:
+    """Counts of a part of the vocabulary: by ending (tokens, types, types seen once and
+    twice), and its commonest words."""
+
+    table: np.ndarray   # (4, endings)
+    word: np.ndarray
+    count: np.ndarray
+    ending: np.ndarray
+
+    @classmethod
+    def of(cls, hash: np.ndarray, total: np.ndarray, ending: np.ndarray) -> Sums:
+        table = np.zeros((4, 1 << 16), np.int64)
+        for k, x in enumerate((total > 0, total > 0, total == 1, total == 2)):
+            table[k] = np.bincount(ending[x], weights=total[x] if k == 0 else None, minlength=1 << 16)
+        most = np.lexsort((hash, -total))[:CONTEXT]
+        most = most[total[most] > 0]
+        return cls(table, hash[most], total[most], ending[most])
+
+    def __add__(self, other: Sums) -> Sums:
+        word, count, ending = (np.concatenate(x) for x in (
+            (self.word, other.word), (self.count, other.count), (self.ending, other.ending)))
+        most = np.lexsort((word, -count))[:CONTEXT]
+        return Sums(self.table + other.table, word[most], count[most], ending[most])
+
+    def pack(self) -> bytes:
+        words_ = np.stack([self.word.view(np.int64), self.count, self.ending])
+        return zstandard.compress(self.table.tobytes() + np.ascontiguousarray(words_).tobytes(), 1)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Sums:
+        x = np.frombuffer(zstandard.decompress(data), np.int64)
+        word, count, ending = x[4 << 16:].reshape(3, -1)
+        return cls(x[:4 << 16].reshape(4, -1), word.view(np.uint64), count, ending)
 
 
 def _add(key, table):
-    """Of one bucket: the count of each hash in the corpus, for every block that asked; sums
-    by ending; and its commonest words."""
+    """Of one bucket: the count of each hash in the corpus, for every block that asked, and
+    one row with its sums."""
     sent = table.to_pylist()
     h = np.concatenate([unsqueeze_sorted(r["hashes"], r["n"]) for r in sent])
     count = np.concatenate([unsqueeze(r["counts"], r["n"]) for r in sent]).astype(np.int64)
     ending = np.concatenate([unsqueeze(r["endings"], r["n"]) for r in sent]).astype(np.int64)
     distinct, at, place = np.unique(h, return_index=True, return_inverse=True)
     total = np.bincount(place, weights=count, minlength=len(distinct)).astype(np.int64)
-    ending = ending[at]
     edges = np.concatenate(([0], np.cumsum([r["n"] for r in sent])))
     reply = [squeeze(total[place[a:b]]) for a, b in zip(edges[:-1], edges[1:])]
-    known = total > 0
-    sums = [np.bincount(ending[x], weights=total[x] if k == 0 else None, minlength=1 << 16)
-            for k, x in enumerate((known, known, total == 1, total == 2))]
-    used = np.flatnonzero(sums[1])
-    most = np.argsort(-total, kind="stable")[:CONTEXT]
-    most = most[total[most] > 0]
-    n, m, k = len(sent), len(used), len(most)
-    none = [None]
+    bucket = key[0].as_py()
     return pa.table({
-        "block": pa.array([r["block"] for r in sent] + none * (m + k), pa.int64()),
-        "bucket": pa.array([key[0].as_py()] * n + none * (m + k), pa.int64()),
-        "reply": pa.array(reply + none * (m + k), pa.binary()),
-        "ending": pa.array(none * n + used.tolist() + ending[most].tolist(), pa.int64()),
-        **{s: pa.array(none * n + x[used].astype(np.int64).tolist() + none * k, pa.int64()) for s, x in zip(_STATS, sums)},
-        "word": pa.array(none * (n + m) + distinct[most].view(np.int64).tolist(), pa.int64()),
-        "count": pa.array(none * (n + m) + total[most].tolist(), pa.int64())})
+        "block": pa.array([r["block"] for r in sent] + [None], pa.int64()),
+        "bucket": pa.array([bucket] * (len(sent) + 1), pa.int64()), "reply": pa.array(reply + [None], pa.binary()),
+        "sums": pa.array([None] * len(sent) + [Sums.of(distinct, total, ending[at]).pack()], pa.binary())})
+
+
+def _merge(key, table):
+    total = None
+    for data in table.column("sums"):
+        part = Sums.unpack(data.as_py())
+        total = part if total is None else total + part
+    return pa.table({"sums": pa.array([total.pack()], pa.binary())})
 
 
 @dataclass
@@ -176,8 +206,9 @@ class Model:
     def learn(self, t: Tokens, seen: np.ndarray) -> None:
         """Gradient steps on the training tokens of a block, a batch of contexts at a time;
         the steps of a row shrink with the gradients it has seen (``seen``)."""
+        t = Tokens(t.hash[t.train], t.ending[t.train], t.doc[t.train], t.train[t.train])  # whole documents
         features, place = self.contexts(t)
-        place, cls = place[t.train], self.classes(t)[t.train]
+        cls = self.classes(t)
         order = np.argsort(place, kind="stable")
         place, cls = place[order], cls[order]
         edges = np.searchsorted(place, np.arange(0, len(features) + BATCH, BATCH))
@@ -220,20 +251,22 @@ class Model:
         return np.log10(np.maximum(out, 1e-300))
 
 
-def _start(stats: DataFrame) -> Model:
-    """Classes and counts from the sums of all buckets; no weights yet. What comes to the
-    driver is a row per ending (65,536 at most) and CONTEXT words."""
-    sums = stats.where("total is not null").groupBy("ending").agg(*[F.sum(s).alias(s) for s in _STATS]).toArrow()
-    table = np.zeros((4, 1 << 16), np.int64)
-    table[:, sums.column("ending").to_numpy()] = [sums.column(s).to_numpy() for s in _STATS]
-    top = stats.where("word is not null").orderBy(F.desc("count"), "word").limit(CONTEXT).select("word", "count", "ending").toArrow()
-    word, count = top.column("word").to_numpy().view(np.uint64), top.column("count").to_numpy()
+def _start(sums: DataFrame, buckets: int) -> Model:
+    """Classes and counts from the sums of all buckets, merged in two steps; no weights yet.
+    What comes to the driver is a row per group of buckets, each of bounded size."""
+    groups = math.isqrt(buckets) + 1
+    merged = sums.select("bucket", "sums").groupBy(F.pmod("bucket", F.lit(groups)).alias("group")).applyInArrow(
+        _merge, "sums binary").toArrow()
+    all_ = Sums.of(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for data in merged.column("sums").to_pylist():
+        all_ = all_ + Sums.unpack(data)
+    table, word, count, ending = all_.table.copy(), all_.word, all_.count, all_.ending
     n, v, ones, twos = (int(x) for x in table.sum(axis=1))
     total, types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     m = min(OWN, len(word))
     total[:m], types[:m] = count[:m], 1
-    np.subtract.at(table[0], top.column("ending").to_numpy()[:m], count[:m])
-    np.subtract.at(table[1], top.column("ending").to_numpy()[:m], 1)
+    np.subtract.at(table[0], ending[:m], count[:m])
+    np.subtract.at(table[1], ending[:m], 1)
     class_of = np.full(1 << 16, CLASSES - 1)
     best = np.argsort(-table[0], kind="stable")[:ENDINGS]
     class_of[best] = OWN + np.arange(len(best))
@@ -329,9 +362,8 @@ def score(docs: DataFrame) -> DataFrame:
     sent = packed.select("block", "data").mapInArrow(
         _send(buckets), "bucket long, block long, n long, hashes binary, counts binary, endings binary")
     told = stored(sent.groupBy("bucket").applyInArrow(
-        _add, "block long, bucket long, reply binary, ending long, " + ", ".join(f"{s} long" for s in _STATS) + ", word long, count long"),
-        "counts")
-    model = _start(told.where("block is null"))
+        _add, "block long, bucket long, reply binary, sums binary"), "counts")
+    model = _start(told.where("block is null"), buckets)
     for k in range(ROUNDS if model.n else 0):
         model.weights = _round(packed, model, k)
     asked = answers_by_block(packed.select("block", "data"), told.where("block is not null").select("block", "bucket", "reply"))
