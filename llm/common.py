@@ -11,7 +11,7 @@ from ledgerguard.session import written
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BITMAP_BITS = 1 << 22     # size of a member bitmap: 512 KB, whatever the input
 BUCKET_BITS = 32_768      # fixed by bitmap_construct_agg
-ARROW_BYTES = 16 << 20    # most bytes in an Arrow batch, unless one row is larger
+ARROW_BYTES = 8 << 20     # most bytes in an Arrow batch, unless one row is larger
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,6 +20,7 @@ SIZES = (2, 3, 4)      # characters of an n-gram
 BITS = 16              # n-grams are hashed to 2**BITS features
 TRAIN_ROWS = 20_000    # most labelled texts that the likelihoods are estimated on, about
 LANGUAGES = 64         # most languages, the commonest labels
+PIECE = 1 << 20        # text whose n-grams are held at once
 SPREAD = 16            # partitions of the training texts, whose number is bounded
 SMOOTH = 0.5           # added to each count of a feature
 WEIGHT = 0.2           # of one n-gram; they overlap, so they count as fewer
@@ -83,7 +84,7 @@ def likelihoods(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Likelihood
 
     def add(batches):
         total = np.zeros((len(names), 1 << BITS), np.int64)
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             lang = np.searchsorted(names, batch.column("lang").to_pylist())
             features, first = ngrams(batch.column("text").to_pylist(), SIZES, BITS)
             for feature, inside in features:
@@ -154,7 +155,7 @@ def identify(rows: DataFrame, model: Likelihoods) -> DataFrame:
 
     def run(batches):
         own = sent.value
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             scores = own.of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_pydict({
                 **{c: batch.column(c) for c in ("doc_id", "page_id", "declared", "suffix", "host", "domain")},

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20  # text handled at once; a longer document makes a longer chunk
+CHUNK_BYTES = 2 << 20  # text handled at once; a longer document makes a longer chunk
 
 _WORD = np.ones(256, dtype=bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False                      # [^\x20\x09-\x0D]+
@@ -39,7 +39,7 @@ def _power_table(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if size <= 2 * CHUNK_BYTES:
+        if size <= 4 * CHUNK_BYTES:
             _powers[base] = have
     return have[:n]
 

@@ -16,10 +16,12 @@ from .tokens import pieces
 SIZES = (3, 4, 5)        # characters of an n-gram
 BITS = 22                # n-grams are hashed to 2**BITS features
 TRAIN_ROWS = 20_000      # most labelled texts that the model is fitted on
-MOST_FEATURES = 50_000   # features that are kept
+MOST_FEATURES = 50_000   # features that are kept; their numbers fit in 16 bits
+ROWS_AT_ONCE = 1_000     # texts that a gradient is summed over at a time
 LEAST_TEXTS = 4          # texts that must have a feature
 LEAST_Z = 3.5            # standard errors between the log-count ratio of a feature and zero
 SHARDS = 64              # pieces of the count vectors
+PIECE = 1 << 20          # text whose n-grams are held at once; some 40 times as many bytes
 SPREAD = 16              # partitions of the training texts, whose number is bounded
 STEPS, RIDGE = 100, 1.0
 
@@ -44,12 +46,12 @@ def present(texts: list[str | None], wanted: np.ndarray) -> tuple[np.ndarray, np
 def _count(batches):
     """Texts with each feature, by label, as compressed shards."""
     wanted, total = np.ones(1 << BITS, dtype=bool), np.zeros((2, 1 << BITS), np.uint32)
-    for batch in pieces(batches):
+    for batch in pieces(batches, most=PIECE):
         label = batch.column("label").to_numpy(zero_copy_only=False)
         doc, feature = present(batch.column("text").to_pylist(), wanted)
         for y in (0, 1):
-            mine = feature[label[doc] == y]
-            total[y] += np.bincount(mine, minlength=1 << BITS).astype(np.uint32)
+            found, texts = np.unique(feature[label[doc] == y], return_counts=True)
+            total[y][found] += texts.astype(np.uint32)
     zip_ = zstandard.ZstdCompressor(level=1)
     for s in range(SHARDS):
         part = np.ascontiguousarray(total.reshape(2, SHARDS, -1)[:, s])
@@ -94,18 +96,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-def _logistic(doc: np.ndarray, column: np.ndarray, ratio: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on sparse rows whose values are the ratios of their
-    features, by limited-memory quasi-Newton steps."""
-    n, k = len(label), len(ratio)
-    value = ratio[column]
+def _logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by limited-memory quasi-Newton steps. ``rows`` has the
+    features of each text; their values are the ratios, made some texts at a time, so that
+    the driver holds two bytes per feature and text."""
+    k = len(ratio)
+    parts = [slice(i, i + ROWS_AT_ONCE) for i in range(0, len(rows), ROWS_AT_ONCE)]
 
     def loss(x):
-        z = x[k] + np.bincount(doc, weights=value * x[column], minlength=n)
-        gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - label
-        slope = np.append(np.bincount(column, weights=value * gap[doc], minlength=k) + RIDGE * x[:k], gap.sum())
-        return np.sum(np.logaddexp(0, z) - label * z) + RIDGE / 2 * x[:k] @ x[:k], slope
-
+        total, slope = 0.0, np.append(RIDGE * x[:k], 0.0)
+        for part in parts:
+            y = label[part]
+            column = np.concatenate(rows[part]).astype(np.int64)
+            doc = np.repeat(np.arange(len(y)), [len(r) for r in rows[part]])
+            value = ratio[column]
+            z = x[k] + np.bincount(doc, weights=value * x[column], minlength=len(y))
+            gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
+            slope[:k] += np.bincount(column, weights=value * gap[doc], minlength=k)
+            slope[k] += gap.sum()
+            total += np.sum(np.logaddexp(0, z) - y * z)
+        return total + RIDGE / 2 * x[:k] @ x[:k], slope
+
+    n = len(label)
     x = np.zeros(k + 1)
     x[k] = np.log((label.sum() + 0.5) / (n - label.sum() + 0.5))
     at, slope = loss(x)
@@ -174,19 +186,19 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     def rows(batches):
         wanted = np.zeros(1 << BITS, dtype=bool)
         wanted[sent.value] = True
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             doc, found = present(batch.column("text").to_pylist(), wanted)
             column = np.searchsorted(sent.value, found)
             ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_pydict({
                 "label": batch.column("label").cast(pa.int64()),
-                "columns": pa.array([column[a:b].astype("<i4").tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())})
+                "columns": pa.array([column[a:b].astype("<u2").tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())})
 
     got = texts.mapInArrow(rows, "label long, columns binary").toArrow()
-    parts = [np.frombuffer(c, "<i4") for c in got.column("columns").to_pylist()]
-    doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    column = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    w, b = _logistic(doc, column, ratio, got.column("label").to_numpy().astype(float))
+    texts_with = [np.frombuffer(c, "<u2") for c in got.column("columns").to_pylist()]
+    label = got.column("label").to_numpy().astype(float)
+    del got
+    w, b = _logistic(texts_with, ratio, label)
     return Model(feature, (w * ratio).astype(np.float32), b)
 
 
@@ -200,7 +212,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         own = sent.value
         table = own.table()
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").cast(pa.int64()),
                 "score": pa.array(own.scores(batch.column("text").to_pylist(), table), pa.float64())})
@@ -219,7 +231,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches):
         own = sent.value
         table = own.table()
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             yield batch.filter(pa.array(own.scores(batch.column("text").to_pylist(), table) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
