@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,16 +11,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .chars import ngrams
-from .common import arrow_batches, same_names, stored
+from .common import arrow_batches, maybe_member, member_bitmap, partitions, same_names, stored
 from .tokens import pieces
 
 SIZES = (3, 4, 5)        # characters of an n-gram
 BITS = 22                # n-grams are hashed to 2**BITS features
 TRAIN_ROWS = 20_000      # most labelled texts that the model is fitted on
-MOST_FEATURES = 50_000   # features that are kept; their numbers fit in 16 bits
+MOST_FEATURES = 50_000   # features that are kept, the surest first; their numbers fit in 16 bits
 ROWS_AT_ONCE = 1_000     # texts that a gradient is summed over at a time
 LEAST_TEXTS = 4          # texts that must have a feature
-LEAST_Z = 3.5            # standard errors between the log-count ratio of a feature and zero
 SHARDS = 64              # pieces of the count vectors
 PIECE = 1 << 20          # text whose n-grams are held at once; some 40 times as many bytes
 SPREAD = 16              # partitions of the training texts, whose number is bounded
@@ -34,12 +34,19 @@ def present(texts: list[str | None], wanted: np.ndarray) -> tuple[np.ndarray, np
     """(text, feature) of the distinct features of each text among the ``wanted`` (a flag
     for each feature)."""
     parts, first = ngrams(texts, SIZES, BITS)
+    short = np.uint32 if len(texts) <= 1 << (32 - BITS) else np.uint64  # sorted faster
+    lengths = np.diff(np.append(first, len(parts[0][0])))
+    doc = np.repeat(np.arange(len(texts), dtype=short) << short(BITS), lengths)
     keys = []
     for feature, inside in parts:
-        at = np.flatnonzero(wanted[feature] & inside)
-        doc = np.searchsorted(first, at, side="right") - 1
-        keys.append(np.unique(doc << BITS | feature[at]))
-    key = np.unique(np.concatenate(keys))
+        there = wanted[feature]
+        there &= inside
+        keys.append(doc[there] | feature[there])
+    key = np.concatenate(keys)
+    key.sort()
+    new = np.ones(len(key), dtype=bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    key = key[new].astype(np.int64)
     return key >> BITS, key & ((1 << BITS) - 1)
 
 
@@ -60,17 +67,29 @@ def _count(batches):
                 "shard": pa.array([s], pa.int64()), "counts": pa.array([zip_.compress(part.tobytes())], pa.binary())})
 
 
+def _total(table: pa.Table) -> np.ndarray:
+    unzip = zstandard.ZstdDecompressor()
+    total = np.zeros((2, (1 << BITS) // SHARDS), np.int64)
+    for c in table.column("counts"):
+        total += np.frombuffer(unzip.decompress(c.as_py()), np.uint32).reshape(2, -1)
+    return total
+
+
+def _merge(key, table):
+    """Counts of one shard from some tasks."""
+    packed = zstandard.compress(_total(table).astype(np.uint32).tobytes(), 1)
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "counts": pa.array([packed], pa.binary())})
+
+
 def _ratios(texts: tuple[int, int]):
-    """Of one shard: the log-count ratio and its distance from zero for features that are
-    frequent and distinct enough."""
+    """Of one shard: the log-count ratio and its distance from zero in standard errors, for
+    features that enough texts have."""
     def run(key, table):
-        unzip = zstandard.ZstdDecompressor()
-        total = sum(np.frombuffer(unzip.decompress(c.as_py()), np.uint32).reshape(2, -1).astype(np.int64)
-                    for c in table.column("counts"))
+        total = _total(table)
         clean, toxic = total + 0.5
         ratio = np.log(toxic / (texts[1] + 1)) - np.log(clean / (texts[0] + 1))
         z = np.abs(ratio) / np.sqrt(1 / toxic + 1 / clean)
-        keep = np.flatnonzero((total.sum(axis=0) >= LEAST_TEXTS) & (z >= LEAST_Z))
+        keep = np.flatnonzero(total.sum(axis=0) >= LEAST_TEXTS)
         base = key[0].as_py() * ((1 << BITS) // SHARDS)
         return pa.table({"feature": pa.array(base + keep, pa.int64()), "ratio": pa.array(ratio[keep], pa.float64()),
                          "z": pa.array(z[keep], pa.float64())})
@@ -104,15 +123,14 @@ def _logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray) -> t
     parts = [slice(i, i + ROWS_AT_ONCE) for i in range(0, len(rows), ROWS_AT_ONCE)]
 
     def loss(x):
-        total, slope = 0.0, np.append(RIDGE * x[:k], 0.0)
+        total, slope, scaled = 0.0, np.append(RIDGE * x[:k], 0.0), ratio * x[:k]
         for part in parts:
             y = label[part]
             column = np.concatenate(rows[part]).astype(np.int64)
             doc = np.repeat(np.arange(len(y)), [len(r) for r in rows[part]])
-            value = ratio[column]
-            z = x[k] + np.bincount(doc, weights=value * x[column], minlength=len(y))
+            z = x[k] + np.bincount(doc, weights=scaled[column], minlength=len(y))
             gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
-            slope[:k] += np.bincount(column, weights=value * gap[doc], minlength=k)
+            slope[:k] += ratio * np.bincount(column, weights=gap[doc], minlength=k)
             slope[k] += gap.sum()
             total += np.sum(np.logaddexp(0, z) - y * z)
         return total + RIDGE / 2 * x[:k] @ x[:k], slope
@@ -153,31 +171,39 @@ def _logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray) -> t
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """Fit the model on at most ``train_rows`` labelled texts outside the held-out fold,
-    chosen by a hash of their id.
-
-    Log-count ratios are counted over those texts in Spark; only features that at least
-    LEAST_TEXTS texts have and whose ratio is LEAST_Z standard errors from zero are kept
-    (at most MOST_FEATURES). The driver gets the kept features and, per text, which of them
-    it has. With labels of one class only, or none, every score is that class's share
+    """Count on all labelled texts outside the held-out fold, fit on at most ``train_rows``
+    of them, chosen by a hash of their id.
+
+    Log-count ratios of all features that at least LEAST_TEXTS texts have are counted in
+    Spark; if there are more than MOST_FEATURES, those whose ratios are most standard errors
+    from zero are kept. No feature goes because it is rare among few texts: the ridge on
+    ratios weighs it. The driver gets the kept features and, per text of the fit, which of
+    them it has. With labels of one class only, or none, every score is that class's share
     (0.5 without labels).
     """
     spark = docs.sparkSession
     arrow_batches(spark)
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    # Bounded by train_rows, so small enough to broadcast.
-    sample = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("label")).orderBy(
-        F.xxhash64("_id"), "_id").limit(train_rows)
-    texts = stored(same_names(docs, ("doc_id", "text")).join(F.broadcast(stored(sample, "sample")), F.col("doc_id") == F.col("_id"))
-                   .select("text", "label").repartition(SPREAD, F.xxhash64("text"), F.monotonically_increasing_id()), "labelled")
-    seen = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
-    n = (seen.get(0, 0), sum(v for k, v in seen.items() if k))
+    docs = same_names(docs, ("doc_id", "text"))
+    known = stored(labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+                   .groupBy(F.col("doc_id").alias("_id")).agg(F.max((F.col("toxic").cast("int") != 0).cast("int")).alias("label")), "labels")
+    own = F.col("doc_id") == F.col("_id")
+    seen = {r["label"]: r["count"] for r in docs.select("doc_id").join(known, own).groupBy("label").count().collect()}
+    n = (seen.get(0, 0), seen.get(1, 0))
     if not all(n):
         share = 0.5 if not sum(n) else (0.0 if n[0] else 1.0)
         return Model(np.zeros(0, np.int64), np.zeros(0), {0.0: -20.0, 0.5: 0.0, 1.0: 20.0}[share])
-    texts = texts.withColumn("label", (F.col("label") != 0).cast("int"))
-    kept = texts.mapInArrow(_count, "shard long, counts binary").groupBy("shard").applyInArrow(
-        _ratios(n), "feature long, ratio double, z double").orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).toArrow()
+    # The bitmap keeps most texts without a label out of a shuffle.
+    texts = maybe_member(docs, member_bitmap(known.select(F.col("_id").alias("doc_id")), "doc_id"), "doc_id").where("_maybe")
+    counts = texts.join(known, own).select("text", "label").mapInArrow(_count, "shard long, counts binary")
+    groups = math.isqrt(partitions(spark)) + 1
+    counts = counts.groupBy("shard", F.pmod(F.spark_partition_id(), F.lit(groups)).alias("part")).applyInArrow(
+        _merge, "shard long, counts binary")
+    kept = counts.groupBy("shard").applyInArrow(_ratios(n), "feature long, ratio double, z double").orderBy(
+        F.desc("z"), "feature").limit(MOST_FEATURES).toArrow()
+    # Bounded by train_rows, so small enough to broadcast.
+    sample = stored(known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows), "sample")
+    fitted = docs.join(F.broadcast(sample), own).select("text", "label").repartition(
+        SPREAD, F.xxhash64("text"), F.monotonically_increasing_id())
     feature, ratio = kept.column("feature").to_numpy(), kept.column("ratio").to_numpy()
     order = np.argsort(feature)
     feature, ratio = feature[order], ratio[order]
@@ -194,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
                 "label": batch.column("label").cast(pa.int64()),
                 "columns": pa.array([column[a:b].astype("<u2").tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())})
 
-    got = texts.mapInArrow(rows, "label long, columns binary").toArrow()
+    got = fitted.mapInArrow(rows, "label long, columns binary").toArrow()
     texts_with = [np.frombuffer(c, "<u2") for c in got.column("columns").to_pylist()]
     label = got.column("label").to_numpy().astype(float)
     del got

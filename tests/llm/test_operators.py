@@ -325,6 +325,32 @@ def test_toxicity(spark, clashing, none):
     assert toxicity.keep_clean(none, labels).count() == 0
 
 
+@pytest.mark.parametrize("train_rows", [toxicity.TRAIN_ROWS, 40])
+def test_toxicity_of_few_toxic_texts(spark, train_rows):
+    """Ten toxic texts are enough, and every labelled text counts, also beyond the fit."""
+    rng = random.Random(21)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    made = [(i, sentence(rng, 40) + (" utterly stupid moron" if k % 7 == 0 else ""), int(k % 7 == 0)) for k, i in enumerate(ids[:70])]
+    assert sum(y for _, _, y in made) == 10
+    new = [(1000 + k, sentence(rng, 40) + (" utterly stupid moron" if k % 2 else ""), k % 2) for k in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in made + new], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in made], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels, train_rows)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert sum(got[i] == y for i, _, y in new) >= 39
+    clean = toxicity.keep_clean(docs, labels)
+    assert {i for i, _, y in made if y}.isdisjoint(r["doc_id"] for r in clean.collect())
+
+
+def test_toxicity_counts_rows_beyond_the_fit(spark):
+    """Features are counted on all labelled texts, however few the fit takes."""
+    made = toxic_texts(300)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in made], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in made], "doc_id bigint, toxic int")
+    few, all_ = (len(toxicity.train(docs, labels, n).feature) for n in (20, toxicity.TRAIN_ROWS))
+    assert few == all_
+
+
 def test_language(spark):
     rng = random.Random(3)
     syllables = {"aa": ["ka", "ro", "mi", "tun"], "bb": ["schü", "eit", "ung", "ver"], "cc": ["ción", "que", "ell", "ado"]}
