@@ -19,7 +19,6 @@ from .toxicity import held_out
 SIZES = (2, 3, 4)      # characters of an n-gram
 BITS = 16              # n-grams are hashed to 2**BITS features
 TRAIN_ROWS = 20_000    # most labelled texts that the likelihoods are estimated on, about
-LANGUAGES = 64         # most languages, the commonest labels
 PIECE = 1 << 20        # text whose n-grams are held at once
 SPREAD = 16            # partitions of the training texts, whose number is bounded
 SMOOTH = 0.5           # added to each count of a feature
@@ -68,34 +67,47 @@ class Likelihoods:
         return (total - total.max(axis=1, keepdims=True)) * scale[:, None] if len(self.languages) else total
 
 
+def _quota(counts: Sequence[int], most: int) -> float:
+    """Rows that each language may have at most, so that all together have ``most``."""
+    left = most
+    for i, n in enumerate(ordered := sorted(counts)):
+        if n * (len(ordered) - i) >= left:
+            return left / (len(ordered) - i)
+        left -= n
+    return float(max(counts))
+
+
 def likelihoods(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Likelihoods:
     """n-gram likelihoods of each language from rows (doc_id, text, lang) outside the
-    held-out fold; about ``train_rows`` of them at most, chosen by a hash of the id."""
+    held-out fold; about ``train_rows`` of them at most, chosen by a hash of the id. Every
+    label is kept, and rare ones keep all their rows: each language has the same quota."""
     spark = labelled.sparkSession
     arrow_batches(spark)
     known = labelled.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    count = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    count = known.groupBy("lang").count().collect()
     names = sorted(r["lang"] for r in count)
     if not names:
         return Likelihoods([], np.zeros((1 << BITS, 0), np.float32))
-    share = min(1.0, train_rows / sum(r["count"] for r in count))
-    part = known.where(F.col("lang").isin(names) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
+    quota = _quota([r["count"] for r in count], train_rows)
+    shares = F.create_map(*[F.lit(x) for r in count for x in (r["lang"], int(min(1.0, quota / r["count"]) * (1 << 30)))])
+    part = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < shares[F.col("lang")])
     sample = part.select("text", "lang").repartition(SPREAD, F.xxhash64("text"))
 
     def add(batches):
-        total = np.zeros((len(names), 1 << BITS), np.int64)
+        total = {}
         for batch in pieces(batches, most=PIECE):
             lang = np.searchsorted(names, batch.column("lang").to_pylist())
             features, first = ngrams(batch.column("text").to_pylist(), SIZES, BITS)
             for feature, inside in features:
                 at = np.flatnonzero(inside)
-                doc = np.searchsorted(first, at, side="right") - 1
-                total += np.bincount((lang[doc] << BITS) + feature[at], minlength=total.size).reshape(total.shape)
-        yield pa.RecordBatch.from_pydict({
-            "lang": pa.array(range(len(names)), pa.int64()),
-            "counts": pa.array([zstandard.compress(t.tobytes(), 1) for t in total], pa.binary())})
+                of = lang[np.searchsorted(first, at, side="right") - 1]
+                for i in np.unique(of):
+                    total[i] = total.get(i, 0) + np.bincount(feature[at[of == i]], minlength=1 << BITS)
+        for i, counts in total.items():
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.array([int(i)], pa.int64()), "counts": pa.array([zstandard.compress(counts.tobytes(), 1)], pa.binary())})
 
-    got = sample.mapInArrow(add, "lang long, counts binary").toArrow()  # SPREAD rows a language
+    got = sample.mapInArrow(add, "lang long, counts binary").toArrow()  # SPREAD rows a language at most
     total = np.zeros((len(names), 1 << BITS))
     for lang, data in zip(got.column("lang").to_pylist(), got.column("counts").to_pylist()):
         total[lang] += np.frombuffer(zstandard.decompress(data), np.int64)
@@ -157,17 +169,19 @@ def identify(rows: DataFrame, model: Likelihoods) -> DataFrame:
         own = sent.value
         for batch in pieces(batches, most=PIECE):
             scores = own.of(batch.column("text").to_pylist())
+            likely = np.exp(scores)
+            likely /= likely.sum(axis=1, keepdims=True)
             yield pa.RecordBatch.from_pydict({
                 **{c: batch.column(c) for c in ("doc_id", "page_id", "declared", "suffix", "host", "domain")},
-                **{f"t{i}": pa.array(scores[:, i], pa.float64()) for i in range(len(names))}})
+                **{f"t{i}": pa.array(scores[:, i], pa.float64()) for i in range(len(names))},
+                **{n: pa.array(likely[:, i], pa.float64()) for i, n in enumerate(names)}})
 
     columns = "doc_id long, page_id long, declared string, suffix string, host string, domain string"
     if not names:
         return rows.select("doc_id", "page_id", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"),
                            F.lit(None).cast("string").alias("text_lang"), "declared", "suffix", "host")
-    scored = stored(rows.mapInArrow(run, ", ".join([columns, *[f"t{i} double" for i in range(len(names))]])), "evidence")
-    likely = [F.exp(f"t{i}") for i in range(len(names))]
-    first = scored.select("*", *[(x / sum(likely[1:], likely[0])).alias(n) for x, n in zip(likely, names)])
+    kinds = [*[f"t{i} double" for i in range(len(names))], *[f"{n} double" for n in names]]
+    first = stored(rows.mapInArrow(run, ", ".join([columns, *kinds])), "evidence")
 
     hosts = stored(_sums(first, names, "host", "domain"), "hosts")
     whole = hosts.agg(*[F.sum(n).alias(n) for n in names]).first()

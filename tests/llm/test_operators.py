@@ -376,6 +376,26 @@ def test_language(spark):
     assert empty.count() == 0
 
 
+def test_every_language_is_kept(spark):
+    """More labels than 64, and a language whose rows are few among many."""
+    def text(rng, lang, n):
+        own = random.Random(lang)
+        syllables = ["".join(own.choice("bcdfghklmnprstvz") + own.choice("aeiouäöü") for _ in range(2)) for _ in range(6)]
+        return " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(n))
+
+    rng = random.Random(31)
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5]
+    langs = [f"l{k:02}" for k in range(66) for _ in range(4)] + ["often"] * 900 + ["rare"] * 2
+    made = [(i, text(rng, lang, 40), lang) for i, lang in zip(ids, langs)]
+    docs = spark.createDataFrame(made, "doc_id bigint, text string, lang string")
+    model = language.likelihoods(docs, 400)
+    assert model.languages == sorted(set(langs))
+    got = model.of([text(rng, lang, 40) for lang in model.languages]).argmax(axis=1)
+    assert (got == np.arange(68)).all()
+    new = spark.createDataFrame([(1, text(rng, "rare", 40), "s")], "doc_id bigint, text string, source string")
+    assert language.identify(language.evidence(new, None), model).first()["lang"] == "rare"
+
+
 def test_empty_tables(spark, none, byte_bpe, word_bpe):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert exact.exact_groups(none).count() == 0
