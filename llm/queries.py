@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, language, lm, near, packing, phrases, substrings, token_files, toxicity, urls
+from . import (exact, html_text, language, lm, near, packing, periods, phrases, substrings, token_files, toxicity, urls,
+               whitening)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,27 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_lm_scoring")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score(table(spark, sf, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(table(spark, sf, "embeddings")))
+
+
+# The SQL knows the layout of the given pages; the operator does not.
+@query("op12_html_extraction", r"""
+    WITH article AS (
+        SELECT page_id, url,
+               regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS t FROM pages),
+    blocks AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM article),
+    decoded AS (SELECT page_id, url, regexp_replace(replace(t, '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM blocks),
+    final AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM decoded)
+    SELECT page_id, url, text, length(text) AS n_chars FROM final
+""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return periods.digest(periods.find_runs(periods.planted(table(spark, sf, "documents"))))
