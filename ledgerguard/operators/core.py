@@ -147,7 +147,7 @@ def has_repeats(tx: DataFrame, key: str = "id") -> bool:
     return not keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
-def _own_key(rows: DataFrame) -> Column:
+def own_key() -> Column:
     """The idempotency key; rows without one stand for themselves."""
     return F.when(present("idempotency_key"), F.concat(F.lit("k"), F.col("idempotency_key"))).otherwise(
         F.concat(F.lit("i"), F.col("id").cast("string")))
@@ -159,7 +159,7 @@ def repeated_transactions(rows: DataFrame) -> DataFrame:
     ``rows`` are those that reach core, repeats included. The first of a key is found by
     aggregation, so a hot key costs one row per task."""
     order = F.struct(*(_position(rows) or ["id"]))
-    keyed = rows.where(F.col("id").isNotNull()).withColumn("_own", _own_key(rows)).withColumn("_order", order)
+    keyed = rows.where(F.col("id").isNotNull()).withColumn("_own", own_key()).withColumn("_order", order)
     firsts = keyed.groupBy("_own").agg(
         F.min("_order").alias("_first"), F.min_by("id", "_order").alias("first_id"), F.count(F.lit(1)).alias("_n")
     ).where("_n > 1")
@@ -173,7 +173,7 @@ def _finish(rows: DataFrame, drop_repeats: bool, unique_ids: bool) -> DataFrame:
         rows = first_wins(rows, "id", _position(rows) or ["created_at", "reference", "idempotency_key", "amount", "status"])
     if drop_repeats:
         order = _position(rows) or ["id"]
-        rows = first_wins(rows.withColumn("_own", _own_key(rows)), "_own", order).drop("_own")
+        rows = first_wins(rows.withColumn("_own", own_key()), "_own", order).drop("_own")
     return rows.drop("source_position")
 
 

@@ -3,8 +3,10 @@
 Reports that group by a parent (merchant, agency, account) aggregate the transactions by
 the foreign key first and join the parent afterwards: the shuffle then carries one row
 per key and task, a parent that owns a third of the sales is no hot spot, and the join
-sees each key once. Reports for one user or reference filter first, read the transactions
-once and look up only the accounts that the few rows name; AQE sees how few they are.
+sees each key once. Reports for one user or reference filter first and are one plan, built
+without a job; AQE sees how few rows are left. A ledger that is asked for single users and
+references often keeps a served copy, where these reports read a few row groups
+(``sources/serving.py``).
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clean import discrepancy, hour_of, month_of, week_of
-from ..session import written
 from ..sources.layers import QUARTER, quarter_of
 
 
@@ -28,9 +29,8 @@ def _average(total: Column, n: Column) -> Column:
 
 
 def _own_accounts(accounts: DataFrame, user_id: int) -> DataFrame:
-    """Stored, so that Catalyst plans the next join by their real size."""
-    return written(accounts.where(F.col("user_id") == user_id).select(
-        F.col("id").alias("sa_id"), F.col("account_number").alias("source_account")), "own-accounts")
+    return accounts.where(F.col("user_id") == user_id).select(
+        F.col("id").alias("sa_id"), F.col("account_number").alias("source_account"))
 
 
 def _of_user(tx: DataFrame, accounts: DataFrame, user_id: int) -> DataFrame:
@@ -38,15 +38,8 @@ def _of_user(tx: DataFrame, accounts: DataFrame, user_id: int) -> DataFrame:
 
 
 def _with_destination(rows: DataFrame, accounts: DataFrame) -> DataFrame:
-    """The destination's number, looked up among the accounts that the rows name. The rows
-    of one user or reference are stored first: the transactions are read once, and the
-    accounts are cut down before they are joined."""
-    few = written(rows, "point-rows")
-    wanted = few.select(F.col("destination_account_id").alias("_wanted")).distinct()
-    da = accounts.select(
-        F.col("id").alias("da_id"), F.col("account_number").alias("destination_account")
-    ).join(wanted, F.col("da_id") == F.col("_wanted"), "left_semi")
-    return few.join(da, F.col("destination_account_id") == F.col("da_id"), "left")
+    da = accounts.select(F.col("id").alias("da_id"), F.col("account_number").alias("destination_account"))
+    return rows.join(da, F.col("destination_account_id") == F.col("da_id"), "left")
 
 
 # -- one user ---------------------------------------------------------------------------
@@ -80,7 +73,7 @@ def user_failures(tx: DataFrame, accounts: DataFrame, user_id: int) -> DataFrame
 
 def by_reference(tx: DataFrame, accounts: DataFrame, users: DataFrame, reference: str) -> DataFrame:
     """All columns of the transaction with the names of its accounts and user."""
-    found = written(tx.where(F.col("reference") == reference), "found")
+    found = tx.where(F.col("reference") == reference)
     sa = accounts.select(
         F.col("id").alias("sa_id"), "user_id", F.col("account_number").alias("source_account"))
     owner = users.select(F.col("id").alias("owner_id"), F.col("full_name").alias("source_user"))

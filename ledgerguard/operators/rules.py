@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from ..functions.clean import squeeze, to_number, to_time
 from ..schemas import STATUSES
@@ -112,40 +111,64 @@ def reference_amount_rule(df: DataFrame, order, reference="reference", amount="a
 
 # -- sequences ---------------------------------------------------------------------------
 
+WORD, WORDS = 64, 16              # numbers of a coverage word, words of a block
+SPANS = (10, 28, 46, 64)          # bits of a number within a block and within each wider span
+
+
+def _coverage(df: DataFrame, key: str, sequence: str) -> DataFrame:
+    """One row per key and block of 1,024 numbers: which of them occur, as 16 words of bits.
+    Partial aggregation turns a run of rows into one, so repeats and hot keys stay small."""
+    rows = df.where(F.col(sequence).isNotNull()).select(
+        F.col(key).alias("key"), F.col(sequence).cast("bigint").alias("seq"))
+    at = F.shiftright("seq", 6).bitwiseAND(WORDS - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("seq").bitwiseAND(WORD - 1).cast("int"))
+    return rows.groupBy("key", F.shiftright("seq", SPANS[0]).alias("block")).agg(*[
+        F.bit_or(F.when(at == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"w{i}") for i in range(WORDS)])
+
+
+def _neighbours(spans: Column) -> Column:
+    """Of sorted (first, last) spans: the (previous, next) ends that leave a gap."""
+    pairs = F.arrays_zip(
+        F.slice(spans, F.lit(1), F.size(spans) - 1).alias("a"), F.slice(spans, F.lit(2), F.size(spans) - 1).alias("b"))
+    ends = F.transform(pairs, lambda p: F.struct(p["a"]["last"].alias("previous"), p["b"]["first"].alias("seq")))
+    return F.filter(ends, lambda e: e["seq"] - e["previous"] > 1)
+
+
 def sequence_gaps(df: DataFrame, key: str, sequence: str) -> DataFrame:
     """Missing numbers between neighbours of a per-key sequence: one row per gap.
 
-    The rows are range-partitioned by (key, sequence), so a key that owns much of the
-    data is cut into pieces of about equal size. Gaps inside a piece come from ``lag``.
-    The first and last row of each piece go on to a second pass, which compares the end
-    of a piece with the start of the next; it sees two rows per piece, not the data.
-    Both passes follow one another in one plan, so the pieces are always the same ones.
+    Numbers become coverage bitmaps of blocks, in one shuffle of some 16 bytes per 100
+    numbers that follow one another; repeats vanish there. Gaps inside a block come from its bits; a
+    full block has none and is not unpacked. A block sends its first and last number on,
+    blocks are gathered into spans of 2**28 numbers, those into spans of 2**46, and those
+    per key: each array holds 2**18 spans at most, so a key with all the rows, or with
+    numbers far apart, meets in no single task. Nothing is sorted and no job runs ahead.
     """
-    rows = df.where(F.col(sequence).isNotNull()).select(
-        F.col(key).alias("key"), F.col(sequence).alias("seq")).distinct()
-    inside = Window.partitionBy("key", "piece").orderBy("seq")
-    pieces = (
-        rows.repartitionByRange("key", "seq")
-        .withColumn("piece", F.spark_partition_id())
-        .withColumn("prev", F.lag("seq").over(inside))
-        .withColumn("next", F.lead("seq").over(inside))
-    )
-    gap, edge = F.lit("gap"), F.lit("edge")
-    kinds = F.filter(
-        F.array(
-            F.when(F.col("seq") - F.col("prev") > 1, gap),
-            F.when(F.col("prev").isNull() | F.col("next").isNull(), edge),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    kept = pieces.select("key", "seq", "prev", F.explode(kinds).alias("kind")).withColumn(
-        "apart", F.when(F.col("kind") == gap, F.xxhash64("seq")))
-    across = Window.partitionBy("key", "kind", "apart").orderBy("seq")
-    found = kept.withColumn("prev", F.when(F.col("kind") == gap, F.col("prev")).when(
-        F.col("prev").isNull(), F.lag("seq").over(across)))
-    return found.where(F.col("seq") - F.col("prev") > 1).select(
-        F.col("key").alias(key),
-        F.col("prev").alias("previous"),
-        F.col("seq").alias(sequence),
-        (F.col("seq") - F.col("prev") - 1).alias("missing"),
-    )
+    words = [F.col(f"w{i}") for i in range(WORDS)]
+    full = F.lit(True)
+    for w in words:
+        full = full & (w == -1)
+    base = F.shiftleft("block", SPANS[0])
+    none = F.array().cast("array<struct<first:bigint,last:bigint>>")
+
+    def singles(i: int, w: Column) -> Column:
+        """The numbers of a word, as spans of one."""
+        here = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda b: F.call_function("shiftright", w, b).bitwiseAND(1) == 1)
+        at = F.transform(here, lambda b: base + F.lit(i * WORD) + b)
+        return F.when(w == 0, none).otherwise(F.transform(at, lambda x: F.struct(x.alias("first"), x.alias("last"))))
+
+    numbers = F.flatten(F.array(*[singles(i, w) for i, w in enumerate(words)]))
+    whole = F.array(F.struct(base.alias("first"), (base + (1 << SPANS[0]) - 1).alias("last")))
+    level = _coverage(df, key, sequence).select("key", F.when(full, whole).otherwise(numbers).alias("spans"))
+    gaps = None
+    for bits in SPANS[1:]:
+        found = level.select("key", F.explode(_neighbours(F.col("spans"))).alias("gap"))
+        gaps = found if gaps is None else gaps.unionByName(found)
+        ends = level.select("key", F.get("spans", F.lit(0))["first"].alias("first"), F.element_at("spans", -1)["last"].alias("last"))
+        wide = F.shiftright("first", bits) if bits < 64 else F.lit(0).cast("bigint")
+        level = ends.groupBy("key", wide.alias("block")).agg(
+            F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans")).select("key", "spans")
+    gaps = gaps.unionByName(level.select("key", F.explode(_neighbours(F.col("spans"))).alias("gap")))
+    return gaps.select(
+        F.col("key").alias(key), F.col("gap.previous").alias("previous"), F.col("gap.seq").alias(sequence),
+        (F.col("gap.seq") - F.col("gap.previous") - 1).alias("missing"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.window import Window
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -42,6 +41,9 @@ def sole_rows(rules: Sequence[str], spark: SparkSession, name: str = "rule") ->
     return spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in rules])).alias(name))
 
 
+SAMPLE_BUCKETS = 64  # more than enough for ten samples, few enough for every task to send all
+
+
 def tally(
     hits: DataFrame,
     by: Sequence[str],
@@ -52,29 +54,36 @@ def tally(
 ) -> DataFrame:
     """Count hits per group with the ``keep`` smallest distinct samples.
 
-    Counts are partial sums per task. Samples are ranked on the raw hits: Spark turns the
-    filter on ``dense_rank`` into a group limit before the shuffle, so of all violating
-    rows a task sends its smallest few samples per group and nothing else. ``distinct``
-    follows the limit, since a rank may be shared. ``rules`` adds groups without a hit.
+    The state of a group is bounded and merges: samples are dealt by hash over
+    SAMPLE_BUCKETS buckets, and each keeps its count and its least sample, so a task sends
+    at most that many rows per group, whether all hits share one sample or each has its
+    own. The ``keep``-th least of these, which are distinct, bounds the samples that can
+    be among the ``keep`` smallest; a second look at the hits collects those up to it, a
+    few more than wanted, made distinct in every task before they are sent. The result is
+    exact. ``rules`` adds groups without a hit; there is one row per group, so the bounds
+    are broadcast.
     """
     by = list(by)
-    n = F.sum(weight) if weight else F.count(F.lit(1))
+    n = F.col(weight) if weight else F.lit(1)
+    shown = hits.select(*by, n.cast("bigint").alias("_n"), F.col(sample).cast("string").alias("_sample"))
+    bucket = F.pmod(F.xxhash64("_sample"), F.lit(SAMPLE_BUCKETS)).alias("_bucket")
+    state = shown.groupBy(*by, bucket).agg(F.sum("_n").alias("_n"), F.min("_sample").alias("_least"))
     zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
-    first = Window.partitionBy(*by).orderBy(F.asc_nulls_last("_sample"))
-    samples = (
-        hits.select(*by, F.col(sample).cast("string").alias("_sample"))
-        .withColumn("_rank", F.dense_rank().over(first))
-        .where(F.col("_rank") <= keep)
-        .select(*by, "_sample").distinct()
-        .select(*by, zero.alias("_n"), "_sample")
-    )
-    totals = hits.groupBy(*by).agg(n.cast("bigint").alias("_n")).select(*by, "_n", none.alias("_sample"))
-    both = totals.unionByName(samples)
+    counts = state.select(*by, "_n", "_least")
     if rules is not None:
-        both = both.unionByName(rules.select(*by, zero.alias("_n"), none.alias("_sample")))
+        counts = counts.unionByName(rules.select(*by, zero.alias("_n"), none.alias("_least")))
+    totals = counts.groupBy(*by).agg(
+        F.sum("_n").alias("_n"), F.get(F.array_sort(F.collect_list("_least")), F.lit(keep - 1)).alias("_bound"))
+    bounds = totals.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "_bound")
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    low = shown.join(F.broadcast(bounds), same).where(F.coalesce(F.col("_sample") <= F.col("_bound"), F.col("_sample").isNotNull()))
+    samples = low.groupBy(*by, "_sample").agg(zero.alias("_n"))
+    both = totals.select(*by, "_n", none.alias("_sample")).unionByName(samples)
     return both.groupBy(*by).agg(
         F.sum("_n").alias("count"),
-        F.array_sort(F.collect_list("_sample")).alias("samples"),
+        F.slice(F.array_sort(F.collect_list("_sample")), 1, keep).alias("samples"),
     )
 
 

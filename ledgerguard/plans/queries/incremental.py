@@ -1,12 +1,16 @@
 """Incremental ingest: the events table as a stream."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ...session import scratch
 from ...streaming import incremental as op
 from .. import bindings as b
 from ..oracle import sql
+from ..changes import Arrivals, Ledger
 from ..registry import query
+from .core import CORE_COLUMNS, SHOWN
 
 PAYLOAD = ["amount", "status"]
 
@@ -38,6 +42,39 @@ def i1(spark, sf):
     return op.stored(spark, path, source.schema)
 
 
+def ledger_of(spark, sf, tx):
+    """Four batches of transactions, while their accounts, merchants and agencies come in
+    parts: rows wait for parents, and conflicts and repeats arise across batches."""
+    accounts, held = b.staged_accounts(spark, sf), b.accounts(spark, sf)
+    late = F.col("id").cast("bigint") % 2 == 1
+    parts = [Arrivals(accounts=accounts.where(~late), core_accounts=held.where(~late)),
+             Arrivals(merchants=b.merchants(spark, sf)),
+             Arrivals(accounts=accounts.where(late), core_accounts=held.where(late), agencies=b.agencies(spark, sf)),
+             Arrivals(accounts=accounts.where(~late))]
+    ledger = Ledger(spark, scratch(spark, "changes"), tx.columns, buckets=8)
+    part = F.pmod(F.floor(F.col("id").cast("bigint") / 3), F.lit(4))
+    for n, arrivals in enumerate(parts):
+        ledger.apply(replace(arrivals, transactions=tx.where(part == n)), n)
+    return ledger.tables()
+
+
+@query("i1_incremental_refresh", sql("""
+WITH codes AS (SELECT id, code FROM anomalies UNION SELECT id, 'idempotency_conflict' FROM conflicts
+               UNION SELECT id, code FROM holds)
+SELECT t.id, t.route, COALESCE(string_agg(c.code, '|' ORDER BY c.code), '') AS reasons
+FROM routed t LEFT JOIN codes c ON c.id = t.id GROUP BY t.id, t.route
+"""))
+def i1_refresh(spark, sf):
+    routed, _ = ledger_of(spark, sf, b.staged_transactions(spark, sf))
+    return routed.select("id", "route", F.array_sort("reasons").alias("reasons"))
+
+
+@query("i1_incremental_core", sql(f"SELECT {CORE_COLUMNS} FROM core"))
+def i1_core(spark, sf):
+    """Exact repeats across batches as well: core keeps the first."""
+    return ledger_of(spark, sf, b.staged_with_repeats(spark, sf))[1].select(*SHOWN)
+
+
 @query("i1_newer_than", """
 SELECT event_id, user_id FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'
 """)
@@ -147,12 +184,8 @@ FROM activity GROUP BY 1""")
 def _running(spark, sf, every):
     path = scratch(spark, "totals")
     source = op.running_totals(stream(spark, sf), "ts", F.col("amount"), F.col("status"), every)
-
-    def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(path)
-
-    op.drain(source, write, f"{path}-checkpoint", "complete")
-    return spark.read.parquet(path)
+    op.drain(source, op.upsert_into(path, "window_start"), f"{path}-checkpoint", "update")
+    return op.updated(spark, path, "window_start", source.schema)
 
 
 @query("i4_append_totals", _totals("day").replace("GROUP BY 1", """GROUP BY 1
@@ -186,6 +219,22 @@ def i5(spark, sf):
     ).select("o_custkey", "o_orderkey", "recency")
 
 
+@query("i5_latest_incremental", """
+SELECT o_custkey, o_orderkey, recency FROM (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS recency
+  FROM orders) r WHERE recency <= 50
+""")
+def i5_incremental(spark, sf):
+    """Four micro-batches in no order of time, so that many rows come late."""
+    path = scratch(spark, "latest")
+    rows = b.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    rows.repartition(4, F.col("o_orderkey") % 4).write.parquet(f"{path}-source")
+    source = op.stream_of(spark, f"{path}-source", rows.schema, files_per_batch=1)
+    names = ("o_custkey", "o_orderdate", "o_orderkey")
+    op.drain(source, op.keep_latest(path, *names), f"{path}-checkpoint")
+    return op.latest_kept(spark, path, rows.schema, *names).select("o_custkey", "o_orderkey", "recency")
+
+
 @query("i5_current_balance", sql("""
 SELECT source_account_id, CAST(balance_after AS DOUBLE) AS current_balance FROM (
   SELECT *, row_number() OVER (PARTITION BY source_account_id ORDER BY created_at DESC, id DESC) AS r FROM payments) p

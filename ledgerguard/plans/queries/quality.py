@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ...operators import checks, profile as profiles, rules
+from ...session import scratch
 from .. import bindings as b
 from ..oracle import sql, top_values
 from ..registry import query
@@ -58,20 +59,59 @@ def e1_approx(spark, sf):
     return rough.withColumn("near", near).drop("distinct_count", "_exact")
 
 
-@query("e1_profile_events", r"""
-WITH cells AS (
-  SELECT 'event_id' AS col, CAST(event_id AS VARCHAR) AS v FROM events
-  UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR) FROM events
-  UNION ALL SELECT 'event_type', event_type FROM events UNION ALL SELECT 'props', props FROM events)
+EVENT_CELLS = """
+SELECT 'event_id' AS col, CAST(event_id AS VARCHAR) AS v FROM events
+UNION ALL SELECT 'ts', strftime(ts, '%Y-%m-%d %H:%M:%S') FROM events
+UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR) FROM events
+UNION ALL SELECT 'event_type', event_type FROM events
+UNION ALL SELECT 'value', CAST(CAST(value AS DECIMAL(20,4)) AS VARCHAR) FROM events
+UNION ALL SELECT 'props', props FROM events"""
+
+
+def _events(spark, sf):
+    """All columns as text. Times and numbers are written in a fixed form, which both engines share."""
+    return b.table(spark, sf, "events").select(
+        F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+        F.col("user_id").cast("string"), "event_type", F.col("value").cast("decimal(20,4)").cast("string").alias("value"), "props")
+
+
+@query("e1_profile_events", f"""
+WITH cells AS ({EVENT_CELLS}), known AS (SELECT col, trim(COALESCE(v, '')) AS v FROM cells),
+ranked AS (SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY v) AS r FROM (SELECT DISTINCT col, v FROM known WHERE v <> ''))
 SELECT col AS column, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE v = '') AS empty_count,
-       COUNT(DISTINCT v) AS distinct_count, MIN(v) AS min, MAX(v) AS max,
-       CASE WHEN col IN ('event_id', 'user_id') THEN 'integer' ELSE 'string' END AS inferred_type
-FROM cells GROUP BY col
+       CAST(COUNT(*) FILTER (WHERE v = '') AS DOUBLE) * 100 / CAST(COUNT(*) AS DOUBLE) AS empty_pct,
+       COUNT(DISTINCT NULLIF(v, '')) AS distinct_count,
+       CASE WHEN col IN ('event_id', 'user_id') THEN 'integer' WHEN col = 'value' THEN 'float' WHEN col = 'ts' THEN 'date/datetime'
+            ELSE 'string' END AS inferred_type,
+       COALESCE(MIN(NULLIF(v, '')), '') AS min, COALESCE(MAX(NULLIF(v, '')), '') AS max,
+       (SELECT string_agg(x.v, '|' ORDER BY x.v) FROM ranked x WHERE x.col = known.col AND x.r <= 5) AS examples
+FROM known GROUP BY col
 """)
 def e1_events(spark, sf):
-    df = _text(b.table(spark, sf, "events").select("event_id", "user_id", "event_type", "props"))
-    return profiles.profile(df).select(
-        "column", "row_count", "empty_count", "distinct_count", "min", "max", "inferred_type")
+    return profiles.profile(_events(spark, sf))
+
+
+@query("e1_profile_merged", f"""
+WITH cells AS ({EVENT_CELLS}), known AS (SELECT col, trim(COALESCE(v, '')) AS v FROM cells)
+SELECT col AS column, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE v = '') AS empty_count,
+       CAST(COUNT(*) FILTER (WHERE v = '') AS DOUBLE) * 100 / CAST(COUNT(*) AS DOUBLE) AS empty_pct, TRUE AS near,
+       CASE WHEN col IN ('event_id', 'user_id') THEN 'integer' WHEN col = 'value' THEN 'float' WHEN col = 'ts' THEN 'date/datetime'
+            ELSE 'string' END AS inferred_type,
+       COALESCE(MIN(NULLIF(v, '')), '') AS min, COALESCE(MAX(NULLIF(v, '')), '') AS max
+FROM known GROUP BY col
+""")
+def e1_merged(spark, sf):
+    """Four parts are profiled one by one; the stored sketches make the profile of the whole.
+    Its distinct counts are compared with the exact ones, within four times their error."""
+    text, path = _events(spark, sf), scratch(spark, "profile")
+    for part in range(4):
+        rows = text.where(F.pmod(F.col("event_id").cast("bigint"), F.lit(4)) == part)
+        profiles.sketch(rows).write.parquet(f"{path}/part={part}")
+    merged = profiles.merged_profile(spark.read.parquet(path).drop("part"))
+    exact = profiles.profile(text).select("column", F.col("distinct_count").alias("_exact"))
+    rough = merged.join(exact, "column")
+    near = F.abs(F.col("distinct_count") - F.col("_exact")) <= 0.1 * F.col("_exact") + 1
+    return rough.withColumn("near", near).drop("distinct_count", "_exact")
 
 
 @query("e2_infer_types", sql(CELLS + f"SELECT col AS column, {TYPE} AS inferred_type FROM cells GROUP BY col"))

@@ -71,6 +71,12 @@ def v3(spark, sf):
     return op.core_failed_moves(core_rows(spark, sf))
 
 
+@query("v3_core_failed_moves_unrouted", sql(MOVED.format("payments")))
+def v3_unrouted(spark, sf):
+    """The same report over a core that was loaded without routing, where failed payments moved money."""
+    return op.core_failed_moves(core_op.core_transactions(b.staged_transactions(spark, sf)))
+
+
 @query("v4_non_positive_amounts", "SELECT COUNT(*) AS bad_rows FROM customer WHERE c_acctbal <= 0")
 def v4(spark, sf):
     return op.non_positive_amounts(b.table(spark, sf, "customer"), "c_acctbal")

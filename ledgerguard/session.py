@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,9 +59,8 @@ _roots: dict[str, str] = {}
 def _shared(spark: SparkSession) -> str:
     """The folder of this application's scratch tables, dropped when it ends.
 
-    It lies in the session's ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a temporary folder, one for the whole session; on a cluster that would be
-    a path the executors do not see, so it is refused.
+    It lies in the session's ``spark.checkpoint.dir``. A local session without that setting
+    uses a folder beside its warehouse; a cluster must name one that all executors share.
     """
     app = spark.sparkContext.applicationId
     if app not in _roots:
@@ -69,7 +68,7 @@ def _shared(spark: SparkSession) -> str:
         if not base:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            base = tempfile.mkdtemp(prefix="ledgerguard-")
+            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
         _roots[app] = f"{base.rstrip('/')}/ledgerguard/{app}"
         path = spark._jvm.org.apache.hadoop.fs.Path(_roots[app])
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -83,6 +82,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def passing(spark: SparkSession):
+    """Gives a ``written`` whose tables are dropped at the end of the block, for work that
+    is repeated as long as the application runs."""
+    paths = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame stored in the scratch folder and read back: a plan that several queries
     share runs once, and a lost executor costs a read instead of a recomputation."""

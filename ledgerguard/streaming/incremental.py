@@ -3,6 +3,10 @@
 Tables grow by one folder per micro-batch, ``batch_id=<n>``, written in overwrite mode: a
 batch that runs again after a lost driver or executor replaces its own output, so every
 row lands once. The streams' own checkpoints stand for the high-water mark.
+
+What a sink must know of the past lies in an index in hash buckets beside its table
+(``sources/buckets.py``): a batch reads and writes the buckets of its own keys, never
+history, and drops its intermediate tables when it ends.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ from pyspark.sql.window import Window
 from ..functions.clean import present
 from ..operators.anomalies import PAYLOAD, conflict_keys
 from ..operators.skew import flag, lookup_join
-from ..session import written
+from ..session import passing
+from ..sources.buckets import Buckets
 
 
 # -- the high-water mark -------------------------------------------------------------------
@@ -101,10 +106,26 @@ def horizon_start(batch: DataFrame, day: str | None, horizon_days: int | None):
     return batch.agg(F.date_sub(F.min(F.col(day).cast("date")), horizon_days)).first()[0]
 
 
-def keys_of(batch: DataFrame, key: str, name: str) -> DataFrame:
-    """The distinct keys of a batch, stored, so that Catalyst knows how few they are and
-    meets history with them instead of shuffling history."""
-    return written(batch.where(_keyed(key)).select(F.col(key).alias(name)).distinct(), "keys")
+INDEX = "_index"     # readers of the table's folder pass over it
+BUCKETS = 64
+
+
+def key_index(batch: DataFrame, path: str, key: str, *columns: str | None) -> Buckets:
+    """The index beside a table: its keys, with some more columns of the rows."""
+    kept = [key, *[c for c in columns if c and c != key]]
+    return Buckets(batch.sparkSession, f"{path}/{INDEX}", key, T.StructType([batch.schema[c] for c in kept]), BUCKETS)
+
+
+def _seen(index: Buckets, keys: DataFrame, batch_id: int, day: str | None, since) -> DataFrame:
+    """The keys among those of a batch that the index holds from a day on: DF[_seen]."""
+    found = index.find(keys, "_key", batch_id)
+    if since is not None:
+        found = found.where(F.col(day).cast("date") >= F.lit(since).cast("date"))
+    return found.select(F.col(index.key).alias("_seen")).distinct()
+
+
+def _batch_keys(batch: DataFrame, key: str) -> DataFrame:
+    return batch.where(_keyed(key)).select(F.col(key).alias("_key")).distinct()
 
 
 def _keyed(key: str) -> Column:
@@ -123,15 +144,16 @@ def first_of_batch(batch: DataFrame, key: str, order) -> DataFrame:
 
 def insert_new(path: str, key: str, order, day: str | None = None, horizon_days: int | None = None):
     """Sink: ON CONFLICT (key) DO NOTHING against earlier batches, within a horizon if one
-    is given. History is read for the batch's keys only, and with ``day`` and a horizon
-    only in the folders of those days. Rows without a key are always inserted."""
+    is given. Of the past only the index buckets of the batch's keys are read. Rows without
+    a key are always inserted."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        old = stored(spark, path, _schema(batch), batch_id, horizon_start(batch, day, horizon_days))
-        keys = keys_of(batch, key, "_key")
-        seen = old.select(F.col(key).alias("_seen")).join(keys, F.col("_seen") == F.col("_key"), "left_semi").distinct()
-        fresh = lookup_join(first_of_batch(batch, key, order), seen, key, "_seen", "left_anti")
-        write_batch(fresh, path, batch_id, day)
+        index = key_index(batch, path, key, day)
+        with passing(batch.sparkSession) as keep:
+            keys = keep(_batch_keys(batch, key), "keys")
+            seen = _seen(index, keys, batch_id, day, horizon_start(batch, day, horizon_days))
+            fresh = keep(lookup_join(first_of_batch(batch, key, order), seen, key, "_seen", "left_anti"), "fresh")
+            write_batch(fresh, path, batch_id, day)
+            index.append(fresh.where(_keyed(key)), batch_id)
     return write
 
 
@@ -157,23 +179,24 @@ def accept_or_reject(
     blank) repeat nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        old = stored(spark, accepted, _schema(batch), batch_id, horizon_start(batch, day, horizon_days))
-        keys = keys_of(batch, key, "_key")
-        seen = old.select(F.col(key).alias("_seen")).join(
-            keys, F.col("_seen") == F.col("_key"), "left_semi").distinct().withColumn("_old", F.lit(True))
-        broken = F.array_compact(F.array(*[F.when(flag(t), F.lit(n)) for n, t in tests.items()]))
-        position = F.struct(*order)
-        rows = lookup_join(batch.withColumn("_broken", broken), seen, key, "_seen")
-        good = (F.size("_broken") == 0) & F.col("_old").isNull()
-        firsts = rows.where(good & _keyed(key)).groupBy(F.col(key).alias("_key")).agg(F.min(position).alias("_first"))
-        judged = lookup_join(rows, firsts, key, "_key")
-        repeat = F.col("_old").isNotNull() | (good & flag(position != F.col("_first")))
-        judged = judged.withColumn("reasons", F.when(
-            repeat, F.array_append("_broken", F.lit("duplicate_key"))).otherwise(F.col("_broken")))
-        judged = written(judged.select(*batch.columns, "reasons"), "judged")
-        write_batch(judged.where(F.size("reasons") == 0).drop("reasons"), accepted, batch_id, day)
-        write_batch(judged.where(F.size("reasons") > 0), rejected, batch_id, day)
+        index = key_index(batch, accepted, key, day)
+        with passing(batch.sparkSession) as keep:
+            keys = keep(_batch_keys(batch, key), "keys")
+            seen = _seen(index, keys, batch_id, day, horizon_start(batch, day, horizon_days)).withColumn("_old", F.lit(True))
+            broken = F.array_compact(F.array(*[F.when(flag(t), F.lit(n)) for n, t in tests.items()]))
+            position = F.struct(*order)
+            rows = keep(lookup_join(batch.withColumn("_broken", broken), seen, key, "_seen"), "rows")
+            good = (F.size("_broken") == 0) & F.col("_old").isNull()
+            firsts = rows.where(good & _keyed(key)).groupBy(F.col(key).alias("_key")).agg(F.min(position).alias("_first"))
+            judged = lookup_join(rows, firsts, key, "_key")
+            repeat = F.col("_old").isNotNull() | (good & flag(position != F.col("_first")))
+            judged = judged.withColumn("reasons", F.when(
+                repeat, F.array_append("_broken", F.lit("duplicate_key"))).otherwise(F.col("_broken")))
+            judged = keep(judged.select(*batch.columns, "reasons"), "judged")
+            fine = judged.where(F.size("reasons") == 0).drop("reasons")
+            write_batch(fine, accepted, batch_id, day)
+            write_batch(judged.where(F.size("reasons") > 0), rejected, batch_id, day)
+            index.append(fine.where(_keyed(key)), batch_id)
     return write
 
 
@@ -187,17 +210,21 @@ def correct_conflicts(
 
     Every batch is kept in ``history``. A key of the batch that conflicts, within it or
     with history, retracts all its rows so far, also those accepted earlier; core is
-    history less retractions (``corrected``). History is read once a batch, for the rows
-    of the batch's keys.
+    history less retractions (``corrected``). The index holds key, id and payload; a batch
+    reads the buckets of its keys.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         write_batch(batch, history, batch_id, day)
-        rows = stored(spark, history, _schema(batch), batch_id + 1, horizon_start(batch, day, horizon_days))
-        touched = keys_of(batch, key, "_touched")
-        affected = written(lookup_join(rows, touched, key, "_touched", "left_semi"), "affected")
-        conflicts = conflict_keys(affected, key, payload)
-        write_batch(lookup_join(affected, conflicts, key, "conflict_key", "left_semi").select(id, key), retractions, batch_id)
+        index = key_index(batch, history, key, id, *payload, day)
+        index.append(batch.where(_keyed(key)), batch_id)
+        since = horizon_start(batch, day, horizon_days)
+        with passing(batch.sparkSession) as keep:
+            rows = index.find(keep(_batch_keys(batch, key), "keys"), "_key", batch_id + 1)
+            if since is not None:
+                rows = rows.where(F.col(day).cast("date") >= F.lit(since).cast("date"))
+            affected = keep(rows, "affected")
+            conflicts = conflict_keys(affected, key, payload)
+            write_batch(lookup_join(affected, conflicts, key, "conflict_key", "left_semi").select(id, key), retractions, batch_id)
     return write
 
 
@@ -253,6 +280,19 @@ def running_totals(
     )
 
 
+def upsert_into(path: str, key: str, buckets: int = 16) -> Callable[[DataFrame, int], None]:
+    """Sink for update mode: the rows that a batch changed take the place of those with their
+    keys, in the buckets of these keys only. The old state stays readable until the new one
+    is complete, and a batch that runs again leaves the same state. ``updated`` reads it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        Buckets(batch.sparkSession, path, key, batch.schema, buckets).upsert(batch, batch_id)
+    return write
+
+
+def updated(spark: SparkSession, path: str, key: str, schema: T.StructType, buckets: int = 16) -> DataFrame:
+    return Buckets(spark, path, key, schema, buckets).read()
+
+
 # -- serving table --------------------------------------------------------------------------------
 
 def latest_per_user(df: DataFrame, user: str, at: str, id: str, keep: int = 50) -> DataFrame:
@@ -261,6 +301,29 @@ def latest_per_user(df: DataFrame, user: str, at: str, id: str, keep: int = 50)
     return df.withColumn("recency", rank).where(F.col("recency") <= keep)
 
 
+def keep_latest(path: str, user: str, at: str, id: str, keep: int = 50, buckets: int = BUCKETS):
+    """Sink: the newest ``keep`` rows of every user over all batches. A batch merges its own
+    newest rows into the buckets of its users; late rows take their place by time, and other
+    buckets are not touched. ``latest_kept`` reads the table."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = Buckets(batch.sparkSession, path, user, batch.schema, buckets)
+        with passing(batch.sparkSession) as store:
+            new = store(latest_per_user(batch, user, at, id, keep).drop("recency"), "newest")
+            touched = table.of_keys(new)
+            merged = latest_per_user(table.read(touched, batch_id).unionByName(new), user, at, id, keep)
+            table.replace(merged.drop("recency"), touched, batch_id)
+    return write
+
+
+def latest_kept(
+    spark: SparkSession, path: str, schema: T.StructType, user: str, at: str, id: str, of: DataFrame | None = None,
+    keep: int = 50, buckets: int = BUCKETS,
+) -> DataFrame:
+    """The kept rows with their recency; of some users only, if a frame names them."""
+    table = Buckets(spark, path, user, schema, buckets)
+    return latest_per_user(table.read() if of is None else table.find(of), user, at, id, keep)
+
+
 def current_balance(df: DataFrame, user: str, at: str, balance: str, id: str) -> DataFrame:
     """Closing balance of the newest row per user, by aggregation alone."""
     return df.groupBy(user).agg(F.max_by(balance, F.struct(at, id)).alias("current_balance"))

@@ -68,11 +68,49 @@ def test_no_job_while_the_plan_is_built(spark, sides):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_tally_shuffles_no_row_ids(spark):
-    """Counting and the group limit come before the exchanges."""
-    hits = spark.range(1000).select(F.lit("r").alias("rule"), F.col("id").cast("string").alias("s"))
-    plan = skew.tally(hits, ["rule"], "s")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "partial_count" in plan
+def sent(spark, df):
+    """Rows that each exchange of a plan wrote, after running it without adaptive planning."""
+    def walk(node, out):
+        if node.nodeName() == "Exchange":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i), out)
+        return out
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan(), [])
+
+
+@pytest.mark.parametrize("value", ["shared", "own", "few"])
+def test_tally_sends_a_bounded_state(spark, value):
+    """Whether all hits share one sample, each has its own, or there are a few."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sample = {"shared": F.lit("n/a"), "own": F.lpad(F.col("id").cast("string"), 7, "0"),
+                  "few": (F.col("id") % 7).cast("string")}[value]
+        hits = spark.range(0, 400_000, 1, 4).select(F.lit("r").alias("rule"), sample.alias("s"))
+        df = skew.tally(hits, ["rule"], "s")
+        most = {"shared": 4, "own": 4 * skew.SAMPLE_BUCKETS, "few": 4 * 7}[value]
+        assert max(sent(spark, df)) <= most
+        row = df.first()
+        assert row["count"] == 400_000
+        assert row["samples"] == {"shared": ["n/a"], "own": [f"{i:07d}" for i in range(10)],
+                                  "few": [str(i) for i in range(7)]}[value]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_tally_is_exact(spark):
+    """Against a plain computation, with weights, nulls and several groups."""
+    rows = [(f"r{i % 3}", None if i % 11 == 0 else f"{i * 7919 % 501:03d}", i % 4) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "rule string, s string, n bigint")
+    got = {r["rule"]: r for r in skew.tally(df, ["rule"], "s", "n").collect()}
+    for rule in ("r0", "r1", "r2"):
+        mine = [(s, n) for r, s, n in rows if r == rule]
+        assert got[rule]["count"] == sum(n for _, n in mine)
+        assert got[rule]["samples"] == sorted({s for s, _ in mine if s is not None})[:10]
 
 
 def test_partitions_grow_with_the_input(spark):
@@ -105,13 +143,33 @@ def test_conflicts_under_a_hot_key(spark, large):
     assert len(group) == 1 and group[0]["duplicate_count"] == 3_000 and group[0]["distinct_amount"] == 5
 
 
-def test_gaps_across_pieces(spark):
-    """Few keys over many pieces: gaps lie inside pieces and between them."""
-    missing = {5, 6, 1_000, 2_500, 2_501, 2_502, 7_999}
+def test_gaps_across_blocks(spark):
+    """One key with most rows: gaps lie inside blocks and between them."""
+    missing = {5, 6, 1_000, 1_023, 1_024, 2_500, 2_501, 2_502, 7_999}
     rows = spark.range(10_000).where(~F.col("id").isin(*missing)).select(F.lit("a").alias("k"), F.col("id").alias("seq"))
-    rows = rows.unionByName(spark.createDataFrame([("b", 1), ("b", 9), ("b", 9)], "k string, seq bigint"))
+    rows = rows.unionByName(spark.createDataFrame([("b", 1), ("b", 9), ("b", 9), (None, 4), (None, 6), ("c", None)], "k string, seq bigint"))
+    gaps = sorted((tuple(r) for r in rules.sequence_gaps(rows, "k", "seq").collect()), key=str)
+    assert gaps == sorted([("a", 4, 7, 2), ("a", 999, 1001, 1), ("a", 1022, 1025, 2), ("a", 2499, 2503, 3), ("a", 7998, 8000, 1),
+                           ("b", 1, 9, 7), (None, 4, 6, 1)], key=str)
+
+
+def test_gaps_of_numbers_far_apart(spark):
+    numbers = [-(2**62), -1_025, -1, 0, 3, 63, 64, 1 << 20, (1 << 30) + 5, 1 << 47, (1 << 61) + 1, (1 << 61) + 2]
+    rows = spark.createDataFrame([("k", n) for n in numbers], "k string, seq bigint")
     gaps = sorted(tuple(r) for r in rules.sequence_gaps(rows, "k", "seq").collect())
-    assert gaps == [("a", 4, 7, 2), ("a", 999, 1001, 1), ("a", 2499, 2503, 3), ("a", 7998, 8000, 1), ("b", 1, 9, 7)]
+    assert gaps == [("k", a, b, b - a - 1) for a, b in zip(numbers, numbers[1:]) if b - a > 1]
+
+
+def test_gaps_send_few_rows(spark):
+    """A million numbers that follow one another are a thousand bitmaps a task."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(0, 1_000_000, 1, 4).where("id % 100000 <> 77").select(F.lit("k").alias("k"), F.col("id").alias("seq"))
+        df = rules.sequence_gaps(rows, "k", "seq")
+        assert max(sent(spark, df)) <= 4 * 1_000 and df.count() == 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
 
 
 def test_first_seen_depends_on_the_given_order(frame):
