@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -82,3 +82,13 @@ def maybe_member(df: DataFrame, bitmap: DataFrame, *columns: str) -> DataFrame:
         .withColumn("_maybe", F.coalesce(bit, F.lit(False)))
         .drop("_at", "_bits", "_bucket_")
     )
+
+
+def quota(counts: Sequence[int], most: int) -> float:
+    """Rows that each group may have at most, so that all together have ``most``."""
+    left = most
+    for i, n in enumerate(ordered := sorted(counts)):
+        if n * (len(ordered) - i) >= left:
+            return left / (len(ordered) - i)
+        left -= n
+    return float(max(counts))

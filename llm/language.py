@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import urls
 from .chars import ngrams
-from .common import arrow_batches, stored
+from .common import arrow_batches, quota, stored
 from .tokens import pieces
 from .toxicity import held_out
 
@@ -67,16 +67,6 @@ class Likelihoods:
         return (total - total.max(axis=1, keepdims=True)) * scale[:, None] if len(self.languages) else total
 
 
-def _quota(counts: Sequence[int], most: int) -> float:
-    """Rows that each language may have at most, so that all together have ``most``."""
-    left = most
-    for i, n in enumerate(ordered := sorted(counts)):
-        if n * (len(ordered) - i) >= left:
-            return left / (len(ordered) - i)
-        left -= n
-    return float(max(counts))
-
-
 def likelihoods(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Likelihoods:
     """n-gram likelihoods of each language from rows (doc_id, text, lang) outside the
     held-out fold; about ``train_rows`` of them at most, chosen by a hash of the id. Every
@@ -88,8 +78,8 @@ def likelihoods(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Likelihood
     names = sorted(r["lang"] for r in count)
     if not names:
         return Likelihoods([], np.zeros((1 << BITS, 0), np.float32))
-    quota = _quota([r["count"] for r in count], train_rows)
-    shares = F.create_map(*[F.lit(x) for r in count for x in (r["lang"], int(min(1.0, quota / r["count"]) * (1 << 30)))])
+    most = quota([r["count"] for r in count], train_rows)
+    shares = F.create_map(*[F.lit(x) for r in count for x in (r["lang"], int(min(1.0, most / r["count"]) * (1 << 30)))])
     part = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < shares[F.col("lang")])
     sample = part.select("text", "lang").repartition(SPREAD, F.xxhash64("text"))
 

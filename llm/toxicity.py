@@ -11,19 +11,19 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .chars import ngrams
-from .common import arrow_batches, maybe_member, member_bitmap, partitions, same_names, stored
+from .common import arrow_batches, maybe_member, member_bitmap, partitions, quota, same_names, stored
 from .tokens import pieces
 
 SIZES = (3, 4, 5)        # characters of an n-gram
 BITS = 22                # n-grams are hashed to 2**BITS features
-TRAIN_ROWS = 20_000      # most labelled texts that the model is fitted on
-MOST_FEATURES = 50_000   # features that are kept, the surest first; their numbers fit in 16 bits
-ROWS_AT_ONCE = 1_000     # texts that a gradient is summed over at a time
-LEAST_TEXTS = 4          # texts that must have a feature
+TRAIN_ROWS = 20_000      # labelled texts that the model is fitted on, about, at most
+TRAIN_CHARS = 64 << 20   # and how much text they have, about, at most
 SHARDS = 64              # pieces of the count vectors
 PIECE = 1 << 20          # text whose n-grams are held at once; some 40 times as many bytes
 SPREAD = 16              # partitions of the training texts, whose number is bounded
-STEPS, RIDGE = 100, 1.0
+STEPS, HISTORY, RIDGE = 100, 5, 1.0
+SMOOTH = 1.0             # texts that every feature is taken to have besides, dealt over the labels as all texts are
+
 
 def held_out(id: Column) -> Column:
     """Is the row kept from training? One in five, by the id's checksum."""
@@ -82,20 +82,37 @@ def _merge(key, table):
 
 
 def _ratios(texts: tuple[int, int]):
-    """Of one shard: the log-count ratio and its distance from zero in standard errors, for
-    features that enough texts have."""
+    """Of one shard: the log-count ratio of every feature; zero where no text has it."""
     def run(key, table):
         total = _total(table)
-        clean, toxic = total + 0.5
-        ratio = np.log(toxic / (texts[1] + 1)) - np.log(clean / (texts[0] + 1))
-        z = np.abs(ratio) / np.sqrt(1 / toxic + 1 / clean)
-        keep = np.flatnonzero(total.sum(axis=0) >= LEAST_TEXTS)
-        base = key[0].as_py() * ((1 << BITS) // SHARDS)
-        return pa.table({"feature": pa.array(base + keep, pa.int64()), "ratio": pa.array(ratio[keep], pa.float64()),
-                         "z": pa.array(z[keep], pa.float64())})
+        clean, toxic = (total[y] + SMOOTH * texts[y] / sum(texts) for y in (0, 1))
+        ratio = np.log(toxic / texts[1]) - np.log(clean / texts[0])
+        ratio[total.sum(axis=0) == 0] = 0
+        return pa.table({"shard": key[0:1], "ratio": pa.array([ratio.astype("<f4").tobytes()], pa.binary())})
     return run
 
 
+_MORE = 0xFFFF  # a gap of at least this much, and more to come
+
+
+def _gaps(columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sorted column numbers of some texts as 16-bit gaps; ``counts`` says how many each has."""
+    gap = np.diff(columns, prepend=0)
+    starts = (np.cumsum(counts) - counts)[counts > 0]
+    gap[starts] = columns[starts]
+    more, rest = np.divmod(gap, _MORE)
+    out = np.full(len(gap) + int(more.sum()), _MORE, "<u2")
+    out[np.cumsum(more + 1) - 1] = rest
+    return out
+
+
+def _columns(gaps: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    reach = np.cumsum(gaps, dtype=np.int64)[gaps != _MORE]
+    starts = np.cumsum(counts) - counts
+    before = np.where(starts > 0, reach[np.maximum(starts, 1) - 1], 0) if len(reach) else starts
+    return reach - np.repeat(before, counts)
+
+
 @dataclass
 class Model:
     """``weight`` of each ``feature`` times its log-count ratio, and a constant."""
@@ -115,19 +132,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-def _logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by limited-memory quasi-Newton steps. ``rows`` has the
-    features of each text; their values are the ratios, made some texts at a time, so that
-    the driver holds two bytes per feature and text."""
+Part = tuple[np.ndarray, np.ndarray, np.ndarray]  # labels, counts and gaps of some texts
+
+
+def _logistic(parts: list[Part], ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by limited-memory quasi-Newton steps. The values of a text's
+    features are the ratios; their columns are unpacked some texts at a time, so that the
+    driver holds some two bytes per feature and text."""
     k = len(ratio)
-    parts = [slice(i, i + ROWS_AT_ONCE) for i in range(0, len(rows), ROWS_AT_ONCE)]
 
     def loss(x):
         total, slope, scaled = 0.0, np.append(RIDGE * x[:k], 0.0), ratio * x[:k]
-        for part in parts:
-            y = label[part]
-            column = np.concatenate(rows[part]).astype(np.int64)
-            doc = np.repeat(np.arange(len(y)), [len(r) for r in rows[part]])
+        for y, counts, gaps in parts:
+            column = _columns(gaps, counts)
+            doc = np.repeat(np.arange(len(y)), counts)
             z = x[k] + np.bincount(doc, weights=scaled[column], minlength=len(y))
             gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
             slope[:k] += ratio * np.bincount(column, weights=gap[doc], minlength=k)
@@ -135,9 +153,9 @@ def _logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray) -> t
             total += np.sum(np.logaddexp(0, z) - y * z)
         return total + RIDGE / 2 * x[:k] @ x[:k], slope
 
-    n = len(label)
+    n, toxic = sum(len(y) for y, _, _ in parts), sum(float(y.sum()) for y, _, _ in parts)
     x = np.zeros(k + 1)
-    x[k] = np.log((label.sum() + 0.5) / (n - label.sum() + 0.5))
+    x[k] = np.log((toxic + 0.5) / (n - toxic + 0.5))
     at, slope = loss(x)
     past: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(STEPS):
@@ -162,7 +180,7 @@ def _logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray) -> t
         else:
             break
         if (new - slope) @ (step * way) > 0:
-            past = [*past[-9:], (step * way, new - slope)]
+            past = [*past[-(HISTORY - 1):], (step * way, new - slope)]
         x, slope = x + step * way, new
         if at - there < 1e-6 * max(1.0, there):
             break
@@ -170,16 +188,18 @@ def _logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray) -> t
     return x[:k], float(x[k])
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """Count on all labelled texts outside the held-out fold, fit on at most ``train_rows``
-    of them, chosen by a hash of their id.
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_chars: int = TRAIN_CHARS) -> Model:
+    """Count on all labelled texts outside the held-out fold, fit on about ``train_rows`` of
+    them with about ``train_chars`` characters at most, chosen by a hash of their id; both
+    labels have the same quota of each, so a rare one keeps all its texts.
 
-    Log-count ratios of all features that at least LEAST_TEXTS texts have are counted in
-    Spark; if there are more than MOST_FEATURES, those whose ratios are most standard errors
-    from zero are kept. No feature goes because it is rare among few texts: the ridge on
-    ratios weighs it. The driver gets the kept features and, per text of the fit, which of
-    them it has. With labels of one class only, or none, every score is that class's share
-    (0.5 without labels).
+    The log-count ratio of every feature that a labelled text has is counted in Spark, one
+    text or more; the ridge on ratios weighs rare ones. Features are hashed to 2**BITS. The
+    driver gets the ratios (4 bytes each) and which features the texts of the fit have
+    (some 2 bytes each); a feature that none of them has would get no weight. With labels of
+    one class only, or none, every score is that class's share (0.5 without labels). Null
+    labels and ids, and labels without a document, count nothing; of several labels of an id
+    the largest counts; repeated documents count each. Long texts are read whole.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -187,8 +207,10 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     known = stored(labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
                    .groupBy(F.col("doc_id").alias("_id")).agg(F.max((F.col("toxic").cast("int") != 0).cast("int")).alias("label")), "labels")
     own = F.col("doc_id") == F.col("_id")
-    seen = {r["label"]: r["count"] for r in docs.select("doc_id").join(known, own).groupBy("label").count().collect()}
-    n = (seen.get(0, 0), seen.get(1, 0))
+    sizes = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("_size"))
+    seen = {r["label"]: r for r in sizes.join(known, own).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_size").alias("chars")).collect()}
+    n = tuple(seen[y]["n"] if y in seen else 0 for y in (0, 1))
     if not all(n):
         share = 0.5 if not sum(n) else (0.0 if n[0] else 1.0)
         return Model(np.zeros(0, np.int64), np.zeros(0), {0.0: -20.0, 0.5: 0.0, 1.0: 20.0}[share])
@@ -198,39 +220,53 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     groups = math.isqrt(partitions(spark)) + 1
     counts = counts.groupBy("shard", F.pmod(F.spark_partition_id(), F.lit(groups)).alias("part")).applyInArrow(
         _merge, "shard long, counts binary")
-    kept = counts.groupBy("shard").applyInArrow(_ratios(n), "feature long, ratio double, z double").orderBy(
-        F.desc("z"), "feature").limit(MOST_FEATURES).toArrow()
-    # Bounded by train_rows, so small enough to broadcast.
-    sample = stored(known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows), "sample")
-    fitted = docs.join(F.broadcast(sample), own).select("text", "label").repartition(
+    dense = np.zeros((SHARDS, (1 << BITS) // SHARDS), np.float32)
+    for r in counts.groupBy("shard").applyInArrow(_ratios(n), "shard long, ratio binary").collect():
+        dense[r["shard"]] = np.frombuffer(r["ratio"], "<f4")
+
+    chars = [max(seen[y]["chars"], 1) for y in (0, 1)]
+    most_rows, most_chars = quota(n, train_rows), quota(chars, train_chars)
+    shares = [min(1.0, most_rows / n[y], most_chars / chars[y]) for y in (0, 1)]
+    share = F.when(F.col("label") == 1, shares[1]).otherwise(shares[0])
+    sample = stored(known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) <= share * (1 << 30)), "sample")
+    kept = maybe_member(docs, member_bitmap(sample.select(F.col("_id").alias("doc_id")), "doc_id"), "doc_id").where("_maybe")
+    fitted = kept.join(sample, own).select("text", "label").repartition(
         SPREAD, F.xxhash64("text"), F.monotonically_increasing_id())
-    feature, ratio = kept.column("feature").to_numpy(), kept.column("ratio").to_numpy()
-    order = np.argsort(feature)
-    feature, ratio = feature[order], ratio[order]
-    sent = spark.sparkContext.broadcast(feature)
 
     def rows(batches):
-        wanted = np.zeros(1 << BITS, dtype=bool)
-        wanted[sent.value] = True
+        wanted = np.ones(1 << BITS, dtype=bool)
         for batch in pieces(batches, most=PIECE):
             doc, found = present(batch.column("text").to_pylist(), wanted)
-            column = np.searchsorted(sent.value, found)
-            ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            counts = np.bincount(doc, minlength=batch.num_rows)
             yield pa.RecordBatch.from_pydict({
-                "label": batch.column("label").cast(pa.int64()),
-                "columns": pa.array([column[a:b].astype("<u2").tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())})
-
-    got = fitted.mapInArrow(rows, "label long, columns binary").toArrow()
-    texts_with = [np.frombuffer(c, "<u2") for c in got.column("columns").to_pylist()]
-    label = got.column("label").to_numpy().astype(float)
+                "labels": pa.array([batch.column("label").cast(pa.int8()).to_numpy(zero_copy_only=False).tobytes()], pa.binary()),
+                "counts": pa.array([counts.astype("<u4").tobytes()], pa.binary()),
+                "gaps": pa.array([_gaps(found, counts).tobytes()], pa.binary())})
+
+    got = fitted.mapInArrow(rows, "labels binary, counts binary, gaps binary").toArrow()
+    parts, there = [], np.zeros(1 << BITS, dtype=bool)
+    for labels_, counts_, gaps_ in zip(*(got.column(c) for c in ("labels", "counts", "gaps"))):
+        part = (np.frombuffer(labels_.as_py(), np.int8).astype(float), np.frombuffer(counts_.as_py(), "<u4").astype(np.int64),
+                np.frombuffer(gaps_.as_py(), "<u2"))
+        there[_columns(*part[:0:-1])] = True
+        parts.append(part)
     del got
-    w, b = _logistic(texts_with, ratio, label)
-    return Model(feature, (w * ratio).astype(np.float32), b)
+    place = np.cumsum(there) - 1
+    parts = [(y, counts, _gaps(place[_columns(gaps, counts)], counts)) for y, counts, gaps in parts]
+    feature = np.flatnonzero(there)
+    ratio = dense.reshape(-1)[feature].astype(float)
+    w, b = _logistic(parts, ratio)
+    weight = np.zeros(1 << BITS, np.float32)
+    weight[feature] = w * ratio
+    counted = np.flatnonzero(dense.reshape(-1))
+    return Model(counted, weight[counted], b)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted. Whole texts are read;
-    a null or empty text has no n-grams of letters and scores the constant."""
+    """One row per row of ``docs``: doc_id, held_out, score, predicted. Whole texts are read,
+    however long; a null or empty text has no n-grams of letters and scores the constant.
+    Repeated rows are scored each, a null id stays null, an empty table gives no rows, and
+    other columns are left out."""
     spark = docs.sparkSession
     arrow_batches(spark)
     sent = spark.sparkContext.broadcast(model)
