@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import UPPER, stored
+from .common import UPPER, quota, stored
 
 TRAIN_ROWS = 50_000  # most labelled URLs that the trees are fitted on
 TREES, DEPTH = 12, 4
@@ -91,7 +91,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id: str = "pa
     counted over all labelled URLs, smoothed). The trees judge the rest: ``block`` if their
     probability ``score`` (null for ruled URLs) is 0.5 or more.
 
-    At most about ``train_rows`` labelled URLs, chosen by a hash of the URL, fit the trees.
+    At most about ``train_rows`` labelled URLs, chosen by a hash of the URL, fit the trees;
+    both classes have the same quota, so a rare one keeps all its URLs.
     With labels of one class only, the rest gets that class; without labels, ``allow``.
     A null URL, or one without ``://``, has empty host and path, so no rule fits it; the
     trees judge it by what features remain. Repeated rows are judged each. Very long URLs
@@ -126,13 +127,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id: str = "pa
     )
     inputs = [*features, "suffix_count", "suffix_blocked"]
     vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(stored(full, "urls"))
-    part = F.pmod("_hash", F.lit(1_000_000)) < int(1_000_000 * min(1.0, train_rows / n)) + 1
+    most = quota([n - blocked, blocked], train_rows)
+    share = F.when(F.col("_said") == "block", min(1.0, most / blocked)).otherwise(min(1.0, most / (n - blocked)))
+    part = F.pmod("_hash", F.lit(1 << 30)) <= share * (1 << 30)
     sample = vectors.where(F.col("_said").isNotNull() & part).select(
         "features", (F.col("_said") == "block").cast("double").alias("label"))
-    seen = {r["label"] for r in sample.select("label").distinct().collect()}
-    if len(seen) < 2:  # a tiny table may have lost a class to the sample
-        sample = vectors.where("_said is not null").select(
-            "features", (F.col("_said") == "block").cast("double").alias("label"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(sample)
     scored = trees.transform(vectors.drop("label"))
     p = vector_to_array(F.col("probability"))[1]
