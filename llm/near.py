@@ -257,12 +257,42 @@ def near_groups(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
        star and not all its pairs, and no pair that could link two components is left out.
 
     Null and blank texts have no shingles: n_shingles 0, linked with nothing. Fewer words
-    than ``size`` make one shingle. Repeated rows and equal ids fall in one class. A null
-    id is linked with nothing.
+    than ``size`` make one shingle. Repeated rows and equal ids fall in one class, also if
+    their texts differ: an id is linked with whatever one of its texts is linked with. A null
+    id is linked with nothing. Very long texts are read whole; an empty table gives no rows.
     """
     docs = same_names(docs, ("doc_id", "text"))
     arrow_batches(docs.sparkSession)
-    signed = stored(docs.mapInArrow(_sign(size), "doc_id long, n long, same binary, signature binary"), "signed")
+    signed = _signed(docs, size)
+    several = signed.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.xxhash64("same")).alias("_lo"), F.max(F.xxhash64("same")).alias("_hi")).where("_lo < _hi")
+    if several.isEmpty():
+        return _groups(docs, signed, size, share)
+    rows = numbered(docs, "near")
+    by_row = rows.select(F.col(ROW).alias("doc_id"), "text")
+    found = stored(_groups(by_row, _signed(by_row, size), size, share).join(
+        rows.select(F.col(ROW).alias("_row"), F.col("doc_id").alias("_doc")), F.col("doc_id") == F.col("_row")), "by-row")
+    ids = found.where("n_shingles > 0 and _doc is not null").select("_doc", "component_id")
+    spread = ids.groupBy("_doc").agg(F.min("component_id").alias("_lo"), F.max("component_id").alias("_hi")).where("_lo < _hi")
+    over = components(ids.join(spread.select(F.col("_doc").alias("_of"), "_lo"), F.col("_doc") == F.col("_of")).select(
+        F.col("component_id").alias("a"), F.col("_lo").alias("b")).distinct())
+    least = ids.join(over, F.col("component_id") == F.col("node"), "left").select(
+        "_doc", "component_id", F.coalesce("label", "component_id").alias("_group"))
+    names = least.groupBy("_group").agg(F.min("_doc").alias("_least"))
+    named = stored(least.select("component_id", "_group").distinct().join(names, "_group").select(
+        F.col("component_id").alias("_component"), "_least"), "names")
+    own = F.when(F.col("n_shingles") > 0, F.col("_least"))
+    found = found.join(named, F.col("component_id") == F.col("_component"), "left").select(
+        F.col("_doc").alias("doc_id"), "n_shingles", F.when(F.col("_doc").isNotNull(), F.coalesce(own, "_doc")).alias("component_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _signed(docs: DataFrame, size: int) -> DataFrame:
+    return stored(docs.mapInArrow(_sign(size), "doc_id long, n long, same binary, signature binary"), "signed")
+
+
+def _groups(docs: DataFrame, signed: DataFrame, size: int, share: int) -> DataFrame:
+    """The rows of ``near_groups`` where each id has one set of shingles."""
     classes = stored(signed.where("n > 0 and doc_id is not null").groupBy("n", "same").agg(
         F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature")), "classes")
 
@@ -301,7 +331,9 @@ def drop_near(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest
     doc_id (nulls last; of equal ids any one). All their columns as they were."""
     rows = numbered(docs, "near")
-    named = near_groups(rows.select(F.col(ROW).alias("doc_id"), "text"), size, share).where("n_shingles > 0")
+    arrow_batches(docs.sparkSession)
+    by_row = rows.select(F.col(ROW).alias("doc_id"), "text")
+    named = _groups(by_row, _signed(by_row, size), size, share).where("n_shingles > 0")
     ids = rows.select(F.col(ROW).alias("_row"), F.col("doc_id").alias("_doc"))
     members = stored(named.select("doc_id", "component_id").join(ids, F.col("doc_id") == F.col("_row")).select(
         "_row", "component_id", F.struct(F.col("_doc").isNull(), "_doc", "_row").alias("_rank")), "members")
