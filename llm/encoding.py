@@ -48,7 +48,8 @@ class Encoder:
     encoded word by word and a worker remembers the words it has met. ``spaced``: the
     space belongs to the word behind it (a case-sensitive byte-level vocabulary); else it
     is dropped and words are lower-cased. Plain words go straight to the tokenizer's model,
-    all else through the whole tokenizer; the ids are those of encoding the text at once.
+    all else through the whole tokenizer; the ids are those of encoding the text at once. A
+    text that holds the string of an added token, which may stand anywhere, is encoded at once.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -56,7 +57,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.lead = " " if spaced else ""
         self.model = self.tokenizer.model
         self.known = _Known(self._unit)    # of words as they stand between spaces
@@ -97,6 +98,9 @@ class Encoder:
         self.marks[""] = self.marks[None] = b""
         get, out = self.known.__getitem__, []
         for text in texts:
+            if text and any(s in text for s in self.special):
+                out.append(self._whole(text))
+                continue
             first, *rest = self._split(text or "")
             out.append(self._whole(first) + b"".join(map(get, rest)))
         return out

@@ -176,7 +176,6 @@ def test_language_model_sums_to_one():
 def test_packing(docs, odd, byte_bpe):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(byte_bpe)
-    plain.encode_special_tokens = True
     ids = defaultdict(list)
     for i, t in pairs(odd):
         ids[i].append(np.array([*plain.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes())
@@ -215,7 +214,6 @@ def test_encoder_is_the_tokenizer(request, name, spaced):
     from tokenizers import Tokenizer
     path = request.getfixturevalue(name)
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     rng = random.Random(4)
     parts = ["a", "B", " ", "  ", "\n", "\t", "'", "s", "'s", "\u00a0", "\u00e9", "\u0301", "1", "!", "\u3000", "<|endoftext|>",
              "\u0130", "\x1c", "\x85", "\u00df", ".", ",", "|", "$$$", " Wort", " mot.\nEt"]
@@ -227,7 +225,6 @@ def test_encoder_is_the_tokenizer(request, name, spaced):
 def test_token_files(spark, docs, odd, word_bpe):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(word_bpe)
-    plain.encode_special_tokens = True
     manifest = token_files.write_tokens(docs, word_bpe, frame_bytes=2_000)
     got = token_files.read_tokens(manifest, ids=True).orderBy("start").collect()
     order = [-1 if r["doc_id"] is None else r["doc_id"] for r in got]
