@@ -45,8 +45,9 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", digest
         "doc_id", F.monotonically_increasing_id().alias("_row"), "_maybe",
         (full if digest else F.when(F.col("_maybe"), full)).alias("text_sha256")), "exact")
 
-    groups = hashed.where("_maybe").groupBy(F.col("text_sha256").alias("_sha")).agg(
-        F.max(F.struct("doc_id", "_row")).alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # Stored, so that the join below has a shuffle of its own, of which Spark splits a hot digest.
+    groups = stored(hashed.where("_maybe").groupBy(F.col("text_sha256").alias("_sha")).agg(
+        F.max(F.struct("doc_id", "_row")).alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "groups")
     # A row outside any group joins on nothing; its own digest, or row number, spreads it.
     key = F.when(F.col("_maybe"), F.col("text_sha256")).otherwise(F.col("_row").cast("string"))
     return (
