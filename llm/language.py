@@ -81,7 +81,7 @@ def likelihoods(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Likelihood
     most = quota([r["count"] for r in count], train_rows)
     shares = F.create_map(*[F.lit(x) for r in count for x in (r["lang"], int(min(1.0, most / r["count"]) * (1 << 30)))])
     part = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < shares[F.col("lang")])
-    sample = part.select("text", "lang").repartition(SPREAD, F.xxhash64("text"))
+    sample = part.select("text", "lang").repartition(SPREAD, F.xxhash64("text"), F.monotonically_increasing_id())
 
     def add(batches):
         total = {}
