@@ -180,7 +180,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, spa
     folder = folder or scratch(spark, "token-files")
     size = input_bytes(docs)
     n = partitions(spark) if size >= UNKNOWN else max(partitions(spark), -(-size // FILE_BYTES))
-    ranged = same_names(docs, ("doc_id", "text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    bare = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))  # rows without an id are dealt by text
+    ranged = same_names(docs, ("doc_id", "text")).repartitionByRange(n, "doc_id", bare).sortWithinPartitions("doc_id")
     return stored(ranged.mapInArrow(_write(folder, tokenizer, spaced, end, frame_bytes), _MANIFEST), "manifest")
 
 
