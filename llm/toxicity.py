@@ -17,7 +17,7 @@ from .tokens import pieces
 SIZES = (3, 4, 5)        # characters of an n-gram
 BITS = 22                # n-grams are hashed to 2**BITS features
 TRAIN_ROWS = 20_000      # labelled texts that the model is fitted on, about, at most
-TRAIN_CHARS = 64 << 20   # and how much text they have, about, at most
+TRAIN_CHARS = 16 << 20   # and how much text they have, about, at most
 SHARDS = 64              # pieces of the count vectors
 PIECE = 1 << 20          # text whose n-grams are held at once; some 40 times as many bytes
 SPREAD = 16              # partitions of the training texts, whose number is bounded
@@ -132,19 +132,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-Part = tuple[np.ndarray, np.ndarray, np.ndarray]  # labels, counts and gaps of some texts
+Part = tuple[np.ndarray, np.ndarray, np.ndarray]  # labels, counts and columns of some texts
 
 
 def _logistic(parts: list[Part], ratio: np.ndarray) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by limited-memory quasi-Newton steps. The values of a text's
-    features are the ratios; their columns are unpacked some texts at a time, so that the
-    driver holds some two bytes per feature and text."""
+    features are the ratios, so the driver holds four bytes per feature and text."""
     k = len(ratio)
 
     def loss(x):
         total, slope, scaled = 0.0, np.append(RIDGE * x[:k], 0.0), ratio * x[:k]
-        for y, counts, gaps in parts:
-            column = _columns(gaps, counts)
+        for y, counts, column in parts:
             doc = np.repeat(np.arange(len(y)), counts)
             z = x[k] + np.bincount(doc, weights=scaled[column], minlength=len(y))
             gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
@@ -182,7 +180,7 @@ def _logistic(parts: list[Part], ratio: np.ndarray) -> tuple[np.ndarray, float]:
         if (new - slope) @ (step * way) > 0:
             past = [*past[-(HISTORY - 1):], (step * way, new - slope)]
         x, slope = x + step * way, new
-        if at - there < 1e-6 * max(1.0, there):
+        if at - there < 1e-5 * max(1.0, there):
             break
         at = there
     return x[:k], float(x[k])
@@ -195,8 +193,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
 
     The log-count ratio of every feature that a labelled text has is counted in Spark, one
     text or more; the ridge on ratios weighs rare ones. Features are hashed to 2**BITS. The
-    driver gets the ratios (4 bytes each) and which features the texts of the fit have
-    (some 2 bytes each); a feature that none of them has would get no weight. With labels of
+    driver gets the ratios and which features the texts of the fit have (4 bytes each, some
+    80 MB); a feature that none of them has would get no weight. With labels of
     one class only, or none, every score is that class's share (0.5 without labels). Null
     labels and ids, and labels without a document, count nothing; of several labels of an id
     the largest counts; repeated documents count each. Long texts are read whole.
@@ -251,8 +249,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
         there[_columns(*part[:0:-1])] = True
         parts.append(part)
     del got
-    place = np.cumsum(there) - 1
-    parts = [(y, counts, _gaps(place[_columns(gaps, counts)], counts)) for y, counts, gaps in parts]
+    place = (np.cumsum(there) - 1).astype(np.int32)
+    parts = [(y, counts, place[_columns(gaps, counts)]) for y, counts, gaps in parts]
     feature = np.flatnonzero(there)
     ratio = dense.reshape(-1)[feature].astype(float)
     w, b = _logistic(parts, ratio)
