@@ -21,7 +21,7 @@ TRAIN_CHARS = 16 << 20   # and how much text they have, about, at most
 SHARDS = 64              # pieces of the count vectors
 PIECE = 1 << 20          # text whose n-grams are held at once; some 40 times as many bytes
 SPREAD = 16              # partitions of the training texts, whose number is bounded
-STEPS, HISTORY, RIDGE = 100, 5, 1.0
+STEPS, HISTORY, RIDGE = 60, 5, 1.0
 SMOOTH = 1.0             # texts that every feature is taken to have besides, dealt over the labels as all texts are
 
 
@@ -214,7 +214,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
         return Model(np.zeros(0, np.int64), np.zeros(0), {0.0: -20.0, 0.5: 0.0, 1.0: 20.0}[share])
     # The bitmap keeps most texts without a label out of a shuffle.
     texts = maybe_member(docs, member_bitmap(known.select(F.col("_id").alias("doc_id")), "doc_id"), "doc_id").where("_maybe")
-    counts = texts.join(known, own).select("text", "label").mapInArrow(_count, "shard long, counts binary")
+    # One kind of join at every size, so that what is moved grows with the input.
+    counts = texts.join(known.hint("merge"), own).select("text", "label").mapInArrow(_count, "shard long, counts binary")
     groups = math.isqrt(partitions(spark)) + 1
     counts = counts.groupBy("shard", F.pmod(F.spark_partition_id(), F.lit(groups)).alias("part")).applyInArrow(
         _merge, "shard long, counts binary")
