@@ -152,6 +152,67 @@ def with_holds(
     )
 
 
+def _ref(column: str, parent: str) -> Column:
+    """How a reference names its parent: accounts by their text, the others by their number,
+    or by their digits if that is too large a number to be an id."""
+    if parent == "account":
+        return empty_to_null(column)
+    return F.when(F.col(column).rlike(DIGITS), F.coalesce(numeric_id(column).cast("string"), F.col(column)))
+
+
+REFERENCES = (("src", "source_account_id", "account"), ("dst", "destination_account_id", "account"),
+              ("merchant", "merchant_id", "merchant"), ("agency", "agency_id", "agency"))
+
+
+def orphans(
+    tx: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame, agencies: DataFrame,
+) -> DataFrame:
+    """The references that do not resolve, each once: DF[parent, ref, staged].
+
+    Every row names four parents; tasks make the names distinct before they are sent, so a
+    parent that a third of the rows name is one row per task, and each name meets its parent
+    once. ``staged`` says that an account is staged, though not in core. Stored, the few
+    orphans tell Spark their size, and the rows meet them without being shuffled
+    (``with_orphans``)."""
+    names = F.array(*[F.struct(F.lit(p).alias("parent"), _ref(c, p).alias("ref")) for _, c, p in REFERENCES])
+    named = tx.select(F.explode(names).alias("_n")).select("_n.parent", "_n.ref").where(F.col("ref").isNotNull()).distinct()
+    known = known_accounts(accounts, core_accounts).select(
+        F.lit("account").alias("parent"), F.col("key").alias("ref"), F.lit(True).alias("staged"), F.col("core").alias("core"))
+    for parent, rows in (("merchant", merchants), ("agency", agencies)):
+        known = known.unionByName(known_ids(rows).select(
+            F.lit(parent).alias("parent"), F.col("key").cast("string").alias("ref"), F.lit(True).alias("staged"), F.lit(True).alias("core")))
+    found = named.join(known, ["parent", "ref"], "left")
+    numeric = (F.col("parent") != "account") | F.coalesce(F.col("ref").rlike(DIGITS), F.lit(False))
+    lost = F.col("staged").isNull() | (numeric & F.col("core").isNull())
+    return found.where(lost).select("parent", "ref", F.coalesce("staged", F.lit(False)).alias("staged"))
+
+
+def with_orphans(rows: DataFrame, lost: DataFrame) -> DataFrame:
+    """The booleans of ``with_holds`` from the stored orphans."""
+    df = rows
+    for name, column, parent in REFERENCES:
+        side = lost.where(F.col("parent") == parent).select(
+            F.col("ref").alias(f"{name}_key"), F.col("staged").alias(f"{name}_staged"))
+        df = lookup_join(df.withColumn(f"{name}_ref", _ref(column, parent)), side, f"{name}_ref", f"{name}_key", "left").drop(f"{name}_ref")
+
+    def unknown(name: str) -> Column:
+        return F.coalesce(~F.col(f"{name}_staged"), F.lit(False))
+
+    def dangles(name: str, column: str) -> Column:
+        return F.col(f"{name}_key").isNotNull() & F.coalesce(F.col(column).rlike(DIGITS), F.lit(False))
+
+    return df.select(
+        *rows.columns,
+        (blank("source_account_id") | unknown("src")).alias("missing_source_account"),
+        (blank("destination_account_id") | unknown("dst")).alias("missing_destination_account"),
+        missing_merchant_test().alias("missing_merchant"),
+        (
+            dangles("src", "source_account_id") | dangles("dst", "destination_account_id")
+            | dangles("merchant", "merchant_id") | dangles("agency", "agency_id")
+        ).alias("missing_core_reference"),
+    )
+
+
 STAGED_REASONS = ("missing_source_account", "missing_destination_account", "missing_merchant")
 
 
@@ -183,15 +244,12 @@ def quarantine(
         hits.select(*tx.columns, "_reason"), F.col("_reason"), F.element_at(texts, F.col("_reason")), "reject")
 
 
-def quarantine_of(
-    rows: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame, agencies: DataFrame
-) -> DataFrame:
-    """The same issue rows for transactions that were routed to quarantine; ``reasons``
-    says whether a transaction is held for a staged reason already."""
-    sides = (known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies))
+def quarantine_of(rows: DataFrame, lost: DataFrame) -> DataFrame:
+    """The same issue rows for transactions that were routed to quarantine, from the orphans;
+    ``reasons`` says whether a transaction is held for a staged reason already."""
     source = [c for c in rows.columns if c not in ("route", "reasons", "source_position")]
     staged = F.arrays_overlap("reasons", F.array(*[F.lit(r) for r in STAGED_REASONS]))
-    flagged = with_holds(rows.withColumn("_staged", staged), *sides)
+    flagged = with_orphans(rows.withColumn("_staged", staged), lost)
     tests = [(r, F.col(r) if r in STAGED_REASONS else F.col(r) & ~F.col("_staged")) for r in QUARANTINE]
     hits = explode_hits(flagged, tests, "_reason")
     texts = F.create_map(*[F.lit(x) for kv in QUARANTINE.items() for x in kv])

@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from ..schemas import ANOMALIES, CONFLICT, QUARANTINE
 from .anomalies import anomaly_tests, conflict_keys
-from .quarantine import STAGED_REASONS, known_accounts, known_ids, with_holds
+from .quarantine import STAGED_REASONS, known_accounts, known_ids, with_holds, with_orphans
 from .skew import flag, lookup_join
 
 NEEDED = (
@@ -36,20 +36,24 @@ def _codes(codes) -> Column:
 
 def decisions(
     tx: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame,
-    agencies: DataFrame, text_compare: bool = False, conflicts: DataFrame | None = None,
+    agencies: DataFrame, text_compare: bool = False, conflicts: DataFrame | None = None, lost: DataFrame | None = None,
 ) -> DataFrame:
     """Transactions that do not reach core: DF[decided_id, anomalies, quarantine].
 
     Works on the eleven columns that rules read. Row flags come from row predicates, the
     conflicting keys and one lookup per parent. They travel as one small bit set and
     collapse per id, because an id that is anomalous in one row is so in all of them.
-    ``conflicts`` are the conflicting keys, if they are known.
+    ``conflicts`` are the conflicting keys and ``lost`` the orphans, if they are known; the
+    rows then meet those few instead of all parents.
     """
     narrow = tx.select(*NEEDED)
     flagged = lookup_join(
         narrow, conflict_keys(narrow) if conflicts is None else conflicts, "idempotency_key", "conflict_key", "left")
-    flagged = with_holds(
-        flagged, known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies))
+    if lost is None:
+        flagged = with_holds(
+            flagged, known_accounts(accounts, core_accounts), known_ids(merchants), known_ids(agencies))
+    else:
+        flagged = with_orphans(flagged, lost)
 
     tests = {code: flag(test) for code, test in anomaly_tests(text_compare).items()}
     tests[CONFLICT] = F.col("conflict_key").isNotNull()

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.clean import clean_cast, empty_to_null, present
 from ..operators import core, routing
@@ -75,23 +75,22 @@ def _needs(rows: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """The routed ledger under ``root``. ``columns`` are those of the staged transactions."""
+    """The routed ledger under ``root``; ``staged`` is the schema of the staged transactions."""
 
-    def __init__(self, spark: SparkSession, root: str, columns, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, staged: T.StructType, buckets: int = 64):
         self.spark, root = spark, root.rstrip("/")
-        self.columns = list(columns)
-        staged = ", ".join(f"`{c}` string" for c in self.columns if c != "source_position")
-        if "source_position" in self.columns:
-            staged += ", source_position bigint"
+        self.columns = staged.names
+        text, texts = T.StringType(), T.ArrayType(T.StringType())
+        rows = T.StructType([*staged.fields, T.StructField("route", text), T.StructField("reasons", texts)])
+        routed = T.StructType([T.StructField("home", text), *rows.fields])
+        typed = T.StructType([
+            T.StructField("own_key", text), *core.core_from_route(spark.createDataFrame([], rows)).schema.fields])
         payload = ", ".join(f"{c} string" for c in PAYLOAD)
-        routed = f"home string, {staged}, route string, reasons array<string>"
-        typed = core.core_from_route(spark.createDataFrame([], routed).drop("home")).schema
-        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed.fields)
         self.routed = Buckets(spark, f"{root}/routed", "home", routed, buckets)
         self.parents = Buckets(spark, f"{root}/parents", "parent", "parent string", buckets)
         self.keys = Buckets(spark, f"{root}/keys", "idempotency_key", f"idempotency_key string, home string, {payload}", buckets)
         self.waiting = Buckets(spark, f"{root}/waiting", "parent", "parent string, home string", buckets)
-        self.core = Buckets(spark, f"{root}/core", "own_key", f"own_key string, {names}", buckets)
+        self.core = Buckets(spark, f"{root}/core", "own_key", typed, buckets)
 
     def tables(self) -> tuple[DataFrame, DataFrame]:
         """All routed rows with their route and reasons, and core, as of the last whole batch."""

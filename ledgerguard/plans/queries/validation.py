@@ -9,7 +9,7 @@ from ...operators import validation as op
 from ...session import written
 from .. import bindings as b
 from ..oracle import sql
-from ..registry import query
+from ..registry import ORACLE, query
 from .quarantine import anomaly_tables, routed
 from .reporting import MOVED
 
@@ -74,7 +74,7 @@ def v3(spark, sf):
 @query("v3_core_failed_moves_unrouted", sql(MOVED.format("payments")))
 def v3_unrouted(spark, sf):
     """The same report over a core that was loaded without routing, where failed payments moved money."""
-    return op.core_failed_moves(core_op.core_transactions(b.staged_transactions(spark, sf)))
+    return op.core_failed_moves(core_op.core_transactions(b.staged_transactions(spark, sf), drop_repeats=False))
 
 
 @query("v4_non_positive_amounts", "SELECT COUNT(*) AS bad_rows FROM customer WHERE c_acctbal <= 0")
@@ -244,6 +244,15 @@ SELECT (SELECT COUNT(*) FROM ledger) - (SELECT COUNT(*) FROM (SELECT id FROM ano
         UNION SELECT id FROM holds)) AS expected_core_ready, (SELECT COUNT(*) FROM core) AS actual_core_ready
 """))
 def v16(spark, sf):
+    """From the routed rows, which are stored once and read for their few columns."""
+    rows = written(routed(spark, sf), "routed")
+    out = rows.where(F.col("route") != "CORE").select(F.col("id").alias(op.ID))
+    return op.conservation(rows, core_op.core_from_route(rows), out)
+
+
+@query("v16_conservation_of_issues", ORACLE["v16_conservation"])
+def v16_issues(spark, sf):
+    """The same balance from the three issue tables."""
     issues = issue_tables(spark, sf)
     return op.conservation(b.staged_transactions(spark, sf), stored_core(spark, sf, *issues), *issues)
 

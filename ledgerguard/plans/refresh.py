@@ -50,8 +50,9 @@ def refresh(
 ) -> DataFrame:
     """Rebuild every layer behind staging; gives the row counts of all tables.
 
-    The transactions are read three times: for the conflicting keys, for the narrow
-    decision of every id, and for the wide rows, which are stored with their route. The
+    The transactions are read four times: for the conflicting keys, for the references that
+    resolve nowhere, for the narrow decision of every id, which meets only those two, and for
+    the wide rows, which are stored with their route. The
     issue tables and core are written from that table, each from its own part. All tables
     become visible together when the run ends; a failed run changes nothing.
 
@@ -85,8 +86,9 @@ def _refresh(spark, store, staged, lookup_rows, text_compare, strict, drop_repea
         core.assert_count(lookups[table], lookup_rows[table], f"reference.{table}")
 
     dims = (staged["accounts"], accounts, merchants, agencies)
+    lost = store.replace(quarantine.orphans(tx, *dims), "routing", "orphans")
     decided = store.replace(
-        routing.decisions(tx, *dims, text_compare, conflicting), "routing", "decisions")
+        routing.decisions(tx, *dims, text_compare, conflicting, lost), "routing", "decisions")
     routed = store.replace(
         routing.route(tx, *dims, text_compare, decided), "routing", "transactions", partition_by=["route"])
     part = {r: routed.where(F.col("route") == r).drop("route") for r in ("ANOMALY", "QUARANTINE", "CORE")}
@@ -106,7 +108,7 @@ def _refresh(spark, store, staged, lookup_rows, text_compare, strict, drop_repea
         lambda: store.replace(
             anomalies.idempotency_conflicts(suspects, conflicting), "anomalies", "idempotency_conflicts"),
         lambda: store.replace(
-            quarantine.quarantine_of(part["QUARANTINE"], *dims), "quarantine", "quarantine_transactions"),
+            quarantine.quarantine_of(part["QUARANTINE"], lost), "quarantine", "quarantine_transactions"),
         catalogue,
         lambda: store.replace(
             by_quarter(rows, "transaction_date"), "core", "transactions", partition_by=[QUARTER]),

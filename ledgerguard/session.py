@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,8 +91,7 @@ def passing(spark: SparkSession):
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         paths.append(scratch(spark, name))
-        df.write.parquet(paths[-1])
-        return spark.read.parquet(paths[-1])
+        return kept_at(df, paths[-1])
 
     try:
         yield keep
@@ -104,6 +104,11 @@ def passing(spark: SparkSession):
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame stored in the scratch folder and read back: a plan that several queries
     share runs once, and a lost executor costs a read instead of a recomputation."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return kept_at(df, scratch(df.sparkSession, name))
+
+
+def kept_at(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The frame stored at a new path and read back. Its schema is known, so no job looks
+    for it in the files."""
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

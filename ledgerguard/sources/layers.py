@@ -10,6 +10,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import kept_at
+
 
 class LayerStore:
     """Tables as ``root/layer/table/v=<n>`` Parquet folders on any Hadoop file system.
@@ -97,13 +99,13 @@ class LayerStore:
         Outside a run it is committed by itself."""
         version = max(self.versions(layer, table), default=0) + 1
         target = self.path(layer, table, version)
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
+        stored = kept_at(df, target, partition_by)
         with self._lock:
             if self._pending is None:
                 self._commit({f"{layer}.{table}": version})
             else:
                 self._pending[f"{layer}.{table}"] = version
-        return self.spark.read.parquet(target)
+        return stored
 
     def drop_old(self, keep: int = 2) -> None:
         """Delete versions that none of the ``keep`` newest runs names, and older manifests.

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerguard.operators import core, routing
+from ledgerguard.operators import core, quarantine, routing
 from ledgerguard.plans.changes import Arrivals, Ledger
 from ledgerguard.sources.buckets import FANOUT, KEPT, Buckets
 from ledgerguard.streaming import incremental as inc
@@ -44,15 +44,14 @@ def shown(df, *names):
     return sorted((tuple(r[n] for n in names) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_the_full_refresh(spark, tmp_path, seed):
+def test_equals_the_full_refresh(spark, tmp_path, seed=1):
     """Faults, conflicts, repeats, equal ids and late parents in random batches; the third
     batch runs twice."""
     rng = random.Random(seed)
     rows = [transaction(rng, rng.randrange(60), n) for n in range(120)]
     staged, typed = [str(i) for i in range(9)] + ["007", "abc"], [0, 1, 2, 3, 7]
     merchants, agencies = [0, 1, 2], [1, 2]
-    ledger = Ledger(spark, str(tmp_path / "ledger"), COLUMNS, buckets=4)
+    ledger = Ledger(spark, str(tmp_path / "ledger"), frame(spark, rows).schema, buckets=4)
     parts = [rows[:50], rows[50:80], rows[80:119], [], rows[119:]]
     for n, part in enumerate(parts):
         arrivals = Arrivals(
@@ -73,13 +72,27 @@ def test_equals_the_full_refresh(spark, tmp_path, seed):
         core.core_from_route(full), "id", "reference", "amount", "idempotency_key")
 
 
+def test_orphans_decide_as_the_parents_do(spark):
+    """The decisions from the references that resolve nowhere are those from all parents."""
+    rng = random.Random(8)
+    rows = [transaction(rng, n, n) for n in range(300)]
+    for n, column in enumerate(("source_account_id", "destination_account_id", "merchant_id", "agency_id") * 3):
+        rows[n * 5][column] = ("9" * 25, "0", "007")[n % 3]
+    dims = (ids(spark, [str(i) for i in range(9)] + ["007", "abc", "9" * 25], "string"), ids(spark, [0, 1, 2, 3, 7]),
+            ids(spark, [0, 1, 2]), ids(spark, [1, 2]))
+    tx = frame(spark, rows)
+    lost = quarantine.orphans(tx, *dims)
+    shape = lambda df: {r["decided_id"]: (r["anomalies"], r["quarantine"]) for r in df.collect()}
+    assert shape(routing.decisions(tx, *dims, lost=lost)) == shape(routing.decisions(tx, *dims))
+
+
 def test_a_batch_opens_its_own_buckets(spark, tmp_path):
     """A row releases the one that waited for its account; other buckets keep their files."""
     rng = random.Random(3)
     good = {**transaction(rng, 1, 0), "idempotency_key": None, "amount": "5.00", "status": "SUCCESS", "transaction_type": "TRF",
             "merchant_id": "", "agency_id": "", "balance_after": "5.00", "source_account_id": "1", "destination_account_id": "1"}
     rows = [{**good, "id": str(i), "source_position": i, "source_account_id": "2" if i == 5 else "1"} for i in range(200)]
-    ledger = Ledger(spark, str(tmp_path / "l"), COLUMNS, buckets=32)
+    ledger = Ledger(spark, str(tmp_path / "l"), frame(spark, rows).schema, buckets=32)
     ledger.apply(Arrivals(frame(spark, rows), ids(spark, ["1"], "string"), ids(spark, [1])), 0)
     before = ledger.routed.manifest()
     changed = ledger.apply(Arrivals(accounts=ids(spark, ["2"], "string"), core_accounts=ids(spark, [2])), 1)
@@ -139,14 +152,14 @@ def test_upsert_replaces_keys_and_keeps_the_old_state_readable(spark, tmp_path):
 
 
 def test_streams_leave_no_scratch_and_read_few_files(spark, tmp_path):
-    """A sink after twenty batches: no intermediate tables, and a bounded index."""
+    """A sink after eight batches: no intermediate tables, and a bounded index."""
     from ledgerguard.session import _shared
     path = str(tmp_path / "t")
     write = inc.insert_new(path, "k", ["v"])
     fs, root = Buckets(spark, _shared(spark), "k", "k string")._path()
     tables = lambda: len(fs.listStatus(root))
     before, schema = tables(), "k string, v bigint"
-    for n in range(20):
+    for n in range(8):
         write(spark.createDataFrame([(f"k{n % 7}", n), (None, n)], schema), n)
     assert tables() == before
     assert sorted(r["v"] for r in inc.stored(spark, path, spark.createDataFrame([], schema).schema).where(
