@@ -19,21 +19,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .blocks import (answers_by_block, blocks, bucket_bounds, bucket_count, decode, rows, squeeze, squeeze_sorted,
                      unsqueeze, unsqueeze_sorted)
-from .common import stored
+from .common import partitions, stored
 from .tokens import mix, words
 
 OWN = 48            # commonest words, each a class of its own
 ENDINGS = 79        # commonest word endings, each a class; all other words are one more
 CLASSES = OWN + ENDINGS + 1
-CONTEXT = 4_096     # commonest words that are features by themselves; others by their ending
-ROW_BITS = 13       # features are hashed to 2**ROW_BITS rows of CLASSES weights
+CONTEXT = 4_096     # commonest words that are features by themselves, at least; others by their ending
+ROW_BITS = 13       # features are hashed to 2**ROW_BITS rows of CLASSES weights, at least
+# Both follow the counted vocabulary up to a size that a task can hold (128 MB of weights).
+WORDS_A_CONTEXT, MOST_CONTEXT = 512, 1 << 16
+WORDS_A_ROW, MOST_ROW_BITS = 256, 18
 ROUNDS = 2          # the training text is dealt over so many rounds of distributed updates
 RATE = 0.5          # length of a first step
 BATCH = 8_192       # contexts that are handled at once
 SHARDS = 16         # pieces of the weights when they are averaged
 
 END = np.uint64(0x5BD1E995F00DCAFE)  # stands for the hash of a text's end
-_START = CONTEXT + (1 << 16)         # context before the first word
+_START = MOST_CONTEXT + (1 << 16)    # context before the first word
 
 
 def held_out(id: Column) -> Column:
@@ -116,7 +119,7 @@ class Sums:
     def __add__(self, other: Sums) -> Sums:
         word, count, ending = (np.concatenate(x) for x in (
             (self.word, other.word), (self.count, other.count), (self.ending, other.ending)))
-        most = np.lexsort((word, -count))[:CONTEXT]
+        most = np.lexsort((word, -count))[:MOST_CONTEXT]  # words are dealt by hash, so no bucket has them all
         return Sums(self.table + other.table, word[most], count[most], ending[most])
 
     def pack(self) -> bytes:
@@ -180,7 +183,7 @@ class Model:
     def contexts(self, t: Tokens):
         """Distinct contexts (previous, one before) as rows of features, and the number of
         each token's context."""
-        kind = CONTEXT + t.ending
+        kind = MOST_CONTEXT + t.ending
         if len(self.common):
             at = np.minimum(np.searchsorted(self.common, t.hash), len(self.common) - 1)
             kind = np.where(self.common[at] == t.hash, at, kind)
@@ -189,7 +192,7 @@ class Model:
         two[2:] = np.where(t.doc[2:] == t.doc[:-2], kind[:-2], _START)
         pair, place = np.unique(one << 20 | two, return_inverse=True)
         one, two = (pair >> 20).astype(np.uint64), (pair & 0xFFFFF).astype(np.uint64)
-        down = np.uint64(64 - ROW_BITS)
+        down = np.uint64(64 - (len(self.weights).bit_length() - 1))
         features = np.stack([
             mix(one << np.uint64(2) | np.uint64(1)) >> down, mix(two << np.uint64(2) | np.uint64(2)) >> down,
             mix(pair.astype(np.uint64) << np.uint64(2) | np.uint64(3)) >> down], axis=1).astype(np.int64)
@@ -274,42 +277,73 @@ def _start(sums: DataFrame, buckets: int) -> Model:
     types += np.bincount(class_of, weights=table[1], minlength=CLASSES).astype(np.int64)
     by_hash = np.argsort(word[:m])
     bias = np.log((total + 0.5) / (n + 0.5 * CLASSES)).astype(np.float32)
+    bits = min(MOST_ROW_BITS, max(ROW_BITS, (v // WORDS_A_ROW).bit_length()))
+    common = np.sort(word[:min(MOST_CONTEXT, max(CONTEXT, v // WORDS_A_CONTEXT))])
     return Model(n, v, word[:m][by_hash], by_hash, class_of, total, types,
                  min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5,
-                 np.sort(word), np.zeros((1 << ROW_BITS, CLASSES), np.float32), bias)
+                 common, np.zeros((1 << bits, CLASSES), np.float32), bias)
+
+
+def _pack_rows(weight: np.ndarray, sums: np.ndarray, kind: str) -> tuple[bytes, bytes]:
+    """The rows with a weight: the weights of all rows, and the sums of those rows."""
+    there = weight > 0
+    return (zstandard.compress(weight.astype("<f4").tobytes(), 1),
+            zstandard.compress(np.ascontiguousarray(sums[there]).astype(kind).tobytes(), 1))
+
+
+def _add_rows(table: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and weighted sums of the rows of a shard, over some tasks."""
+    weight = sums = None
+    for r in table.to_batches():
+        for w, data in zip(r.column("weight"), r.column("sums")):
+            w = np.frombuffer(zstandard.decompress(w.as_py()), "<f4")
+            if sums is None:
+                weight, sums = np.zeros(len(w)), np.zeros((len(w), CLASSES))
+            part = np.frombuffer(zstandard.decompress(data.as_py()), kind).reshape(-1, CLASSES)
+            # A task's own changes come as they are and get its weight here; sums are weighted already.
+            sums[w > 0] += part * w[w > 0, None] if kind == "<f2" else part
+            weight += w
+    return weight, sums
 
 
 def _round(packed: DataFrame, model: Model, k: int) -> np.ndarray:
     """One round of distributed updates: tasks take gradient steps on their blocks from the
-    same weights, and their weights are averaged, weighted by how many blocks they saw."""
-    sent = packed.sparkSession.sparkContext.broadcast(model)
+    same weights. Each row's changes are averaged over the tasks that touched it, weighted
+    by how many blocks those saw, in two steps, so that no group grows with their number."""
+    spark = packed.sparkSession
+    sent, size = spark.sparkContext.broadcast(model), len(model.weights)
 
     def run(batches):
-        own, seen, n = None, np.zeros(1 << ROW_BITS, np.float32), 0
+        own, seen, n = None, np.zeros(size, np.float32), 0
         for (data,) in rows(batches, ("data",)):
             if own is None:
                 own = Model(**{**sent.value.__dict__, "weights": sent.value.weights.copy()})
             own.learn(tokens(decode(data)), seen)
             n += 1
         if own is not None:
-            change = (own.weights - sent.value.weights).reshape(SHARDS, -1)
+            change = (own.weights - sent.value.weights).reshape(SHARDS, -1, CLASSES)
+            weight = np.where(seen > 0, n, 0).reshape(SHARDS, -1)
             for s in range(SHARDS):
+                w, data = _pack_rows(weight[s], change[s], "<f2")
                 yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([s], pa.int64()), "n": pa.array([n], pa.int64()),
-                    "change": pa.array([zstandard.compress(change[s].astype(np.float16).tobytes(), 1)], pa.binary())})
+                    "shard": pa.array([s], pa.int64()), "weight": pa.array([w], pa.binary()), "sums": pa.array([data], pa.binary())})
+
+    def merge(key, table):
+        w, data = _pack_rows(*_add_rows(table, "<f2"), "<f4")
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "weight": pa.array([w], pa.binary()),
+                         "sums": pa.array([data], pa.binary())})
 
     def average(key, table):
-        size = (1 << ROW_BITS) * CLASSES // SHARDS
-        sums, n = np.zeros(size, np.float64), 0
-        for r in table.to_batches():
-            for m, data in zip(r.column("n").to_pylist(), r.column("change").to_pylist()):
-                sums += m * np.frombuffer(zstandard.decompress(data), np.float16)
-                n += m
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "change": pa.array([(sums / n).astype("<f4").tobytes()], pa.binary())})
+        weight, sums = _add_rows(table, "<f4")
+        change = sums / np.maximum(weight, 1)[:, None]
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "change": pa.array([change.astype("<f4").tobytes()], pa.binary())})
 
     part = packed.where(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == k).select("data")
-    got = part.mapInArrow(run, "shard long, n long, change binary").groupBy("shard").applyInArrow(
-        average, "shard long, change binary").toArrow()
+    groups = math.isqrt(partitions(spark)) + 1
+    kinds = "shard long, weight binary, sums binary"
+    merged = part.mapInArrow(run, kinds).groupBy("shard", F.pmod(F.spark_partition_id(), F.lit(groups)).alias("part")).applyInArrow(
+        merge, kinds)
+    got = merged.groupBy("shard").applyInArrow(average, "shard long, change binary").toArrow()
     out = model.weights.reshape(SHARDS, -1).copy()
     for s, data in zip(got.column("shard").to_pylist(), got.column("change").to_pylist()):
         out[s] += np.frombuffer(data, "<f4")
@@ -353,8 +387,12 @@ def score(docs: DataFrame) -> DataFrame:
     one place. Weights are trained on every training document, in ROUNDS rounds over
     disjoint parts; what a task returns is the change of the weights, of fixed size.
 
-    Null and blank texts are an end alone. Rows with equal ids are separate texts. A null
-    id counts as a training document. Without training documents every known count is 0,
+    The context model follows the counted vocabulary: a feature row per WORDS_A_ROW words
+    and a word feature per WORDS_A_CONTEXT, within bounds that let a task hold the weights.
+
+    Null and blank texts are an end alone. Rows with equal ids, also repeated ones, are
+    separate texts; texts are read whole, however long; other columns are left out and an
+    empty table gives no rows. A null id counts as a training document. Without training documents every known count is 0,
     base_score is 0 and so is score.
     """
     packed = blocks(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")))
