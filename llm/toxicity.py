@@ -20,6 +20,7 @@ TRAIN_ROWS = 20_000      # labelled texts that the model is fitted on, about, at
 TRAIN_CHARS = 16 << 20   # and how much text they have, about, at most
 SHARDS = 64              # pieces of the count vectors
 PIECE = 1 << 20          # text whose n-grams are held at once; some 40 times as many bytes
+FIT_PIECE = 1 << 18      # and in the fit, where the driver unpacks a piece at a time
 SPREAD = 16              # partitions of the training texts, whose number is bounded
 STEPS, HISTORY, RIDGE = 60, 5, 1.0
 SMOOTH = 1.0             # texts that every feature is taken to have besides, dealt over the labels as all texts are
@@ -107,10 +108,13 @@ def _gaps(columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _columns(gaps: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    reach = np.cumsum(gaps, dtype=np.int64)[gaps != _MORE]
+    reach = np.cumsum(gaps, dtype=np.uint32)  # may wrap; the differences do not, as columns are far below 2**32
+    more = gaps == _MORE
+    if more.any():
+        reach = reach[~more]
     starts = np.cumsum(counts) - counts
     before = np.where(starts > 0, reach[np.maximum(starts, 1) - 1], 0) if len(reach) else starts
-    return reach - np.repeat(before, counts)
+    return reach - np.repeat(before.astype(np.uint32), counts)
 
 
 @dataclass
@@ -132,17 +136,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-Part = tuple[np.ndarray, np.ndarray, np.ndarray]  # labels, counts and columns of some texts
+Part = tuple[np.ndarray, np.ndarray, np.ndarray]  # labels, counts and columns (as gaps) of some texts
 
 
 def _logistic(parts: list[Part], ratio: np.ndarray) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by limited-memory quasi-Newton steps. The values of a text's
-    features are the ratios, so the driver holds four bytes per feature and text."""
+    features are the ratios, so the driver holds two bytes per feature and text, and the
+    columns of one part at a time."""
     k = len(ratio)
 
     def loss(x):
         total, slope, scaled = 0.0, np.append(RIDGE * x[:k], 0.0), ratio * x[:k]
-        for y, counts, column in parts:
+        for y, counts, gaps in parts:
+            column = _columns(gaps, counts)
             doc = np.repeat(np.arange(len(y)), counts)
             z = x[k] + np.bincount(doc, weights=scaled[column], minlength=len(y))
             gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
@@ -193,8 +199,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
 
     The log-count ratio of every feature that a labelled text has is counted in Spark, one
     text or more; the ridge on ratios weighs rare ones. Features are hashed to 2**BITS. The
-    driver gets the ratios and which features the texts of the fit have (4 bytes each, some
-    80 MB); a feature that none of them has would get no weight. With labels of
+    driver gets the ratios and which features the texts of the fit have (2 bytes each, some
+    60 MB, from a stored table and a partition at a time); a feature that none of them has would get no weight. With labels of
     one class only, or none, every score is that class's share (0.5 without labels). Null
     labels and ids, and labels without a document, count nothing; of several labels of an id
     the largest counts; repeated documents count each. Long texts are read whole.
@@ -234,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
 
     def rows(batches):
         wanted = np.ones(1 << BITS, dtype=bool)
-        for batch in pieces(batches, most=PIECE):
+        for batch in pieces(batches, most=FIT_PIECE):
             doc, found = present(batch.column("text").to_pylist(), wanted)
             counts = np.bincount(doc, minlength=batch.num_rows)
             yield pa.RecordBatch.from_pydict({
@@ -242,16 +248,17 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
                 "counts": pa.array([counts.astype("<u4").tobytes()], pa.binary()),
                 "gaps": pa.array([_gaps(found, counts).tobytes()], pa.binary())})
 
-    got = fitted.mapInArrow(rows, "labels binary, counts binary, gaps binary").toArrow()
+    packed = stored(fitted.mapInArrow(rows, "labels binary, counts binary, gaps binary"), "fit")
     parts, there = [], np.zeros(1 << BITS, dtype=bool)
-    for labels_, counts_, gaps_ in zip(*(got.column(c) for c in ("labels", "counts", "gaps"))):
-        part = (np.frombuffer(labels_.as_py(), np.int8).astype(float), np.frombuffer(counts_.as_py(), "<u4").astype(np.int64),
-                np.frombuffer(gaps_.as_py(), "<u2"))
+    for r in packed.toLocalIterator():
+        part = (np.frombuffer(r["labels"], np.int8).astype(float), np.frombuffer(r["counts"], "<u4").astype(np.int64),
+                np.frombuffer(r["gaps"], "<u2"))
         there[_columns(*part[:0:-1])] = True
         parts.append(part)
-    del got
-    place = (np.cumsum(there) - 1).astype(np.int32)
-    parts = [(y, counts, place[_columns(gaps, counts)]) for y, counts, gaps in parts]
+    place = (np.cumsum(there, dtype=np.int32) - 1).astype(np.int32)
+    for i, (y, counts, gaps) in enumerate(parts):  # one at a time, so that no part is held twice
+        parts[i] = y, counts, _gaps(place[_columns(gaps, counts)], counts)
+    del place
     feature = np.flatnonzero(there)
     ratio = dense.reshape(-1)[feature].astype(float)
     w, b = _logistic(parts, ratio)

@@ -209,3 +209,23 @@ def test_pipeline_against_brute_force(spark, tmp_path, byte_bpe):
         map(str, docs.drop("sequence_id", "offset").collect()))
     empty = corpus_pipeline.STAGES[0][1](spark, spark.read.parquet(f"{folder}/documents.parquet").limit(0), folder)
     assert empty.count() == 0
+
+
+def test_the_toxicity_fit_holds_two_bytes_a_feature(spark, monkeypatch):
+    """The driver unpacks one piece of the fit at a time, and gets no table of all at once."""
+    docs = spark.createDataFrame([(i, f"word{i} plain text of number {i * 7919} " * 20) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    seen, fit = [], toxicity._logistic
+
+    def spy(parts, ratio):
+        for y, counts, columns in parts:
+            assert columns.nbytes <= 2.1 * counts.sum()
+            there = toxicity._columns(columns, counts)
+            assert len(there) == counts.sum() and there.max() < len(ratio)
+            seen.append(int(counts.sum()))
+        return fit(parts, ratio)
+
+    monkeypatch.setattr(toxicity, "_logistic", spy)
+    monkeypatch.setattr(type(docs), "toArrow", None)
+    model = toxicity.train(docs, labels)
+    assert sum(seen) > 0 and len(model.feature) > 0
