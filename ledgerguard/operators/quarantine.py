@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -164,6 +164,13 @@ REFERENCES = (("src", "source_account_id", "account"), ("dst", "destination_acco
               ("merchant", "merchant_id", "merchant"), ("agency", "agency_id", "agency"))
 
 
+def named_parents(tx: DataFrame, *columns: str) -> DataFrame:
+    """The references of each row that name a parent: DF[*columns, parent, ref], repeats included."""
+    names = F.array(*[F.struct(F.lit(p).alias("parent"), _ref(c, p).alias("ref")) for _, c, p in REFERENCES])
+    return tx.select(*columns, F.explode(names).alias("_n")).select(
+        *columns, "_n.parent", "_n.ref").where(F.col("ref").isNotNull())
+
+
 def orphans(
     tx: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame, agencies: DataFrame,
 ) -> DataFrame:
@@ -174,8 +181,13 @@ def orphans(
     once. ``staged`` says that an account is staged, though not in core. Stored, the few
     orphans tell Spark their size, and the rows meet them without being shuffled
     (``with_orphans``)."""
-    names = F.array(*[F.struct(F.lit(p).alias("parent"), _ref(c, p).alias("ref")) for _, c, p in REFERENCES])
-    named = tx.select(F.explode(names).alias("_n")).select("_n.parent", "_n.ref").where(F.col("ref").isNotNull()).distinct()
+    return orphans_of(named_parents(tx).distinct(), accounts, core_accounts, merchants, agencies)
+
+
+def orphans_of(
+    named: DataFrame, accounts: DataFrame, core_accounts: DataFrame, merchants: DataFrame, agencies: DataFrame,
+) -> DataFrame:
+    """The same from the distinct names DF[parent, ref]."""
     known = known_accounts(accounts, core_accounts).select(
         F.lit("account").alias("parent"), F.col("key").alias("ref"), F.lit(True).alias("staged"), F.col("core").alias("core"))
     for parent, rows in (("merchant", merchants), ("agency", agencies)):
@@ -187,11 +199,12 @@ def orphans(
     return found.where(lost).select("parent", "ref", F.coalesce("staged", F.lit(False)).alias("staged"))
 
 
-def with_orphans(rows: DataFrame, lost: DataFrame) -> DataFrame:
-    """The booleans of ``with_holds`` from the stored orphans."""
+def with_orphans(rows: DataFrame, lost: DataFrame | Mapping[str, DataFrame]) -> DataFrame:
+    """The booleans of ``with_holds`` from the stored orphans: one table, or one by parent,
+    so that few orphans of one parent are known to be few beside many of another."""
     df = rows
     for name, column, parent in REFERENCES:
-        side = lost.where(F.col("parent") == parent).select(
+        side = (lost[parent] if isinstance(lost, Mapping) else lost).where(F.col("parent") == parent).select(
             F.col("ref").alias(f"{name}_key"), F.col("staged").alias(f"{name}_staged"))
         df = lookup_join(df.withColumn(f"{name}_ref", _ref(column, parent)), side, f"{name}_ref", f"{name}_key", "left").drop(f"{name}_ref")
 

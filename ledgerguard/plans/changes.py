@@ -3,16 +3,19 @@
 A new transaction is routed against the parents that are known. It may also change old ones:
 another payload under an old idempotency key makes all rows of the key anomalous, another row
 of an old id shares its verdict, and a parent that arrives releases the rows that waited for
-it. Which old rows these are comes from three small tables beside the routed rows, all in
-hash buckets (``sources/buckets.py``), of which a batch opens those of its own keys:
+it. Which old rows these are comes from three small tables beside the rows, all in hash
+buckets (``sources/buckets.py``), of which a batch opens those of its own keys:
 
 * ``parents``: the known parent keys, tagged by table;
 * ``keys``: idempotency key, home and payload of every transaction;
 * ``waiting``: parent keys that a transaction named before they were known, with its home.
 
 The home of a row is its id, as a number where it is one, so that all rows of one id in core
-lie together. The rows of all touched homes are decided again by the same operators as in the
-full refresh, and their buckets of ``routed`` and ``core`` are replaced. After any sequence of
+lie together. The wide rows are written once, as they come (``rows``); what changes is the
+route of their ids (``routed``), a narrow table in the same buckets. The ids of all touched
+homes are decided again by the same operators as in the full refresh, from the columns that
+rules read, and their buckets of ``routed`` are replaced. Wide rows are read again only for
+homes that enter or leave core, whose buckets of ``core`` are replaced. After any sequence of
 batches the tables equal those of a full refresh over all rows.
 """
 
@@ -22,20 +25,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.clean import clean_cast, empty_to_null, present
+from ..functions.clean import clean_cast, present
 from ..operators import core, routing
 from ..operators.anomalies import PAYLOAD, conflict_keys
-from ..operators.quarantine import numeric_id
-from ..session import passing
+from ..operators.quarantine import named_parents, numeric_id, orphans_of
+from ..operators.skew import lookup_join
+from ..session import passing, together
 from ..sources.buckets import Buckets
 
-#: Where a reference of a transaction points: (column, kinds of parent it needs).
-REFERENCES = (
-    ("source_account_id", ("account", "core_account")),
-    ("destination_account_id", ("account", "core_account")),
-    ("merchant_id", ("merchant",)),
-    ("agency_id", ("agency",)),
-)
+ROUTED = "home string, id string, route string, reasons array<string>, rows bigint"
+WIDE_RUNS = 16  # runs of the wide rows that are merged into one
 
 
 @dataclass(frozen=True)
@@ -63,15 +62,23 @@ def _tagged(kind: str, id: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), id.cast("string"))
 
 
-def _needs(rows: DataFrame) -> DataFrame:
-    """The parent keys that transactions name: DF[parent, home]. Blank references and text
-    that is no number name nothing that could arrive."""
-    wanted = []
-    for column, kinds in REFERENCES:
-        for kind in kinds:
-            id = empty_to_null(column) if kind == "account" else numeric_id(column)
-            wanted.append(F.when(id.isNotNull(), _tagged(kind, id)))
-    return rows.select(_home().alias("home"), F.explode(F.array_compact(F.array(*wanted))).alias("parent")).distinct()
+def _tags(named: DataFrame) -> DataFrame:
+    """The parent keys that names need: DF[parent, ref, tag]. An account must be staged and in
+    core; text that is no number names nothing that could arrive in core."""
+    account, number = F.col("parent") == "account", numeric_id("ref")
+    tags = F.array(
+        F.when(account, _tagged("account", F.col("ref"))),
+        F.when(account & number.isNotNull(), _tagged("core_account", number)),
+        F.when(~account & number.isNotNull(), F.concat("parent", F.lit(":"), number.cast("string"))))
+    return named.select("parent", "ref", F.explode(F.array_compact(tags)).alias("tag"))
+
+
+def _by_parent(rows: DataFrame, keep, name: str) -> dict[str, DataFrame]:
+    """Rows DF[parent, ...] stored apart for accounts and for the others, so that Spark knows
+    the size of each."""
+    account = F.col("parent") == "account"
+    accounts, others = keep(rows.where(account), f"{name}-accounts"), keep(rows.where(~account), name)
+    return {"account": accounts, "merchant": others, "agency": others}
 
 
 class Ledger:
@@ -82,11 +89,12 @@ class Ledger:
         self.columns = staged.names
         text, texts = T.StringType(), T.ArrayType(T.StringType())
         rows = T.StructType([*staged.fields, T.StructField("route", text), T.StructField("reasons", texts)])
-        routed = T.StructType([T.StructField("home", text), *rows.fields])
         typed = T.StructType([
             T.StructField("own_key", text), *core.core_from_route(spark.createDataFrame([], rows)).schema.fields])
         payload = ", ".join(f"{c} string" for c in PAYLOAD)
-        self.routed = Buckets(spark, f"{root}/routed", "home", routed, buckets)
+        own = T.StructType([T.StructField("home", text), *staged.fields])
+        self.rows = Buckets(spark, f"{root}/rows", "home", own, buckets, WIDE_RUNS)
+        self.routed = Buckets(spark, f"{root}/routed", "home", ROUTED, buckets)
         self.parents = Buckets(spark, f"{root}/parents", "parent", "parent string", buckets)
         self.keys = Buckets(spark, f"{root}/keys", "idempotency_key", f"idempotency_key string, home string, {payload}", buckets)
         self.waiting = Buckets(spark, f"{root}/waiting", "parent", "parent string, home string", buckets)
@@ -95,7 +103,12 @@ class Ledger:
     def tables(self) -> tuple[DataFrame, DataFrame]:
         """All routed rows with their route and reasons, and core, as of the last whole batch."""
         done = max(self.core.batches(), default=-1) + 1
-        return self.routed.read(before=done).drop("home"), self.core.read(before=done).drop("own_key")
+        routes = self.routed.read(before=done).select(F.col("id").alias("_routed"), "route", "reasons")
+        rows = lookup_join(self.rows.read(before=done).drop("home"), routes, "id", "_routed", "left")
+        routed = rows.select(  # a row without an id has no route of its own
+            *self.columns, F.coalesce("route", F.lit("CORE")).alias("route"),
+            F.coalesce("reasons", F.array().cast("array<string>")).alias("reasons"))
+        return routed, self.core.read(before=done).drop("own_key")
 
     def apply(self, new: Arrivals, batch: int) -> DataFrame:
         """Take in a batch; gives the rows of each route among those decided anew, before
@@ -105,31 +118,38 @@ class Ledger:
             return self._apply(new, batch, keep)
 
     def _apply(self, new: Arrivals, batch: int, keep) -> DataFrame:
-        none = self.spark.createDataFrame([], self.routed.schema).select("home", *self.columns)
+        none = self.spark.createDataFrame([], self.rows.schema)
         tx = none if new.transactions is None else new.transactions.select(_home().alias("home"), *self.columns)
         tx = keep(tx, "arrived")
         parents = self._arrived(new)
         parents = keep(parents.join(self.parents.find(parents, before=batch), "parent", "left_anti"), "parents")
         self.parents.append(parents, batch)
-        needs = keep(_needs(tx), "needs")
-        known = self.parents.find(needs, before=batch + 1)
-        self.waiting.append(needs.join(known, "parent", "left_anti"), batch)
-        self.keys.append(_keyed(tx), batch)
+        together(
+            lambda: self.rows.append(tx, batch), lambda: self.keys.append(_keyed(tx), batch),
+            lambda: self.waiting.append(self._unmet(tx, batch, keep), batch))
 
         # Homes that the batch may move: its own, those of its keys, those that waited.
-        homes = tx.select("home").unionByName(self.keys.find(_keyed(tx), before=batch + 1).select("home")).unionByName(
-            self.waiting.find(parents, before=batch + 1).select("home"))
+        homes = tx.select("home").unionByName(self.keys.find(_keyed(tx), before=batch).select("home")).unionByName(
+            self.waiting.find(parents, before=batch).select("home"))
         homes = keep(homes.where(F.col("home").isNotNull()).distinct(), "homes")
-        buckets = sorted({*self.routed.of_keys(homes), *self.routed.of_keys(tx)})
-        old = self.routed.read(buckets, batch)
-        before = keep(old.join(homes, "home", "left_semi"), "before")
-        rows = keep(before.select("home", *self.columns).unionByName(tx), "rows")
-        routed = keep(routing.route(rows, None, None, None, None, decided=self._decided(rows, batch)), "routed")
-        self.routed.replace(old.join(homes, "home", "left_anti").unionByName(routed), buckets, batch)
-        self._core(routed, batch, keep)
-
-        counts = [df.groupBy("route").agg(F.count(F.lit(1)).alias(n)) for df, n in (
-            (before, "rows_before"), (routed, "rows_after"))]
+        buckets = self.routed.of_keys(homes)
+        narrow = ["home", *routing.NEEDED]
+        old = self.rows.read(buckets, batch).select(*narrow).join(homes, "home", "left_semi")
+        rows = keep(old.unionByName(tx.select(*narrow)), "rows")
+
+        ids = rows.groupBy("id").agg(F.min("home").alias("home"), F.count(F.lit(1)).alias("rows"))
+        routed = routing.route(ids, None, None, None, None, decided=self._decided(rows, batch, keep))
+        before = self.routed.read(buckets, batch)
+        was = before.join(homes, "home", "left_semi").select(
+            F.col("id").alias("_id"), F.col("route").alias("was"), F.col("rows").alias("rows_before"))
+        routed = keep(routed.join(was, F.col("id") == F.col("_id"), "left").drop("_id"), "routed")
+        here = routed.where(F.col("home").isNotNull()).select(*self.routed.schema.names)
+        self.routed.replace(before.join(homes, "home", "left_anti").unionByName(here), buckets, batch)
+        self._core(rows, routed, batch, keep)
+
+        counts = [
+            routed.where(F.col("was").isNotNull()).groupBy(F.col("was").alias("route")).agg(F.sum("rows_before").alias("rows_before")),
+            routed.groupBy("route").agg(F.sum("rows").alias("rows_after"))]
         both = counts[0].join(counts[1], "route", "full").fillna(0, ["rows_before", "rows_after"])
         return self.spark.createDataFrame(both.collect(), both.schema)  # three rows at most
 
@@ -142,28 +162,54 @@ class Ledger:
             out = out.unionByName(part)
         return out.where(F.col("parent").isNotNull()).distinct()
 
-    def _decided(self, rows: DataFrame, batch: int) -> DataFrame:
+    def _unmet(self, tx: DataFrame, batch: int, keep) -> DataFrame:
+        """The parent keys that new rows name and that are not known: DF[parent, home]. The
+        distinct names meet the parents, the rows only those names that are not met."""
+        tags = keep(_tags(named_parents(tx).distinct()), "tags")
+        known = self.parents.find(tags, "tag", before=batch + 1)
+        unmet = _by_parent(tags.join(known.withColumnRenamed("parent", "tag"), "tag", "left_anti"), keep, "unmet")
+        named = named_parents(tx, "home")
+        parts = [named.where(test).join(side, ["parent", "ref"]).select(F.col("tag").alias("parent"), "home")
+                 for test, side in ((F.col("parent") == "account", unmet["account"]),
+                                    (F.col("parent") != "account", unmet["merchant"]))]
+        return parts[0].unionByName(parts[1]).distinct()
+
+    def _decided(self, rows: DataFrame, batch: int, keep) -> DataFrame:
         """The decisions on some rows, from the index buckets of what they name."""
-        known = self.parents.find(_needs(rows), before=batch + 1)
-
-        def of(kind: str, type: str) -> DataFrame:
-            id = F.expr(f"substring(parent, {len(kind) + 2})").cast(type)
-            return known.where(F.col("parent").startswith(f"{kind}:")).select(id.alias("id"))
-
-        conflicts = conflict_keys(self.keys.find(_keyed(rows), before=batch + 1))
-        return routing.decisions(
-            rows, of("account", "string"), of("core_account", "bigint"), of("merchant", "bigint"), of("agency", "bigint"),
-            conflicts=conflicts)
-
-    def _core(self, routed: DataFrame, batch: int, keep) -> None:
-        """Core holds the first row of an id and the first id of a key. All rows of the homes
-        that share a key with the touched ones compete; only touched keys are replaced."""
-        keys = keep(routed.withColumn("id", clean_cast("id", "bigint")).select(
+        def lost():
+            named = keep(named_parents(rows).distinct(), "named")
+            known = keep(self.parents.find(_tags(named), "tag", before=batch + 1), "known")
+
+            def of(kind: str, type: str) -> DataFrame:
+                id = F.expr(f"substring(parent, {len(kind) + 2})").cast(type)
+                return known.where(F.col("parent").startswith(f"{kind}:")).select(id.alias("id"))
+
+            return _by_parent(orphans_of(
+                named, of("account", "string"), of("core_account", "bigint"), of("merchant", "bigint"),
+                of("agency", "bigint")), keep, "lost")
+
+        lost_, conflicts = together(
+            lost, lambda: keep(conflict_keys(self.keys.find(_keyed(rows), before=batch + 1)), "conflicts"))
+        return routing.decisions(rows, None, None, None, None, conflicts=conflicts, lost=lost_)
+
+    def _core(self, rows: DataFrame, routed: DataFrame, batch: int, keep) -> None:
+        """Core holds the first row of an id and the first id of a key. Homes with rows that
+        enter or leave core move it, and all homes that share a key with those compete; only
+        touched keys are replaced. ``rows`` are all rows of the homes in ``routed``."""
+        now, was = F.col("route") == "CORE", F.coalesce(F.col("was") == "CORE", F.lit(False))
+        moved = routed.where(F.col("home").isNotNull() & ((now != was) | (now & (F.col("rows") != F.col("rows_before")))))
+        moved = keep(moved.select("home").distinct(), "moved")
+        touched = keep(rows.select("home", "id", "idempotency_key").join(moved, "home", "left_semi"), "touched")
+        keys = keep(touched.withColumn("id", clean_cast("id", "bigint")).select(
             core.own_key().alias("own_key")).where(F.col("own_key").isNotNull()).distinct(), "own-keys")
-        homes = keep(self.keys.find(_keyed(routed), before=batch + 1).select("home").unionByName(
-            routed.select("home")).where(F.col("home").isNotNull()).distinct(), "core-homes")
-        rows = self.routed.find(homes, before=batch + 1).drop("home")
-        fresh = core.core_from_route(rows).withColumn("own_key", core.own_key()).join(keys, "own_key", "left_semi")
+        homes = keep(self.keys.find(_keyed(touched), before=batch + 1).select("home").unionByName(moved).where(
+            F.col("home").isNotNull()).distinct(), "core-homes")
+        ids = keep(self.routed.find(homes, before=batch + 1).where("route = 'CORE'").select("home", "id", "rows"), "core-ids")
+        unique = ids.groupBy("home").agg(F.sum("rows").alias("n")).where("n > 1").isEmpty()
+        wide = self.rows.read(self.rows.of_keys(homes), batch + 1).drop("home").join(ids.select("id"), "id", "left_semi")
+        fresh = core.core_transactions(wide, unique_ids=unique).withColumn("own_key", core.own_key()).join(keys, "own_key", "left_semi")
         buckets = self.core.of_keys(keys)
-        stay = self.core.read(buckets, batch).join(keys, "own_key", "left_anti")
+        old = self.core.read(buckets, batch)
+        gone = keep(old.select("own_key").join(keys, "own_key", "left_semi"), "gone")
+        stay = old.join(gone, "own_key", "left_anti")
         self.core.replace(stay.unionByName(fresh.select(*self.core.schema.names)), buckets, batch)

@@ -7,7 +7,6 @@ read and no plan grows long. The tables of a run are committed together.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +15,7 @@ from ..operators.constraints import constraint_report, raise_violations
 from ..operators.skew import input_bytes
 from ..operators.validation import layer_shares, table_summary
 from ..schemas import LOOKUP_ROWS, STAGING
-from ..session import size_shuffles
+from ..session import size_shuffles, together
 from ..sources.csv import malformed_rows, read_raw
 from ..sources.layers import QUARTER, LayerStore, by_quarter
 
@@ -38,12 +37,6 @@ def stage(spark: SparkSession, store: LayerStore, paths: Mapping[str, str], mult
             store.replace(faults, "staging", "malformed_rows")
 
 
-def _all(*work):
-    """Results of independent steps, whose jobs share the cluster."""
-    with ThreadPoolExecutor(len(work)) as pool:
-        return [f.result() for f in [pool.submit(w) for w in work]]
-
-
 def refresh(
     spark: SparkSession, store: LayerStore, lookup_rows: Mapping[str, int] | None = LOOKUP_ROWS,
     text_compare: bool = False, strict: bool = False, drop_repeats: bool = True,
@@ -75,7 +68,7 @@ def _refresh(spark, store, staged, lookup_rows, text_compare, strict, drop_repea
         users = store.replace(core.core_users(staged["users"], strict), "core", "users")
         return users, store.replace(core.core_accounts(staged["accounts"], users, strict), "core", "accounts")
 
-    *loaded, (users, accounts), merchants, agencies, conflicting = _all(
+    *loaded, (users, accounts), merchants, agencies, conflicting = together(
         *[lambda t=t: load(t) for t in LOOKUPS],
         holders,
         lambda: store.replace(core.core_merchants(staged["merchants"], strict), "core", "merchants"),
@@ -102,7 +95,7 @@ def _refresh(spark, store, staged, lookup_rows, text_compare, strict, drop_repea
         old = store.read("quarantine", "quarantine_reasons") if store.has("quarantine", "quarantine_reasons") else None
         return store.replace(quarantine.reason_catalogue(spark, old), "quarantine", "quarantine_reasons")
 
-    flagged, conflicts, held, reasons, transactions, _ = _all(
+    flagged, conflicts, held, reasons, transactions, _ = together(
         lambda: store.replace(
             anomalies.transaction_anomalies(suspects, text_compare=text_compare), "anomalies", "transaction_anomalies"),
         lambda: store.replace(

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,6 +102,12 @@ def passing(spark: SparkSession):
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def together(*work: Callable[[], object]) -> list:
+    """Results of independent steps, whose jobs share the cluster."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(w) for w in work]]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame stored in the scratch folder and read back: a plan that several queries
     share runs once, and a lost executor costs a read instead of a recomputation."""

@@ -18,15 +18,20 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 BUCKET = "bucket__"
-FANOUT = 4           # runs of one level that are merged into one of the next
+FANOUT = 4           # runs of one level that are merged into one of the next, by default
 KEPT = 3             # manifests that stay, for readers and for batches that run again
 
 
 class Buckets:
     """A table under ``root`` with so many buckets by the hash of ``key``. Choose ``count`` so
-    that a bucket of the grown table is some hundred MB; it can't change later."""
-
-    def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType | str, count: int = 64):
+    that a bucket of the grown table is some hundred MB; it can't change later. ``fanout``
+    runs of a level become one of the next: more of them for wide rows, which cost more to
+    write again than another file costs to open."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, key: str, schema: T.StructType | str, count: int = 64, fanout: int = FANOUT,
+    ):
+        self.fanout = fanout
         self.spark, self.root, self.key, self.count = spark, root.rstrip("/"), key, count
         self.schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
@@ -111,9 +116,9 @@ class Buckets:
 
     def find(self, keys: DataFrame, column: str | None = None, before: int | None = None) -> DataFrame:
         """The rows whose key is among the keys of a frame."""
-        wanted = keys.select(F.col(column or self.key).alias("_wanted")).where(F.col("_wanted").isNotNull()).distinct()
+        wanted = keys.select(F.col(column or self.key).alias("_wanted")).where(F.col("_wanted").isNotNull())
         rows = self.read(self.of_keys(wanted, "_wanted"), before)
-        return rows.join(wanted, F.col(self.key) == F.col("_wanted"), "left_semi")
+        return rows.join(wanted.distinct(), F.col(self.key) == F.col("_wanted"), "left_semi")
 
     def _write(self, rows: DataFrame, name: str) -> dict[int, str]:
         """Store rows as the run ``name``; the folder of each bucket that has any."""
@@ -123,13 +128,13 @@ class Buckets:
         return {int(n.split("=")[1]): f"{name}/{n}" for n in self._names("runs", name) if n.startswith(f"{BUCKET}=")}
 
     def append(self, rows: DataFrame, batch: int) -> None:
-        """Add rows. Where a bucket has FANOUT runs of a level, they become one of the next,
-        so a row is rewritten once a level and a bucket has fewer than FANOUT runs of each."""
+        """Add rows. Where a bucket has ``fanout`` runs of a level, they become one of the next,
+        so a row is rewritten once a level and a bucket has fewer than ``fanout`` runs of each."""
         manifest = self.manifest(batch)
         for b, folder in self._write(rows, f"{batch}-0").items():
             manifest[b] = [*manifest.get(b, []), [0, folder]]
         level = 0
-        while full := [b for b, runs in manifest.items() if sum(at == level for at, _ in runs) >= FANOUT]:
+        while full := [b for b, runs in manifest.items() if sum(at == level for at, _ in runs) >= self.fanout]:
             folders = [f"{self.root}/runs/{folder}" for b in full for at, folder in manifest[b] if at == level]
             merged = self._write(self.spark.read.schema(self.schema).parquet(*folders), f"{batch}-{level + 1}")
             for b in full:

@@ -107,6 +107,22 @@ def test_a_batch_opens_its_own_buckets(spark, tmp_path):
     assert ledger.tables()[1].where("id in (900, 901)").count() == 0
 
 
+def test_wide_rows_are_written_once(spark, tmp_path):
+    """A parent that releases every row moves their routes and core; the wide rows stay as they are."""
+    rng = random.Random(4)
+    good = {**transaction(rng, 1, 0), "idempotency_key": None, "amount": "5.00", "status": "SUCCESS", "transaction_type": "PAY",
+            "merchant_id": "3", "agency_id": "", "balance_after": "5.00", "source_account_id": "1", "destination_account_id": "1"}
+    rows = [{**good, "id": str(i), "source_position": i, "merchant_id": "3" if i % 9 else ""} for i in range(40)]
+    ledger = Ledger(spark, str(tmp_path / "l"), frame(spark, rows).schema, buckets=2)
+    ledger.apply(Arrivals(frame(spark, rows), ids(spark, ["1"], "string"), ids(spark, [1])), 0)
+    assert {r["route"] for r in ledger.tables()[0].collect()} == {"QUARANTINE"}
+    ledger.apply(Arrivals(merchants=ids(spark, [3])), 1)
+    assert sum(r["route"] == "CORE" for r in ledger.tables()[0].collect()) == ledger.tables()[1].count() == 35
+    written = {p.relative_to(tmp_path / "l").parts[0] for p in (tmp_path / "l").glob("*/runs/1-*/**/*.parquet")
+               if "balance_after" in spark.read.parquet(str(p)).columns}
+    assert written == {"core"}
+
+
 def test_buckets_append_merge_and_forget(spark, tmp_path):
     """Twenty batches: few files per bucket, few folders left, and nothing lost."""
     table = Buckets(spark, str(tmp_path / "t"), "k", "k string, v bigint", 3)
