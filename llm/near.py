@@ -21,7 +21,8 @@ FARTHEST = SYMBOLS // 2            # a pair that differs in more symbols is not
 
 TILE_ROWS = 512          # classes of a bucket that are compared at once with as many others
 TILE_SHINGLES = 200_000
-COLUMNS = 4_096          # shingles of a 0/1 matrix
+COLUMNS = 1_024          # shingles of a 0/1 matrix
+PIECE = 1 << 18          # text whose shingles are hashed at once; some 50 times as many bytes
 
 _RANDOM = np.random.Generator(np.random.PCG64(11))
 _TIMES = _RANDOM.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -71,7 +72,7 @@ def keys(signatures: np.ndarray) -> np.ndarray:
 
 def _sign(size: int):
     def run(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE):
             sets = shingle_sets(batch.column("text"), size)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").cast(pa.int64()),
@@ -111,7 +112,7 @@ def _confirm(size: int, share: int):
     """Pairs whose full shingle sets overlap enough. The second text comes in runs."""
     def run(batches):
         last, theirs = None, None
-        for batch in pieces(batches, "ta"):
+        for batch in pieces(batches, "ta", PIECE):
             sets = shingle_sets(batch.column("ta"), size)
             ids = batch.column("b").to_pylist()
             good = np.zeros(batch.num_rows, dtype=bool)
@@ -188,7 +189,7 @@ def _tile(size: int, share: int):
         tile = table.column("tile").to_numpy()
         ids, labels = table.column("id").to_numpy(), table.column("label").to_numpy()
         sets = []
-        for batch in pieces(table.select(["text"]).to_batches()):
+        for batch in pieces(table.select(["text"]).to_batches(), most=PIECE):
             sets += shingle_sets(batch.column("text"), size)
         n = np.array([len(s) for s in sets])
         left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)

@@ -2,6 +2,7 @@
 
 import io
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -88,6 +89,21 @@ def test_near_groups_of_a_large_group(spark):
         near.TILE_ROWS = small
 
 
+def test_shingles_of_a_batch_take_little_memory():
+    """A task holds a piece of its batch as hashes, not the whole batch (8 MB here)."""
+    rng = random.Random(6)
+    texts = [sentence(rng, 400, 5000) for _ in range(3500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    assert batch.nbytes > 7 << 20
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in near._sign(5)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and peak < 32 << 20
+
+
 def test_pigeonhole():
     """Any two signatures that differ in REACH symbols share a key."""
     rng = np.random.default_rng(3)
