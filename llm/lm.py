@@ -33,6 +33,7 @@ WORDS_A_ROW, MOST_ROW_BITS = 256, 18
 ROUNDS = 2          # the training text is dealt over so many rounds of distributed updates
 RATE = 0.5          # length of a first step
 BATCH = 8_192       # contexts that are handled at once
+NEAR = 1_024        # of them, those whose odds are computed while they are in the cache
 SHARDS = 16         # pieces of the weights when they are averaged
 
 END = np.uint64(0x5BD1E995F00DCAFE)  # stands for the hash of a text's end
@@ -159,6 +160,27 @@ def _merge(key, table):
     return pa.table({"sums": pa.array([total.pack()], pa.binary())})
 
 
+def sums_by_row(values: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of ``row``, sorted, and the sum of the ``values`` (rows) of each.
+    Neighbours are added in pairs, then pairs in pairs: few steps for long runs, and rows
+    that are alone are not touched."""
+    bits = len(row).bit_length()
+    key = np.sort(row << bits | np.arange(len(row)))
+    ordered, out = key >> bits, values[key & ((1 << bits) - 1)]
+    new = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    begin = np.flatnonzero(new)
+    runs = np.diff(begin, append=len(ordered))
+    rank = np.arange(len(ordered)) - np.repeat(begin, runs)
+    left, step = np.repeat(runs, runs) - rank, 1
+    at = np.flatnonzero((rank % 2 == 0) & (left > 1))
+    while len(at):
+        out[at] += out[at + step]
+        step *= 2
+        at = at[(rank[at] % (2 * step) == 0) & (left[at] > step)]
+    return ordered[begin], out[begin]
+
+
 @dataclass
 class Model:
     n: int                  # training tokens
@@ -181,8 +203,8 @@ class Model:
         return out
 
     def contexts(self, t: Tokens):
-        """Distinct contexts (previous, one before) as rows of features, and the number of
-        each token's context."""
+        """Distinct contexts (previous, one before) as rows of features, the tokens in the
+        order of their contexts, and the number of each one's context in that order."""
         kind = MOST_CONTEXT + t.ending
         if len(self.common):
             at = np.minimum(np.searchsorted(self.common, t.hash), len(self.common) - 1)
@@ -190,67 +212,73 @@ class Model:
         one, two = np.full(len(kind), _START), np.full(len(kind), _START)
         one[1:] = np.where(t.doc[1:] == t.doc[:-1], kind[:-1], _START)
         two[2:] = np.where(t.doc[2:] == t.doc[:-2], kind[:-2], _START)
-        pair, place = np.unique(one << 20 | two, return_inverse=True)
+        pair = one << 20 | two
+        order = np.argsort(pair)
+        pair = pair[order]
+        new = np.ones(len(pair), dtype=bool)
+        np.not_equal(pair[1:], pair[:-1], out=new[1:])
+        place, pair = np.cumsum(new) - 1, pair[new]
         one, two = (pair >> 20).astype(np.uint64), (pair & 0xFFFFF).astype(np.uint64)
         down = np.uint64(64 - (len(self.weights).bit_length() - 1))
         features = np.stack([
             mix(one << np.uint64(2) | np.uint64(1)) >> down, mix(two << np.uint64(2) | np.uint64(2)) >> down,
             mix(pair.astype(np.uint64) << np.uint64(2) | np.uint64(3)) >> down], axis=1).astype(np.int64)
-        return features, place
-
-    def logits(self, features: np.ndarray) -> np.ndarray:
-        out = self.weights[features[:, 0]]
-        out += self.weights[features[:, 1]]
-        out += self.weights[features[:, 2]]
-        out += self.bias
-        out -= out.max(axis=1, keepdims=True)
-        return out
+        return features, order, place
+
+    def odds(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each context: numbers in proportion to the classes' probabilities, and their sum."""
+        out, total = np.empty((len(features), CLASSES), np.float32), np.empty(len(features), np.float32)
+        for at in range(0, len(features), NEAR):
+            rows_, part = features[at:at + NEAR], out[at:at + NEAR]
+            np.take(self.weights, rows_[:, 0], axis=0, out=part, mode="clip")
+            part += self.weights[rows_[:, 1]]
+            part += self.weights[rows_[:, 2]]
+            part += self.bias
+            part -= part.max(axis=1, keepdims=True)
+            np.exp(part, out=part)
+            part.sum(axis=1, out=total[at:at + NEAR])
+        return out, total
 
     def learn(self, t: Tokens, seen: np.ndarray) -> None:
         """Gradient steps on the training tokens of a block, a batch of contexts at a time;
         the steps of a row shrink with the gradients it has seen (``seen``)."""
         t = Tokens(t.hash[t.train], t.ending[t.train], t.doc[t.train], t.train[t.train])  # whole documents
-        features, place = self.contexts(t)
-        cls = self.classes(t)
-        order = np.argsort(place, kind="stable")
-        place, cls = place[order], cls[order]
+        features, order, place = self.contexts(t)
+        cls = self.classes(t)[order]
         edges = np.searchsorted(place, np.arange(0, len(features) + BATCH, BATCH))
         for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             if a == b:
                 continue
             part = features[k * BATCH:(k + 1) * BATCH]
-            p = np.exp(self.logits(part))
-            p /= p.sum(axis=1, keepdims=True)
-            count = np.bincount((place[a:b] - k * BATCH) * CLASSES + cls[a:b], minlength=p.size).reshape(p.shape)
-            p *= count.sum(axis=1, keepdims=True)
-            p -= count
+            p, total = self.odds(part)
+            at = place[a:b] - k * BATCH
+            p *= (np.bincount(at, minlength=len(part)) / total).astype(np.float32)[:, None]
+            np.subtract.at(p.reshape(-1), at * CLASSES + cls[a:b], np.float32(1))
             for j in range(3):
-                by = np.argsort(part[:, j], kind="stable")
-                row, begin = np.unique(part[by, j], return_index=True)
-                slope = np.add.reduceat(p[by], begin, axis=0)
-                seen[row] += (slope**2).sum(axis=1)
-                self.weights[row] -= RATE * slope / np.sqrt(seen[row] + 1e-6)[:, None]
+                row, slope = sums_by_row(p, part[:, j])
+                seen[row] += np.einsum("ij,ij->i", slope, slope)
+                slope *= (RATE / np.sqrt(seen[row] + np.float32(1e-6)))[:, None]
+                self.weights[row] -= slope
 
     def score(self, t: Tokens, count: np.ndarray) -> np.ndarray:
         """log10 probability of each token, given how often training has it."""
         if not self.n:
             return np.zeros(len(t.hash))
-        features, place = self.contexts(t)
+        features, order, place = self.contexts(t)
         cls = self.classes(t)
         own = cls < OWN
         inside = np.where(own, 1.0, (count - self.discount) / np.maximum(self.total[cls], 1))
         left = np.where(self.total > 0, self.discount * self.types / np.maximum(self.total, 1), 1.0)
         left[:OWN] = np.where(self.total[:OWN] > 0, 0.0, 1.0)  # nothing is discounted from a single word
-        order = np.argsort(place, kind="stable")
-        edges = np.searchsorted(place[order], np.arange(0, len(features) + BATCH, BATCH))
+        left = left.astype(np.float32)
+        edges = np.searchsorted(place, np.arange(0, len(features) + BATCH, BATCH))
         out = np.empty(len(place))
         for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             if a == b:
                 continue
-            p = np.exp(self.logits(features[k * BATCH:(k + 1) * BATCH]))
-            p /= p.sum(axis=1, keepdims=True)
-            mine, at = order[a:b], place[order[a:b]] - k * BATCH
-            out[mine] = np.where(count[mine] > 0, p[at, cls[mine]] * inside[mine], (p @ left)[at])
+            p, total = self.odds(features[k * BATCH:(k + 1) * BATCH])
+            mine, at = order[a:b], place[a:b] - k * BATCH
+            out[mine] = np.where(count[mine] > 0, p[at, cls[mine]] * inside[mine], (p @ left)[at]) / total[at]
         return np.log10(np.maximum(out, 1e-300))
 
 

@@ -2,6 +2,7 @@
 
 import io
 import random
+import time
 import tracemalloc
 import zlib
 from collections import defaultdict
@@ -189,6 +190,46 @@ def test_language_model_sums_to_one():
     assert p[2::3].sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_sums_by_row():
+    rng = np.random.default_rng(9)
+    for row in (rng.integers(0, lm.BATCH, lm.BATCH), rng.zipf(1.3, 3001) % 999, np.full(5, 7), np.zeros(0, np.int64)):
+        values = rng.normal(size=(len(row), 8))
+        want = np.zeros((lm.BATCH, 8))
+        np.add.at(want, row, values)
+        found, sums = lm.sums_by_row(values, row)
+        assert found.tolist() == sorted(set(row.tolist()))
+        np.testing.assert_allclose(sums, want[found], rtol=1e-9, atol=1e-9)
+
+
+def test_learning_takes_little_time():
+    """A step costs less than the sums of its slopes do by numpy's reduceat alone."""
+    rng = np.random.default_rng(10)
+    n = 60_000
+    hashes = np.sort(rng.integers(1, 2**63, 4096, dtype=np.uint64))
+    model = lm.Model(n, 4096, hashes[:10], np.arange(10), np.arange(1 << 16) % lm.CLASSES, np.ones(lm.CLASSES, np.int64),
+                     np.ones(lm.CLASSES, np.int64), 0.5, hashes, np.zeros((1 << lm.ROW_BITS, lm.CLASSES), np.float32),
+                     np.zeros(lm.CLASSES, np.float32))
+    t = lm.Tokens(rng.choice(hashes, n), rng.integers(0, 1 << 16, n), np.arange(n) // 500, np.ones(n, bool))
+    features = model.contexts(t)[0][:lm.BATCH]
+    steps = -(-len(model.contexts(t)[0]) // lm.BATCH)
+
+    def seconds(work):
+        best = []
+        for _ in range(3):
+            began = time.thread_time()
+            work()
+            best.append(time.thread_time() - began)
+        return min(best)
+
+    def plain():
+        p = np.ones((lm.BATCH, lm.CLASSES), np.float32)
+        for j in range(3):
+            by = np.argsort(features[:, j], kind="stable")
+            np.add.reduceat(p[by], np.unique(features[by, j], return_index=True)[1], axis=0)
+
+    assert seconds(lambda: model.learn(t, np.zeros(len(model.weights), np.float32))) < steps * seconds(plain)
+
+
 def test_packing(docs, odd, byte_bpe):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(byte_bpe)
