@@ -167,6 +167,15 @@ def repeated_transactions(rows: DataFrame) -> DataFrame:
         F.col("id").cast("string").alias("staging_transaction_id"), "idempotency_key", "first_id")
 
 
+def first_of_keys(tx: DataFrame) -> DataFrame:
+    """Which staged rows ``drop_repeats`` leaves, where no typed id is repeated: DF[id, own_key], ``id``
+    as it is staged. Only ids, keys and positions are shuffled, not the rows."""
+    named = tx.select(F.col("id").alias("_staged"), clean_cast("id", CORE_TYPES["transactions"]["id"]).alias("id"),
+                      "idempotency_key", *_position(tx)).where(F.col("id").isNotNull())
+    firsts = first_wins(named.withColumn("own_key", own_key()), "own_key", _position(tx) or ["id"])
+    return firsts.select(F.col("_staged").alias("id"), "own_key")
+
+
 def _finish(rows: DataFrame, drop_repeats: bool, unique_ids: bool) -> DataFrame:
     rows = rows.where(F.col("id").isNotNull())
     if not unique_ids:

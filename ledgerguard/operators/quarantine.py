@@ -164,11 +164,21 @@ REFERENCES = (("src", "source_account_id", "account"), ("dst", "destination_acco
               ("merchant", "merchant_id", "merchant"), ("agency", "agency_id", "agency"))
 
 
-def named_parents(tx: DataFrame, *columns: str) -> DataFrame:
-    """The references of each row that name a parent: DF[*columns, parent, ref], repeats included."""
-    names = F.array(*[F.struct(F.lit(p).alias("parent"), _ref(c, p).alias("ref")) for _, c, p in REFERENCES])
+def _named(tx: DataFrame, columns: Sequence[str], references=REFERENCES) -> DataFrame:
+    """The references of each row that name a parent: DF[*columns, name, parent, ref], repeats included."""
+    names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("parent"), _ref(c, p).alias("ref")) for n, c, p in references])
     return tx.select(*columns, F.explode(names).alias("_n")).select(
-        *columns, "_n.parent", "_n.ref").where(F.col("ref").isNotNull())
+        *columns, "_n.name", "_n.parent", "_n.ref").where(F.col("ref").isNotNull())
+
+
+def named_parents(tx: DataFrame, *columns: str, parents: Sequence[str] = ("account", "merchant", "agency")) -> DataFrame:
+    """The same without the name of the reference: DF[*columns, parent, ref]. A row that names
+    one account on both sides names it once."""
+    named = [r for r in REFERENCES if r[2] in parents]
+    if "account" in parents:
+        other = F.col("destination_account_id")
+        tx = tx.withColumn("destination_account_id", F.when(other == F.col("source_account_id"), F.lit(None)).otherwise(other))
+    return _named(tx, columns, named).drop("name")
 
 
 def orphans(
@@ -226,6 +236,31 @@ def with_orphans(rows: DataFrame, lost: DataFrame | Mapping[str, DataFrame]) ->
     )
 
 
+def blank_holds() -> dict[str, Column]:
+    """The quarantine reasons that a row shows by itself."""
+    return {"missing_source_account": blank("source_account_id"), "missing_destination_account": blank("destination_account_id"),
+            "missing_merchant": missing_merchant_test()}
+
+
+def orphan_hits(rows: DataFrame, lost: DataFrame | Mapping[str, DataFrame]) -> DataFrame:
+    """The other reasons of ``with_orphans``, one row per orphan that a row names: DF[id, code, core],
+    ``code`` for an account that is not staged, ``core`` for a number that is not in core.
+
+    Only ids and references travel, both accounts of a row in one join, and rows whose
+    parents are known end there."""
+    hits = None
+    for parents in (("account",), ("merchant", "agency")):
+        side = lost[parents[0]] if isinstance(lost, Mapping) else lost
+        side = side.where(F.col("parent").isin(*parents)).select("parent", "ref", "staged")
+        found = _named(rows, ["id"], [r for r in REFERENCES if r[2] in parents]).join(side, ["parent", "ref"])
+        code = F.when(~F.col("staged") & (F.col("name") == "src"), "missing_source_account").when(
+            ~F.col("staged") & (F.col("name") == "dst"), "missing_destination_account")
+        core = (F.col("parent") != "account") | F.col("ref").rlike(DIGITS)
+        part = found.select("id", code.alias("code"), core.alias("core"))
+        hits = part if hits is None else hits.unionByName(part)
+    return hits
+
+
 STAGED_REASONS = ("missing_source_account", "missing_destination_account", "missing_merchant")
 
 

@@ -14,9 +14,11 @@ The home of a row is its id, as a number where it is one, so that all rows of on
 lie together. The wide rows are written once, as they come (``rows``); what changes is the
 route of their ids (``routed``), a narrow table in the same buckets. The ids of all touched
 homes are decided again by the same operators as in the full refresh, from the columns that
-rules read, and their buckets of ``routed`` are replaced. Wide rows are read again only for
-homes that enter or leave core, whose buckets of ``core`` are replaced. After any sequence of
-batches the tables equal those of a full refresh over all rows.
+rules read, and their buckets of ``routed`` are replaced. A conflict never ends, so only the
+keys of new rows are looked at for one. Wide rows are read again only for homes that enter or
+leave core, whose buckets of ``core`` are replaced; which of them is the first of its key comes
+from ids and keys. After any sequence of batches the tables equal those of a full refresh over
+all rows.
 """
 
 from __future__ import annotations
@@ -25,16 +27,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.clean import clean_cast, present
+from ..functions.clean import blank, clean_cast, present
 from ..operators import core, routing
 from ..operators.anomalies import PAYLOAD, conflict_keys
 from ..operators.quarantine import named_parents, numeric_id, orphans_of
-from ..operators.skew import lookup_join
-from ..session import passing, together
+from ..operators.skew import input_bytes, lookup_join
+from ..schemas import CONFLICT
+from ..session import passing, size_shuffles, together
 from ..sources.buckets import Buckets
 
 ROUTED = "home string, id string, route string, reasons array<string>, rows bigint"
 WIDE_RUNS = 16  # runs of the wide rows that are merged into one
+UNPACKED = 8    # size of rows in a shuffle against that of their files
 
 
 @dataclass(frozen=True)
@@ -93,6 +97,7 @@ class Ledger:
             T.StructField("own_key", text), *core.core_from_route(spark.createDataFrame([], rows)).schema.fields])
         payload = ", ".join(f"{c} string" for c in PAYLOAD)
         own = T.StructType([T.StructField("home", text), *staged.fields])
+        self.position = [c for c in ("source_position",) if c in staged.names]
         self.rows = Buckets(spark, f"{root}/rows", "home", own, buckets, WIDE_RUNS)
         self.routed = Buckets(spark, f"{root}/routed", "home", ROUTED, buckets)
         self.parents = Buckets(spark, f"{root}/parents", "parent", "parent string", buckets)
@@ -120,31 +125,46 @@ class Ledger:
     def _apply(self, new: Arrivals, batch: int, keep) -> DataFrame:
         none = self.spark.createDataFrame([], self.rows.schema)
         tx = none if new.transactions is None else new.transactions.select(_home().alias("home"), *self.columns)
-        tx = keep(tx, "arrived")
-        parents = self._arrived(new)
-        parents = keep(parents.join(self.parents.find(parents, before=batch), "parent", "left_anti"), "parents")
-        self.parents.append(parents, batch)
-        together(
-            lambda: self.rows.append(tx, batch), lambda: self.keys.append(_keyed(tx), batch),
-            lambda: self.waiting.append(self._unmet(tx, batch, keep), batch))
+        size_shuffles(self.spark, UNPACKED * (input_bytes(tx) + self.rows.stored_bytes()))
+        # The run of the wide rows is all that is stored of them: the other steps read it.
+        run, arrived = together(lambda: self.rows.lay(tx, batch), lambda: keep(self._arrived(new), "arrived"))
+        tx = self.rows.laid(run)
+
+        def parents() -> DataFrame:
+            fresh = keep(arrived.join(self.parents.find(arrived, before=batch), "parent", "left_anti"), "parents")
+            self.parents.append(fresh, batch)
+            return fresh
+
+        keyed, parents_ = together(lambda: self.keys.append(_keyed(tx), batch), parents)
 
         # Homes that the batch may move: its own, those of its keys, those that waited.
-        homes = tx.select("home").unionByName(self.keys.find(_keyed(tx), before=batch).select("home")).unionByName(
-            self.waiting.find(parents, before=batch).select("home"))
-        homes = keep(homes.where(F.col("home").isNotNull()).distinct(), "homes")
-        buckets = self.routed.of_keys(homes)
+        shared = keep(self.keys.find(_keyed(tx), before=batch + 1, known=keyed), "shared")
+        homes = tx.where(blank("idempotency_key")).select("home").unionByName(shared.select("home")).unionByName(
+            self.waiting.find(parents_, before=batch).select("home"))
+        homes = keep(homes.where(F.col("home").isNotNull()), "homes")
+        buckets = self.routed.of_keys(homes, known=run)
         narrow = ["home", *routing.NEEDED]
         old = self.rows.read(buckets, batch).select(*narrow).join(homes, "home", "left_semi")
         rows = keep(old.unionByName(tx.select(*narrow)), "rows")
 
-        ids = rows.groupBy("id").agg(F.min("home").alias("home"), F.count(F.lit(1)).alias("rows"))
-        routed = routing.route(ids, None, None, None, None, decided=self._decided(rows, batch, keep))
-        before = self.routed.read(buckets, batch)
-        was = before.join(homes, "home", "left_semi").select(
-            F.col("id").alias("_id"), F.col("route").alias("was"), F.col("rows").alias("rows_before"))
-        routed = keep(routed.join(was, F.col("id") == F.col("_id"), "left").drop("_id"), "routed")
-        here = routed.where(F.col("home").isNotNull()).select(*self.routed.schema.names)
-        self.routed.replace(before.join(homes, "home", "left_anti").unionByName(here), buckets, batch)
+        # A conflict never ends, so only keys of new rows can begin one; older ones are in the routes.
+        lost, conflicts = together(
+            lambda: self._lost(rows, tx, batch, keep), lambda: keep(conflict_keys(shared), "conflicts"))
+        clashed = self.routed.read(buckets, batch).where(F.array_contains("reasons", CONFLICT)).select("id")
+        decided = routing.decisions(
+            rows, None, None, None, None, conflicts=conflicts, lost=lost, every=True, clashed=clashed)
+        ids = decided.withColumnRenamed("decided_id", "id").withColumn("home", _home())
+        routed = routing.routes(ids, "home", "id", "rows")
+        # All ids of a touched home are decided anew, so an id that meets none of these stays.
+        before = self.routed.read(buckets, batch).select(*[F.col(c).alias(f"_{c}") for c in self.routed.schema.names])
+        both = routed.withColumn("touched", F.lit(True)).join(before, F.col("id") == F.col("_id"), "full")
+        both = keep(both.select(
+            *[F.when(F.col("touched"), F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in self.routed.schema.names],
+            F.coalesce("touched", F.lit(False)).alias("touched"), F.col("_route").alias("was"), F.col("_rows").alias("rows_before")), "routed")
+        routed = both.where("touched")
+        together(
+            lambda: self.routed.replace(both.where(F.col("home").isNotNull()).select(*self.routed.schema.names), buckets, batch),
+            lambda: self.rows.add(run, batch))
         self._core(rows, routed, batch, keep)
 
         counts = [
@@ -162,35 +182,31 @@ class Ledger:
             out = out.unionByName(part)
         return out.where(F.col("parent").isNotNull()).distinct()
 
-    def _unmet(self, tx: DataFrame, batch: int, keep) -> DataFrame:
-        """The parent keys that new rows name and that are not known: DF[parent, home]. The
-        distinct names meet the parents, the rows only those names that are not met."""
-        tags = keep(_tags(named_parents(tx).distinct()), "tags")
-        known = self.parents.find(tags, "tag", before=batch + 1)
-        unmet = _by_parent(tags.join(known.withColumnRenamed("parent", "tag"), "tag", "left_anti"), keep, "unmet")
-        named = named_parents(tx, "home")
-        parts = [named.where(test).join(side, ["parent", "ref"]).select(F.col("tag").alias("parent"), "home")
-                 for test, side in ((F.col("parent") == "account", unmet["account"]),
-                                    (F.col("parent") != "account", unmet["merchant"]))]
-        return parts[0].unionByName(parts[1]).distinct()
-
-    def _decided(self, rows: DataFrame, batch: int, keep) -> DataFrame:
-        """The decisions on some rows, from the index buckets of what they name."""
-        def lost():
-            named = keep(named_parents(rows).distinct(), "named")
-            known = keep(self.parents.find(_tags(named), "tag", before=batch + 1), "known")
-
-            def of(kind: str, type: str) -> DataFrame:
-                id = F.expr(f"substring(parent, {len(kind) + 2})").cast(type)
-                return known.where(F.col("parent").startswith(f"{kind}:")).select(id.alias("id"))
-
-            return _by_parent(orphans_of(
-                named, of("account", "string"), of("core_account", "bigint"), of("merchant", "bigint"),
-                of("agency", "bigint")), keep, "lost")
-
-        lost_, conflicts = together(
-            lost, lambda: keep(conflict_keys(self.keys.find(_keyed(rows), before=batch + 1)), "conflicts"))
-        return routing.decisions(rows, None, None, None, None, conflicts=conflicts, lost=lost_)
+    def _lost(self, rows: DataFrame, tx: DataFrame, batch: int, keep) -> dict[str, DataFrame]:
+        """The orphans that some rows name, from the index buckets of what they name. The parent
+        keys that these need and that are not known are stored as waited for by the new rows."""
+        named = keep(named_parents(rows).distinct(), "named")
+        known = keep(self.parents.find(_tags(named), "tag", before=batch + 1), "known")
+
+        def of(kind: str, type: str) -> DataFrame:
+            id = F.expr(f"substring(parent, {len(kind) + 2})").cast(type)
+            return known.where(F.col("parent").startswith(f"{kind}:")).select(id.alias("id"))
+
+        lost = _by_parent(keep(orphans_of(
+            named, of("account", "string"), of("core_account", "bigint"), of("merchant", "bigint"), of("agency", "bigint")),
+            "orphans"), keep, "lost")
+        self.waiting.append(self._unmet(tx, lost, known), batch)
+        return lost
+
+    def _unmet(self, tx: DataFrame, lost: dict[str, DataFrame], known: DataFrame) -> DataFrame:
+        """The parent keys that new rows name and that are not known: DF[parent, home]. Only an
+        orphan has such keys, so the names of the rows meet those alone."""
+        parts = []
+        for some in (("account",), ("merchant", "agency")):
+            tags = _tags(lost[some[0]]).join(known.withColumnRenamed("parent", "tag"), "tag", "left_anti")
+            named = named_parents(tx, "home", parents=some)
+            parts.append(named.join(tags, ["parent", "ref"]).select(F.col("tag").alias("parent"), "home"))
+        return parts[0].unionByName(parts[1])
 
     def _core(self, rows: DataFrame, routed: DataFrame, batch: int, keep) -> None:
         """Core holds the first row of an id and the first id of a key. Homes with rows that
@@ -198,16 +214,26 @@ class Ledger:
         touched keys are replaced. ``rows`` are all rows of the homes in ``routed``."""
         now, was = F.col("route") == "CORE", F.coalesce(F.col("was") == "CORE", F.lit(False))
         moved = routed.where(F.col("home").isNotNull() & ((now != was) | (now & (F.col("rows") != F.col("rows_before")))))
-        moved = keep(moved.select("home").distinct(), "moved")
+        moved = keep(moved.select("home"), "moved")
         touched = keep(rows.select("home", "id", "idempotency_key").join(moved, "home", "left_semi"), "touched")
         keys = keep(touched.withColumn("id", clean_cast("id", "bigint")).select(
             core.own_key().alias("own_key")).where(F.col("own_key").isNotNull()).distinct(), "own-keys")
         homes = keep(self.keys.find(_keyed(touched), before=batch + 1).select("home").unionByName(moved).where(
-            F.col("home").isNotNull()).distinct(), "core-homes")
-        ids = keep(self.routed.find(homes, before=batch + 1).where("route = 'CORE'").select("home", "id", "rows"), "core-ids")
+            F.col("home").isNotNull()), "core-homes")
+        near = self.rows.of_keys(homes)  # of the routes as well, which lie in the same buckets
+        ids = keep(self.routed.read(near, batch + 1).where("route = 'CORE'").select("home", "id", "rows").join(
+            homes, "home", "left_semi"), "core-ids")
         unique = ids.groupBy("home").agg(F.sum("rows").alias("n")).where("n > 1").isEmpty()
-        wide = self.rows.read(self.rows.of_keys(homes), batch + 1).drop("home").join(ids.select("id"), "id", "left_semi")
-        fresh = core.core_transactions(wide, unique_ids=unique).withColumn("own_key", core.own_key()).join(keys, "own_key", "left_semi")
+        wide = self.rows.read(near, batch + 1).drop("home")
+        if unique:  # the first of a key is found from the keys alone, and only its row is read as a whole
+            named = wide.select("id", "idempotency_key", *self.position).join(ids.select("id"), "id", "left_semi")
+            first = keep(core.first_of_keys(named).join(keys, "own_key", "left_semi").select("id"), "core-first")
+            fresh = core.core_transactions(wide.join(first, "id", "left_semi"), unique_ids=True, drop_repeats=False)
+        else:
+            fresh = core.core_transactions(wide.join(ids.select("id"), "id", "left_semi"))
+        fresh = fresh.withColumn("own_key", core.own_key())
+        if not unique:
+            fresh = fresh.join(keys, "own_key", "left_semi")
         buckets = self.core.of_keys(keys)
         old = self.core.read(buckets, batch)
         gone = keep(old.select("own_key").join(keys, "own_key", "left_semi"), "gone")

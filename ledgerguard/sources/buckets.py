@@ -45,6 +45,11 @@ class Buckets:
         fs, path = self._path(*parts)
         return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
+    def stored_bytes(self) -> int:
+        """Size of all files, old runs that are still there included."""
+        fs, path = self._path("runs")
+        return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+
     # -- manifests ------------------------------------------------------------------------
 
     def batches(self) -> list[int]:
@@ -101,8 +106,11 @@ class Buckets:
         key = F.col(key) if isinstance(key, str) else key
         return F.pmod(F.xxhash64(key.cast("string")), F.lit(self.count)).cast("int")
 
-    def of_keys(self, rows: DataFrame, key: str | None = None) -> list[int]:
-        """The buckets that the keys of these rows lie in: at most ``count`` numbers."""
+    def of_keys(self, rows: DataFrame, key: str | None = None, known: Iterable[int] = ()) -> list[int]:
+        """The buckets that the keys of these rows lie in: at most ``count`` numbers. ``known``
+        are some that are certain to be among them; if these are all, no job looks."""
+        if len(found := sorted(set(known))) == self.count:
+            return found
         return sorted(r[0] for r in rows.select(self.bucket(key or self.key)).distinct().collect())
 
     def read(self, buckets: Iterable[int] | None = None, before: int | None = None) -> DataFrame:
@@ -110,14 +118,21 @@ class Buckets:
         manifest = self.manifest(before)
         folders = [f"{self.root}/runs/{folder}" for b in (sorted(manifest) if buckets is None else buckets)
                    for _, folder in manifest.get(b, [])]
+        return self._stored(folders)
+
+    def _stored(self, folders: Sequence[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def find(self, keys: DataFrame, column: str | None = None, before: int | None = None) -> DataFrame:
-        """The rows whose key is among the keys of a frame."""
+    def find(
+        self, keys: DataFrame, column: str | None = None, before: int | None = None, known: Iterable[int] = (),
+    ) -> DataFrame:
+        """The rows whose key is among the keys of a frame; ``known`` as in ``of_keys``."""
+        if not self.manifest(before):
+            return self._stored([])
         wanted = keys.select(F.col(column or self.key).alias("_wanted")).where(F.col("_wanted").isNotNull())
-        rows = self.read(self.of_keys(wanted, "_wanted"), before)
+        rows = self.read(self.of_keys(wanted, "_wanted", known), before)
         return rows.join(wanted.distinct(), F.col(self.key) == F.col("_wanted"), "left_semi")
 
     def _write(self, rows: DataFrame, name: str) -> dict[int, str]:
@@ -127,11 +142,25 @@ class Buckets:
             BUCKET).parquet(f"{self.root}/runs/{name}")
         return {int(n.split("=")[1]): f"{name}/{n}" for n in self._names("runs", name) if n.startswith(f"{BUCKET}=")}
 
-    def append(self, rows: DataFrame, batch: int) -> None:
-        """Add rows. Where a bucket has ``fanout`` runs of a level, they become one of the next,
+    def lay(self, rows: DataFrame, batch: int) -> dict[int, str]:
+        """Store rows as a run that nobody sees before ``add``: the folder of each bucket."""
+        return self._write(rows, f"{batch}-0")
+
+    def laid(self, run: Mapping[int, str]) -> DataFrame:
+        """The rows of such a run, to read before it is added."""
+        return self._stored([f"{self.root}/runs/{folder}" for folder in run.values()])
+
+    def append(self, rows: DataFrame, batch: int) -> list[int]:
+        """Add rows; gives the buckets that got any."""
+        run = self.lay(rows, batch)
+        self.add(run, batch)
+        return sorted(run)
+
+    def add(self, run: Mapping[int, str], batch: int) -> None:
+        """Take in a run. Where a bucket has ``fanout`` runs of a level, they become one of the next,
         so a row is rewritten once a level and a bucket has fewer than ``fanout`` runs of each."""
         manifest = self.manifest(batch)
-        for b, folder in self._write(rows, f"{batch}-0").items():
+        for b, folder in run.items():
             manifest[b] = [*manifest.get(b, []), [0, folder]]
         level = 0
         while full := [b for b, runs in manifest.items() if sum(at == level for at, _ in runs) >= self.fanout]:

@@ -123,6 +123,50 @@ def test_wide_rows_are_written_once(spark, tmp_path):
     assert written == {"core"}
 
 
+def test_a_batch_stores_wide_rows_once(spark, tmp_path, monkeypatch):
+    """Beside their run, and core, no table of a batch holds the columns that no rule reads."""
+    from ledgerguard import session
+    stored, kept_at = [], session.kept_at
+    monkeypatch.setattr(session, "kept_at", lambda df, path, *a: (stored.append(df.columns), kept_at(df, path, *a))[1])
+    rng = random.Random(6)
+    rows = [transaction(rng, n, n) for n in range(30)]
+    ledger = Ledger(spark, str(tmp_path / "l"), frame(spark, rows).schema, buckets=2)
+    ledger.apply(Arrivals(frame(spark, rows), ids(spark, ["1", "2"], "string"), ids(spark, [1, 2])), 0)
+    assert stored and not [c for c in stored if "created_at" in c]
+    assert ledger.tables()[0].count() == 30
+
+
+def test_repeats_and_old_conflicts_over_batches(spark, tmp_path):
+    """Ids occur once; keys repeat exactly or clash over batches, and parents release old rows
+    whose keys no new row names."""
+    rng = random.Random(7)
+    good = {**transaction(rng, 1, 0), "amount": "5.00", "status": "SUCCESS", "transaction_type": "TRF", "merchant_id": "",
+            "agency_id": "", "balance_after": "5.00"}
+    rows = []
+    for n in range(90):
+        key, account = n % 30, str(n % 30 % 4)
+        rows.append({**good, "id": str(200 - n), "reference": f"R{n}", "source_position": 500 - n, "idempotency_key": f"k{key}" if key else None,
+                     "source_account_id": account, "destination_account_id": account, "amount": "6.00" if key % 7 == 1 and n > 29 else "5.00"})
+    ledger = Ledger(spark, str(tmp_path / "l"), frame(spark, rows).schema, buckets=2)
+    for n, (part, accounts) in enumerate(((rows[:50], [0, 1]), (rows[50:60], []), (None, [2]), (rows[60:], [3]))):
+        ledger.apply(Arrivals(frame(spark, part) if part else None, ids(spark, [str(a) for a in accounts], "string"), ids(spark, accounts)), n)
+    none = ids(spark, [])
+    full = routing.route(frame(spark, rows), ids(spark, list("0123"), "string"), ids(spark, [0, 1, 2, 3]), none, none)
+    mine, mine_core = ledger.tables()
+    assert shown(mine, "id", "route", "reasons") == shown(full, "id", "route", "reasons")
+    assert {r["route"] for r in mine.collect()} == {"ANOMALY", "CORE"}
+    names = ("id", "reference", "idempotency_key")
+    assert shown(mine_core, *names) == shown(core.core_from_route(full), *names)
+
+
+def test_known_buckets_need_no_job(spark, tmp_path):
+    table = Buckets(spark, str(tmp_path / "t"), "k", "k string", 2)
+    broken = spark.range(1).select(F.raise_error(F.lit("read")).cast("string").alias("k"))
+    assert table.of_keys(broken, known=[1, 0]) == [0, 1]
+    assert table.find(broken).collect() == []  # an empty table is not searched
+    assert table.append(spark.createDataFrame([(f"{n}",) for n in range(20)], "k string"), 0) == [0, 1]
+
+
 def test_buckets_append_merge_and_forget(spark, tmp_path):
     """Twenty batches: few files per bucket, few folders left, and nothing lost."""
     table = Buckets(spark, str(tmp_path / "t"), "k", "k string, v bigint", 3)
